@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vectable.functions import arrays as A
 from vectable.functions import text as T
-from vectable.operators import batching, labels, metrics, reports, vectors
+from vectable.operators import batching, labels, metrics, quality, reports, vectors
 from vectable.plans import mapping as M
 from vectable.sources.tables import table
 
@@ -286,19 +286,26 @@ def _embedding_predictions(spark, sf) -> DataFrame:
     return centroid_scored(spark, sf).select("vec_id", "label", "prediction")
 
 
+def _embedding_classes(spark, sf) -> DataFrame:
+    """The class list: labels of the data (the centroids' labels, hence every
+    possible prediction)."""
+    return _embeddings(spark, sf).select(F.col("label").alias("cls")).where(F.col("cls").isNotNull()).distinct()
+
+
 @query("confusion_long")
 def confusion_long(spark, sf):
     """A5: confusion matrix, long form with zero cells."""
-    return metrics.confusion_long(_embedding_predictions(spark, sf), "label", "prediction")
+    return metrics.confusion_long(_embedding_predictions(spark, sf), "label", "prediction", _embedding_classes(spark, sf))
 
 
 @query("confusion_wide")
 def confusion_wide(spark, sf):
     """Confusion matrix, one column per predicted class."""
     preds = _embedding_predictions(spark, sf)
-    long = metrics.confusion_long(preds, "label", "prediction")
+    classes = _embedding_classes(spark, sf)
+    long = metrics.confusion_long(preds, "label", "prediction", classes)
     # The class list is class-sized; read it once to name the pivot columns.
-    values = sorted(r[0] for r in metrics.class_set(preds, "label", "prediction").collect())
+    values = sorted(r[0] for r in classes.collect())
     return metrics.confusion_wide(long, values, {v: f"pred_{v}" for v in values})
 
 
@@ -377,29 +384,14 @@ def predictions_table(spark, sf):
 @query("reject_rows")
 def reject_rows(spark, sf):
     """Rows that cannot be used as vectors of the expected shape."""
-    return vectors_reject(_embeddings(spark, sf), "vec_id", "embedding", 64)
+    return quality.vector_rejects(_embeddings(spark, sf), "vec_id", "embedding", M.EMBEDDING_DIM)
 
 
 @query("loaded_counts")
 def loaded_counts(spark, sf):
     """Rows read, rows kept, batches of 32."""
     e = _embeddings(spark, sf)
-    return metrics.loaded_counts(e, reject_reason("embedding", 64).isNull())
-
-
-def reject_reason(vec_col: str, dim: int):
-    v = F.col(vec_col)
-    sd = A.row_stats(v)["sd"]
-    return (
-        F.when(v.isNull(), F.lit("missing"))
-        .when(F.size(v) != dim, F.lit("shape"))
-        .when(F.exists(v, lambda x: x.isNull() | F.isnan(x)), F.lit("nan"))
-        .when(sd == 0, F.lit("constant"))
-    )
-
-
-def vectors_reject(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
-    return df.select(id_col, reject_reason(vec_col, dim).alias("reason")).where(F.col("reason").isNotNull())
+    return metrics.loaded_counts(e, quality.vector_reject_reason("embedding", M.EMBEDDING_DIM).isNull())
 
 
 # ---------------------------------------------------------------- limits / batches
@@ -473,3 +465,7 @@ def history_long(spark, sf):
 def history_last(spark, sf):
     """Values at the last epoch."""
     return reports.history_last(_history(spark, sf), "epoch", ["accuracy", "loss"])
+
+
+# Rows-only queries (model, files, sinks, streams) register themselves here.
+from vectable.plans import jobs as _jobs  # noqa: E402,F401

@@ -25,6 +25,7 @@ BATCH_SEED = 42
 RICH_ACCTBAL = 9900.0
 DOC_PAGE = 2
 DOC_CAP = 500
+EMBEDDING_DIM = 64  # expected vector length (the reference's fixed image shape)
 
 
 def event_split(user_id: str = "user_id") -> Column:
