@@ -146,3 +146,31 @@ def classes_present(classes: DataFrame, data: DataFrame, on) -> DataFrame:
 def classes_missing(classes: DataFrame, data: DataFrame, on) -> DataFrame:
     """Classes without data (left anti join), for the 'folder missing' report."""
     return classes.join(data, on, "left_anti")
+
+
+def dictionary_maps(dictionary: DataFrame, label_col: str = "label", index_col: str = "label_index"):
+    """the dictionary as two map columns (label -> index, index -> label),
+    each an uncorrelated scalar subquery over the class-sized dimension."""
+    fwd = dictionary.select(F.map_from_entries(F.collect_list(F.struct(label_col, index_col)))).scalar()
+    inv = dictionary.select(F.map_from_entries(F.collect_list(F.struct(index_col, label_col)))).scalar()
+    return fwd, inv
+
+
+def column_values(df: DataFrame, col: str, max_rows: int = MAX_CLASSES) -> list:
+    """One column of a class-sized frame as a Python list, refusing
+    frames above ``max_rows`` (never used on data-sized frames)."""
+    rows = df.select(col).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"{col}: more than {max_rows} values; not a class-sized frame")
+    return [r[0] for r in rows]
+
+
+def class_grid(classes: DataFrame, splits: list[str], class_col: str = "label", split_col: str = "split") -> DataFrame:
+    """Every (split, class) pair of a known split list and the class
+    dimension, for completing counts of classes that have no rows at all."""
+    return classes.select(F.explode(F.array(*[F.lit(s) for s in splits])).alias(split_col), F.col(class_col))
+
+
+def complete_counts(counts: DataFrame, grid: DataFrame, keys: list[str], count_col: str = "Images") -> DataFrame:
+    """Left join counts onto the grid; missing pairs count 0."""
+    return grid.join(counts, keys, "left").na.fill(0, [count_col])

@@ -148,3 +148,20 @@ def save_model(model: PipelineModel, path: str) -> None:
 def load_model(path: str) -> PipelineModel:
     """Load once per job; the model is then applied to whole frames."""
     return PipelineModel.load(path)
+
+
+def user_model_udf(make_predict_fn, return_type=None, batch_size: int = 32, input_shape=None):
+    """Wrap a user's own model (any callable on a NumPy batch) as an
+    Arrow-batched prediction UDF; the model is built once per Python worker.
+
+    ``make_predict_fn`` returns ``predict(batch: np.ndarray) -> np.ndarray``.
+    """
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import ArrayType, DoubleType
+
+    return predict_batch_udf(
+        make_predict_fn,
+        return_type=return_type or ArrayType(DoubleType()),
+        batch_size=batch_size,
+        input_tensor_shapes=[input_shape] if input_shape else None,
+    )

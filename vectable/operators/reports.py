@@ -70,3 +70,14 @@ def predictions_table(preds: DataFrame, path_col: str, true_name_col: str, pred_
         F.col(true_name_col).cast("string").alias("true_label"),
         F.col(pred_name_col).cast("string").alias("predicted_label"),
     )
+
+
+def schema_text(df: DataFrame) -> str:
+    """The schema as one line (``printSchema`` without printing)."""
+    return df.schema.simpleString()
+
+
+def peek(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in a stated order (``show(n)`` made
+    deterministic)."""
+    return df.orderBy(*order).limit(n)
