@@ -41,10 +41,8 @@ def run_training_job(
 ) -> dict:
     out = out_dir.rstrip("/")
     listing = files.listing(spark, base_dir)
-    dim = labels.label_dictionary(listing.select("label"))
-    labels.check_dimension(dim)
+    dim = labels.check_dimension(labels.label_dictionary(listing.select("label")))
     dim.write.mode("overwrite").parquet(f"{out}/label_dictionary")
-    dim = spark.read.parquet(f"{out}/label_dictionary")
 
     imgs = files.labelled_images(spark, base_dir)
     quality.image_rejects(imgs).write.mode("overwrite").parquet(f"{out}/rejects")

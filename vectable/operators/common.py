@@ -18,3 +18,44 @@ def computed_once(df: DataFrame) -> DataFrame:
     """
     cols = df.columns
     return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in cols]))))
+
+
+class DimensionTooLarge(ValueError):
+    """A frame meant to be broadcast exceeds its row bound."""
+
+
+def bounded_dimension(df: DataFrame, max_rows: int, what: str = "dimension") -> DataFrame:
+    """Prove a small frame's size before it is broadcast.
+
+    Reads at most ``max_rows + 1`` rows (one small job), fails above the
+    bound, and returns the rows as a local relation: its exact size is known
+    to the planner, and joins against it never recompute the original plan.
+    Frames already returned by this function pass through unchanged.
+    """
+    if getattr(df, "_vectable_rows", None) is not None and df._vectable_rows <= max_rows:
+        return df
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise DimensionTooLarge(f"{what} has more than {max_rows} rows; refusing to broadcast it")
+    out = df.sparkSession.createDataFrame(rows, df.schema)
+    out._vectable_rows = len(rows)
+    return out
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Compute ``df`` once and cut its lineage: write it as Parquet to a fresh
+    folder under the shared checkpoint folder (``spark.checkpoint.dir``) and
+    read it back. One job (``Dataset.checkpoint`` computes the plan twice
+    unless cached); the copy survives executor loss. Frames already returned
+    by this function pass through unchanged.
+    """
+    if getattr(df, "_vectable_materialized", False):
+        return df
+    from vectable.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.parquet(path)
+    out._vectable_materialized = True
+    return out

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectable.functions.text import display_label, capitalize
+from vectable.operators.common import bounded_dimension
 
 # Upper bound on classes for a broadcast label dictionary.
 MAX_CLASSES = 1_000_000
@@ -43,12 +44,9 @@ def label_dictionary(labels: DataFrame, label_col: str = "label", index_col: str
     return d.select(label_col, (F.row_number().over(w) - 1).cast("int").alias(index_col))
 
 
-def check_dimension(dim: DataFrame, max_rows: int = MAX_CLASSES) -> int:
-    """Count a dimension frame and refuse to broadcast it beyond ``max_rows``."""
-    n = dim.count()
-    if n > max_rows:
-        raise ValueError(f"dimension has {n} rows, more than the broadcast bound {max_rows}")
-    return n
+def check_dimension(dim: DataFrame, max_rows: int = MAX_CLASSES) -> DataFrame:
+    """The label dictionary with its row bound proven (see ``bounded_dimension``)."""
+    return bounded_dimension(dim, max_rows, "label dictionary")
 
 
 def encode_labels(
@@ -62,10 +60,10 @@ def encode_labels(
 ) -> DataFrame:
     """Add ``index_col``; labels absent from the dictionary get ``missing``.
 
-    The dictionary is a class-sized dimension: broadcast hash join, no shuffle
-    of ``df``.
+    The dictionary is a class-sized dimension (bound checked first):
+    broadcast hash join, no shuffle of ``df``.
     """
-    dim = F.broadcast(dictionary.select(F.col(dict_label_col).alias("__lbl"), F.col(dict_index_col).alias("__idx")))
+    dim = F.broadcast(check_dimension(dictionary).select(F.col(dict_label_col).alias("__lbl"), F.col(dict_index_col).alias("__idx")))
     return (
         df.join(dim, df[label_col] == F.col("__lbl"), "left")
         .withColumn(index_col, F.coalesce(F.col("__idx"), F.lit(missing)).cast("int"))
@@ -86,6 +84,7 @@ def decode_labels(
     the query fails through ``raise_error`` inside the plan, with no extra job.
     """
     out = df
+    dictionary = check_dimension(dictionary)
     for i, (src, dst) in enumerate(pairs.items()):
         k, v = f"__k{i}", f"__v{i}"
         dim = F.broadcast(dictionary.select(F.col(dict_index_col).alias(k), F.col(dict_label_col).alias(v)))
@@ -138,14 +137,21 @@ def class_distribution_wide(dist: DataFrame, splits: list[str]) -> DataFrame:
     return dist.groupBy("Class").pivot("Dataset", splits).agg(F.sum("Images").cast("long")).na.fill(0, splits)
 
 
+def _data_keys(data: DataFrame) -> DataFrame:
+    # Distinct keys first: a partial aggregate leaves at most one row per class
+    # per task, so the semi / anti join never shuffles the data rows.
+    return data.distinct()
+
+
 def classes_present(classes: DataFrame, data: DataFrame, on) -> DataFrame:
-    """Classes that have data (left semi join)."""
-    return classes.join(data, on, "left_semi")
+    """Classes that have data (left semi join). ``data`` holds only the
+    key column(s)."""
+    return classes.join(_data_keys(data), on, "left_semi")
 
 
 def classes_missing(classes: DataFrame, data: DataFrame, on) -> DataFrame:
     """Classes without data (left anti join), for the 'folder missing' report."""
-    return classes.join(data, on, "left_anti")
+    return classes.join(_data_keys(data), on, "left_anti")
 
 
 def dictionary_maps(dictionary: DataFrame, label_col: str = "label", index_col: str = "label_index"):

@@ -14,6 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vectable.operators.common import bounded_dimension
+
+# A dense k x k matrix is built for at most this many classes; above it use
+# ``zero_cells=False`` (the non-zero cells only, any number of classes).
+MAX_MATRIX_CLASSES = 10_000
+
 
 def class_set(preds: DataFrame, true_col: str, pred_col: str, out_col: str = "cls") -> DataFrame:
     """Classes seen in either column (the default label set of a report)."""
@@ -36,19 +42,23 @@ def confusion_long(
     true_col: str,
     pred_col: str,
     classes: DataFrame | None = None,
+    zero_cells: bool = True,
 ) -> DataFrame:
     """A5: (true, pred, n) for every pair of classes, zero cells included.
 
-    ``classes`` is a one-column frame of class values (default: those seen).
-    The k x k grid is built by exploding the class list (a scalar subquery of
-    k values) next to each class; counts are one aggregate over the data.
+    Counts are one partial/final aggregate over the predictions. ``classes``
+    is a one-column frame of class values (default: those seen); its size is
+    checked (at most ``MAX_MATRIX_CLASSES``) and the k x k grid is the class
+    list exploded next to each class.
     """
-    cls = _classes(preds, true_col, pred_col, classes)
-    all_cls = cls.select(F.array_sort(F.collect_list("cls")).alias("a")).scalar()
-    grid = cls.select(F.col("cls").alias("true"), F.explode(all_cls).alias("pred"))
     counts = preds.groupBy(F.col(true_col).alias("true"), F.col(pred_col).alias("pred")).agg(
         F.count(F.lit(1)).alias("n")
     )
+    if not zero_cells:
+        return counts.select("true", "pred", F.col("n").cast("long").alias("n"))
+    cls = bounded_dimension(_classes(preds, true_col, pred_col, classes), MAX_MATRIX_CLASSES, "class list")
+    values = sorted(r[0] for r in cls.collect())
+    grid = cls.select(F.col("cls").alias("true"), F.explode(F.array(*[F.lit(v) for v in values])).alias("pred"))
     return grid.join(counts, ["true", "pred"], "left").select("true", "pred", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
@@ -106,7 +116,7 @@ def class_report(
     classes: DataFrame | None = None,
 ) -> DataFrame:
     """(cls, precision, recall, f1, support) for every class."""
-    cls = _classes(preds, true_col, pred_col, classes)
+    cls = bounded_dimension(_classes(preds, true_col, pred_col, classes), MAX_MATRIX_CLASSES * 100, "class list")
     c = per_class_counts(preds, true_col, pred_col)
     j = cls.join(c, "cls", "left").na.fill(0, ["support", "predicted", "tp"])
     p = _ratio(F.col("tp"), F.col("predicted"))

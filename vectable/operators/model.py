@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectable.functions import arrays as A
+from vectable.operators.common import materialize
 
 FEATURES = "features"
 
@@ -132,7 +133,9 @@ def hidden_features(model: PipelineModel, df: DataFrame, vec_col: str, out_col:
 def project_2d(df: DataFrame, vec_col: str, id_cols: list[str], label_col: str) -> DataFrame:
     """K8: 2-D projection of feature vectors (PCA, k = 2) for a scatter of
     (x, y) coloured by label. Fewer than 2 rows give an empty frame."""
-    data = with_features(df, vec_col, "__f")
+    # PCA makes several passes over its input; cut the lineage once (shared
+    # checkpoint folder) so upstream work, e.g. a Python feature pass, runs once.
+    data = with_features(materialize(df, "pca-input"), vec_col, "__f")
     if data.limit(2).count() < 2:
         return df.sparkSession.createDataFrame([], f"{', '.join(c + ' string' for c in id_cols)}, x double, y double, {label_col} string")
     pca = PCA(k=2, inputCol="__f", outputCol="__p").fit(data)

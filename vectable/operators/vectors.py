@@ -23,8 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectable.functions import arrays as A
-from vectable.operators.common import computed_once
-from vectable.session import checkpoint_root
+from vectable.operators.common import computed_once, materialize
 
 DEFAULT_BROADCAST_BUDGET = 8 * 1024 * 1024  # bytes of centroid payload per task
 
@@ -103,12 +102,10 @@ def nearest_centroid(
     ``with_distances`` also returns ``distances``: array<struct<d, label>>
     ordered by label (used by ``class_probabilities``).
     """
-    cents = centroids.select(F.col(label_col).alias("label"), F.col(centroid_col).alias("c"))
     # The centroid table is class-sized: compute it once, cut its lineage in the
     # shared checkpoint folder, and let both the size check and the scoring
     # subquery read that copy instead of re-aggregating the data.
-    checkpoint_root(df.sparkSession)
-    cents = cents.checkpoint(eager=True)
+    cents = materialize(centroids, "centroids").select(F.col(label_col).alias("label"), F.col(centroid_col).alias("c"))
     k, d = cents.select(F.count(F.lit(1)), F.max(F.size("c"))).first()
     k, d = int(k or 0), int(d or 0)
     if k == 0:

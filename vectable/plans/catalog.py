@@ -16,6 +16,7 @@ from vectable.functions import arrays as A
 from vectable.functions import text as T
 from vectable.operators import batching, labels, metrics, quality, reports, vectors
 from vectable.plans import mapping as M
+from vectable.operators.common import materialize
 from vectable.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,10 +233,17 @@ def class_mean_trunc(spark, sf):
     return _long(m, ["label"], "mean", digits=None)
 
 
-def centroid_scored(spark, sf, with_distances: bool = False) -> DataFrame:
-    """Flagship slice: standardise -> class centroids -> nearest centroid."""
+def centroid_model(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Standardised embeddings and their class centroids (checkpointed once:
+    the centroid table is class-sized)."""
     e = _embeddings(spark, sf).select("vec_id", "label", A.standardize("embedding").alias("z"))
-    cents = vectors.class_means(e, "label", "z")
+    cents = materialize(vectors.class_means(e, "label", "z"), "centroids")
+    return e, cents
+
+
+def centroid_scored(spark, sf, with_distances: bool = False, model=None) -> DataFrame:
+    """Flagship slice: standardise -> class centroids -> nearest centroid."""
+    e, cents = model or centroid_model(spark, sf)
     return vectors.nearest_centroid(
         e, cents, "z", label_col="label", centroid_col="mean", pred_col="prediction", row_key="vec_id", with_distances=with_distances
     )
@@ -282,27 +290,29 @@ def cross_entropy(spark, sf):
     return ce.select(_r(F.col("cross_entropy")).alias("cross_entropy"), "n_rows")
 
 
-def _embedding_predictions(spark, sf) -> DataFrame:
-    return centroid_scored(spark, sf).select("vec_id", "label", "prediction")
+def _embedding_predictions(spark, sf, model=None) -> DataFrame:
+    return centroid_scored(spark, sf, model=model).select("vec_id", "label", "prediction")
 
 
-def _embedding_classes(spark, sf) -> DataFrame:
-    """The class list: labels of the data (the centroids' labels, hence every
-    possible prediction)."""
-    return _embeddings(spark, sf).select(F.col("label").alias("cls")).where(F.col("cls").isNotNull()).distinct()
+def _centroid_classes(cents: DataFrame) -> DataFrame:
+    """The class list: the centroids' labels (every label of the data, hence
+    every possible prediction), read from the checkpointed centroid table."""
+    return cents.select(F.col("label").alias("cls")).where(F.col("cls").isNotNull())
 
 
 @query("confusion_long")
 def confusion_long(spark, sf):
     """A5: confusion matrix, long form with zero cells."""
-    return metrics.confusion_long(_embedding_predictions(spark, sf), "label", "prediction", _embedding_classes(spark, sf))
+    m = centroid_model(spark, sf)
+    return metrics.confusion_long(_embedding_predictions(spark, sf, m), "label", "prediction", _centroid_classes(m[1]))
 
 
 @query("confusion_wide")
 def confusion_wide(spark, sf):
     """Confusion matrix, one column per predicted class."""
-    preds = _embedding_predictions(spark, sf)
-    classes = _embedding_classes(spark, sf)
+    m = centroid_model(spark, sf)
+    preds = _embedding_predictions(spark, sf, m)
+    classes = _centroid_classes(m[1])
     long = metrics.confusion_long(preds, "label", "prediction", classes)
     # The class list is class-sized; read it once to name the pivot columns.
     values = sorted(r[0] for r in classes.collect())

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vectable.functions import arrays as A
 from vectable.operators import labels, model, vectors
+from vectable.operators.common import materialize
 from vectable.plans import mapping as M
 from vectable.plans.catalog import _embedding_predictions, _embeddings, query
 from vectable.session import scratch_path
@@ -133,7 +134,7 @@ def stream_score(spark, sf):
     """Score vector files as they arrive (availableNow, checkpointed)."""
     base, e = _embedding_drops(spark, sf)
     z = e.select("vec_id", "label", A.standardize("embedding").alias("z"))
-    cents = vectors.class_means(z, "label", "z").checkpoint(eager=True)
+    cents = materialize(vectors.class_means(z, "label", "z"), "centroids")
     src = stream.file_stream(spark, f"{base}/*", "parquet", e.schema)
     out = scratch_path(spark, "stream-score-out")
 
