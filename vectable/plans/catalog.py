@@ -120,7 +120,7 @@ def label_index(spark, sf):
 def _train_dictionary(spark, sf) -> DataFrame:
     e = _events(spark, sf)
     train = e.where((F.col("split") == "train") & (F.col("event_type") != "signup"))
-    return labels.label_dictionary(train.select(F.col("event_type").alias("label")))
+    return labels.check_dimension(labels.label_dictionary(train.select(F.col("event_type").alias("label"))))
 
 
 @query("label_encode")
@@ -326,7 +326,7 @@ def _event_pairs(spark, sf) -> DataFrame:
 
 
 def _event_dictionary(spark, sf) -> DataFrame:
-    return labels.label_dictionary(table(spark, sf, "events").select(F.col("event_type").alias("label")))
+    return labels.check_dimension(labels.label_dictionary(table(spark, sf, "events").select(F.col("event_type").alias("label"))))
 
 
 @query("confusion_annotated")
