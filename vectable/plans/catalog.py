@@ -161,7 +161,7 @@ def class_distribution(spark, sf):
 def class_distribution_wide(spark, sf):
     """R2: class x split table."""
     dist = _doc_distribution(spark, sf)
-    splits = sorted(r[0] for r in dist.select("Dataset").distinct().collect())
+    splits = sorted(labels.column_values(dist.select("Dataset").distinct(), "Dataset", max_rows=1000))
     return labels.class_distribution_wide(dist, splits)
 
 
@@ -315,7 +315,7 @@ def confusion_wide(spark, sf):
     classes = _centroid_classes(m[1])
     long = metrics.confusion_long(preds, "label", "prediction", classes)
     # The class list is class-sized; read it once to name the pivot columns.
-    values = sorted(r[0] for r in classes.collect())
+    values = sorted(labels.column_values(classes, "cls", max_rows=metrics.MAX_MATRIX_CLASSES))
     return metrics.confusion_wide(long, values, {v: f"pred_{v}" for v in values})
 
 
