@@ -20,7 +20,9 @@ from vectable.sources import files
 from vectable.sources.tables import table
 from vectable.streaming import files as stream
 
-TRAIN_BUCKETS = 8  # of 10 hash buckets of the row id go to training
+# A row is in the train split when the first hex digit of md5(id) is below
+# 'c' (12 of 16 buckets). md5 is computed the same way by Spark and DuckDB.
+TRAIN_BELOW = "c"
 
 
 def _standardized(spark, sf) -> DataFrame:
@@ -29,7 +31,7 @@ def _standardized(spark, sf) -> DataFrame:
 
 
 def _is_train(id_col: str = "vec_id"):
-    return F.pmod(F.xxhash64(id_col), F.lit(10)) < TRAIN_BUCKETS
+    return F.substr(F.md5(F.col(id_col).cast("string")), F.lit(1), F.lit(1)) < F.lit(TRAIN_BELOW)
 
 
 def _fit(spark, sf):
@@ -152,7 +154,7 @@ def stream_counts(spark, sf):
     base, e = _embedding_drops(spark, sf)
     src = stream.file_stream(spark, f"{base}/*", "parquet", e.schema)
     src = src.select(
-        F.when(F.pmod(F.xxhash64("vec_id"), F.lit(10)) < TRAIN_BUCKETS, F.lit("train")).otherwise(F.lit("test")).alias("split"),
+        F.when(_is_train(), F.lit("train")).otherwise(F.lit("test")).alias("split"),
         F.col("label").cast("string").alias("label"),
     )
     out = scratch_path(spark, "stream-counts-out")

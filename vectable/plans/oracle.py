@@ -256,3 +256,11 @@ UNION ALL SELECT epoch, 'loss', loss FROM h""",
 WITH {_HISTORY}
 SELECT max(epoch) AS last_epoch, arg_max(accuracy, epoch) AS final_accuracy, arg_max(loss, epoch) AS final_loss FROM h""",
 }
+
+# Rows-only jobs whose result is still exactly known in SQL.
+ORACLE["csv_roundtrip"] = ORACLE["predictions_table"]
+ORACLE["stream_score"] = ORACLE["centroid_predict"]
+ORACLE["stream_counts"] = """
+SELECT CASE WHEN substr(md5(vec_id::VARCHAR), 1, 1) < 'c' THEN 'train' ELSE 'test' END AS split,
+       label::VARCHAR AS label, count(*)::BIGINT AS n
+FROM embeddings GROUP BY 1, 2"""
