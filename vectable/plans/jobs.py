@@ -88,7 +88,8 @@ def csv_roundtrip(spark, sf):
 
 @query("dump_roundtrip")
 def dump_roundtrip(spark, sf):
-    """Indexed frame with bytes, dumped partitioned by split, read back."""
+    """Indexed frame with bytes, dumped partitioned by split, read back;
+    the bytes read back are reported by their md5 checksum."""
     e = table(spark, sf, "events").select(
         F.encode("props", "UTF-8").alias("content"),
         F.concat(F.lit("events/"), F.col("event_id").cast("string")).alias("path"),
@@ -99,7 +100,8 @@ def dump_roundtrip(spark, sf):
     indexed = labels.encode_labels(e, dim)
     path = scratch_path(spark, "dump")
     files.write_dump(indexed, path, ["split"])
-    return files.read_dump(spark, path)
+    back = files.read_dump(spark, path)
+    return back.select(F.md5("content").alias("content_md5"), "path", "label", "label_index", "split")
 
 
 def _doc_tree(spark, sf) -> str:

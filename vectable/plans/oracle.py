@@ -264,3 +264,8 @@ ORACLE["stream_counts"] = """
 SELECT CASE WHEN substr(md5(vec_id::VARCHAR), 1, 1) < 'c' THEN 'train' ELSE 'test' END AS split,
        label::VARCHAR AS label, count(*)::BIGINT AS n
 FROM embeddings GROUP BY 1, 2"""
+ORACLE["dump_roundtrip"] = f"""
+WITH {_EVENT_DICT}
+SELECT md5(e.props) AS content_md5, 'events/' || e.event_id::VARCHAR AS path, e.event_type AS label,
+       coalesce(d.label_index, -1)::INTEGER AS label_index, {_SPLIT} AS split
+FROM events e LEFT JOIN dict d ON e.event_type = d.label"""
