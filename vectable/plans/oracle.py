@@ -269,3 +269,6 @@ WITH {_EVENT_DICT}
 SELECT md5(e.props) AS content_md5, 'events/' || e.event_id::VARCHAR AS path, e.event_type AS label,
        coalesce(d.label_index, -1)::INTEGER AS label_index, {_SPLIT} AS split
 FROM events e LEFT JOIN dict d ON e.event_type = d.label"""
+ORACLE["files_scan"] = """
+SELECT 'lang=' || lang AS split, 'source=' || source AS label, sum(strlen(text) + 1)::BIGINT AS n_bytes
+FROM documents GROUP BY lang, source"""
