@@ -73,5 +73,5 @@ def test_image_stream_scores_arrivals(spark, image_tree, tmp_path):
         return image_vectors(batch, (4, 4), standardize=False).select("path", "label", F.size("vector").alias("n"))
 
     stream.run_available_now(stream.image_stream(spark, str(src)), out, ck, transform=decode)
-    got = {os.path.basename(r["path"]): (r["label"], r["n"]) for r in spark.read.parquet(out).collect()}
+    got = {os.path.basename(r["path"]): (r["label"], r["n"]) for r in stream.read_sink(spark, out).collect()}
     assert got == {"grey.png": ("normal", 48), "rgba.png": ("normal", 48), "flat.png": ("normal", 48), "x.png": ("adeno", 48)}

@@ -148,7 +148,7 @@ def stream_score(spark, sf):
         return vectors.nearest_centroid(zb, cents, "z", row_key="vec_id").select("vec_id", "label", "prediction")
 
     stream.run_available_now(src, out, scratch_path(spark, "stream-score-ckpt"), transform=score)
-    return spark.read.parquet(out)
+    return stream.read_sink(spark, out)
 
 
 @query("stream_counts")
