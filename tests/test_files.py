@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vectable.operators import images as I
-from vectable.operators import labels, quality, vectors
+from vectable.operators import labels, quality, reports, vectors
 from vectable.sources import files
 
 
@@ -25,7 +25,9 @@ def test_labelled_files_two_levels(spark, image_tree):
         ("normal", "a.jpg.png"),
         ("normal", "bad.png"),
     ]
-    assert df.schema.simpleString() == "struct<content:binary,path:string,label:string>"
+    assert reports.schema_text(df) == "struct<content:binary,path:string,label:string>"
+    first = reports.peek(df.select("path", "label"), 1, ["path"]).first()
+    assert first["path"].endswith("0 - Copy (0).png")
 
 
 def test_listing_reads_no_bytes_and_keeps_empty_class(spark, image_tree):
