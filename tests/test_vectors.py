@@ -33,18 +33,30 @@ def test_class_means(spark, data):
         assert np.allclose(got[c], cents[c])
 
 
+@pytest.mark.parametrize("engine", ["arrow", "jvm"])
 @pytest.mark.parametrize("budget", [vectors.DEFAULT_BROADCAST_BUDGET, 200])
-def test_nearest_centroid_single_and_chunked(spark, data, budget):
+def test_nearest_centroid_single_and_chunked(spark, data, budget, engine):
     df, rows = data
-    _, exp = _brute(rows)
+    cents_exp, exp = _brute(rows)
     cents = vectors.class_means(df, "label", "v")
-    out = vectors.nearest_centroid(df, cents, "v", row_key="id", broadcast_budget=budget, with_distances=True)
+    out = vectors.nearest_centroid(df, cents, "v", row_key="id", broadcast_budget=budget, with_distances=True, engine=engine)
     got = {r["id"]: r["prediction"] for r in out.collect()}
     assert got == exp
     probs = vectors.class_probabilities(out).collect()
     for r in probs:
         assert abs(sum(r["probability"]) - 1) < 1e-9
-        assert r["classes"] == sorted(r["classes"])
+        assert r["classes"] == sorted(cents_exp)
+        v = np.array(next(x[2] for x in rows if x[0] == r["id"]))
+        assert np.allclose(r["distances"], [np.sum((v - cents_exp[c]) ** 2) for c in r["classes"]])
+
+
+@pytest.mark.parametrize("engine", ["arrow", "jvm"])
+def test_nearest_centroid_null_and_short_vectors(spark, data, engine):
+    df, _ = data
+    cents = vectors.class_means(df, "label", "v")
+    odd = spark.createDataFrame([(1000, 0, None), (1001, 0, [1.0, 2.0])], "id long, label int, v array<double>")
+    out = vectors.nearest_centroid(odd, cents, "v", row_key="id", engine=engine).collect()
+    assert [r["prediction"] for r in out] == [None, None]
 
 
 def test_uniform_dim(spark):

