@@ -6,7 +6,6 @@ import base64
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from vectable.functions import arrays as A
 from vectable.functions import text as T

@@ -7,7 +7,6 @@ import os
 from pyspark.sql import functions as F
 
 from vectable.job import run_training_job
-from vectable.operators import labels
 
 
 def test_training_job(spark, image_tree, tmp_path):
