@@ -26,6 +26,23 @@ def test_training_job(spark, image_tree, tmp_path):
     conf = spark.read.parquet(f"{out}/confusion")
     assert conf.count() == 16 and conf.agg(F.sum("n")).first()[0] == 4
     assert 0.0 <= res["accuracy"] <= 1.0
+    wide = spark.read.parquet(f"{out}/confusion_wide")
+    assert wide.columns == ["true", "adeno", "empty_class", "large_cell_x", "normal"]
+    dist = {(r["Dataset"], r["Class"]): r["Images"] for r in spark.read.parquet(f"{out}/class_distribution").collect()}
+    assert dist[("Valid", "Empty class")] == 0
+    spot = {r["split"]: r for r in spark.read.parquet(f"{out}/spot_checks").collect()}
+    # first valid file is the placeholder: no image, so no prediction
+    assert spot["valid"]["true_label"] == "empty_class" and spot["valid"]["predicted_label"] is None
+    assert spot["test"]["true_label"] == "adeno" and spot["test"]["predicted_label"] is not None
+    assert spark.read.parquet(f"{out}/history").count() >= 2
+
+
+def test_caps_apply_before_undecodable_rows_drop(spark, image_tree, tmp_path):
+    base, _ = image_tree
+    res = run_training_job(spark, base, str(tmp_path / "o"), size=(8, 8), max_iter=2, train_cap=5, test_cap=2)
+    # train files in path order: 2 large.cell.x, UP.PNG, a.jpg.png, bad.png -> bad.png drops
+    assert res["train_rows"] == 4
+    assert res["test_rows"] == 2
 
 
 def test_job_cli_error_code(tmp_path, capsys):

@@ -3,9 +3,11 @@
 
 scan (S2, S4) -> label dictionary over all splits (U1, U2, W2) -> rejects
 (P7) -> decode to vectors (F10-F13) written once as a table -> encode labels
-(J1) -> split counts (A1) -> fit (K1) -> score the test split (K2) -> decode
-names (J2) -> predictions CSV (S7), report and confusion matrix (A5-A13),
-model (S10).
+(J1) -> split counts (A1), class distribution (A3) -> optional row caps,
+applied before undecodable rows drop out as in the reference (L1, L2) -> fit
+(K1), history (K6) -> score the test split (K2) -> decode names (J2) ->
+predictions CSV (S7), report, confusion matrix long and wide (A5-A13) ->
+spot checks of the first valid and test file (L3, R6, K3) -> model (S10).
 
 Usage: ``python -m vectable.job --base <dir> --out <dir> [--size 256]
 [--train-cap 500 --test-cap 200]``. Exit code 0 on success, 1 on error
@@ -27,6 +29,9 @@ from vectable.operators.reports import predictions_table
 from vectable.session import build_session
 from vectable.sources import files
 
+# Row caps up to this size are broadcast as a path list when applied.
+MAX_BROADCAST_CAP = 1_000_000
+
 
 def run_training_job(
     spark: SparkSession,
@@ -54,17 +59,28 @@ def run_training_job(
     vec = spark.read.parquet(f"{out}/vectors")
 
     counts = {r["split"]: r["n_rows"] for r in labels.split_counts(vec).collect()}
-    train = vec.where((F.col("split") == "train") & (F.col("label_index") >= 0))
-    if train_cap:
-        train = batching.ordered_cap(train, train_cap, ["path"])
+    labels.class_distribution(listing, "split", "label", F.col("is_image")).write.mode("overwrite").parquet(
+        f"{out}/class_distribution"
+    )
+
+    def split_rows(split: str, cap: int | None):
+        rows = vec.where(F.col("split") == split)
+        if cap:
+            # The reference's order: cap the split's files (now in path order),
+            # then drop those that do not decode; fewer than ``cap`` may remain.
+            first = batching.ordered_cap(listing.where(F.col("split") == split).select("path"), cap, ["path"])
+            first = F.broadcast(first) if cap <= MAX_BROADCAST_CAP else first
+            rows = rows.join(first, "path", "left_semi")
+        return rows
+
+    train = split_rows("train", train_cap).where(F.col("label_index") >= 0)
     quality.require_rows(train, "train split")
     n_classes = dim.count()
     m = model.fit_classifier(train, "vector", "label_index", n_classes, hidden=hidden, max_iter=max_iter, seed=seed)
     model.save_model(m, f"{out}/model")
+    model.history_frame(spark, m).write.mode("overwrite").parquet(f"{out}/history")
 
-    test = vec.where(F.col("split") == "test")
-    if test_cap:
-        test = batching.ordered_cap(test, test_cap, ["path"])
+    test = split_rows("test", test_cap)
     quality.require_rows(test, "test split")
     scored = model.predict(m, test, "vector")
     named = labels.decode_labels(scored, dim, {"label_index": "true_label", "prediction": "predicted_label"})
@@ -74,12 +90,31 @@ def run_training_job(
     report = metrics.class_report(scored, "label_index", "prediction", classes)
     report.write.mode("overwrite").parquet(f"{out}/report")
     metrics.report_summary(report, scored, "label_index", "prediction").write.mode("overwrite").parquet(f"{out}/summary")
-    metrics.confusion_long(scored, "label_index", "prediction", classes).write.mode("overwrite").parquet(f"{out}/confusion")
+    long = metrics.confusion_long(scored, "label_index", "prediction", classes)
+    long.write.mode("overwrite").parquet(f"{out}/confusion")
+    names = {r["label_index"]: r["label"] for r in dim.collect()}  # class-sized (bound checked)
+    metrics.confusion_wide(spark.read.parquet(f"{out}/confusion"), sorted(names), names).write.mode("overwrite").parquet(
+        f"{out}/confusion_wide"
+    )
+
+    # The first file of the valid and test splits, scored on its
+    # own; a file that does not decode gets no prediction.
+    firsts = [
+        batching.first_row(listing.where(F.col("split") == s).select("path", "split", "label"), ["path"])
+        for s in ("valid", "test")
+    ]
+    spot = firsts[0].unionByName(firsts[1]).join(vec.select("path", "vector"), "path", "left")
+    spot = model.predict(m, labels.encode_labels(spot, dim), "vector")
+    spot = labels.decode_labels(spot, dim, {"label_index": "true_label", "prediction": "predicted_label"})
+    spot.select("split", "path", "true_label", "predicted_label").write.mode("overwrite").parquet(f"{out}/spot_checks")
+
     summary = {r["metric"]: r["f1"] for r in spark.read.parquet(f"{out}/summary").collect()}
     history = model.training_history(m)
     return {
         "counts": counts,
         "classes": n_classes,
+        "train_rows": train.count(),
+        "test_rows": test.count(),
         "accuracy": summary.get("accuracy"),
         "final_loss": history[-1][1] if history else None,
     }
