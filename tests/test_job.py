@@ -12,7 +12,7 @@ from vectable.job import run_training_job
 def test_training_job(spark, image_tree, tmp_path):
     base, _ = image_tree
     out = str(tmp_path / "out")
-    res = run_training_job(spark, base, out, size=(8, 8), max_iter=5)
+    res = run_training_job(spark, base, out, size=(8, 8), max_iter=5, dashboard=True)
     # labels over all splits, sorted: adeno, empty_class, large_cell_x, nested?, normal
     dim = {r["label"]: r["label_index"] for r in spark.read.parquet(f"{out}/label_dictionary").collect()}
     assert dim == {"adeno": 0, "empty_class": 1, "large_cell_x": 2, "normal": 3}
@@ -35,6 +35,13 @@ def test_training_job(spark, image_tree, tmp_path):
     assert spot["valid"]["true_label"] == "empty_class" and spot["valid"]["predicted_label"] is None
     assert spot["test"]["true_label"] == "adeno" and spot["test"]["predicted_label"] is not None
     assert spark.read.parquet(f"{out}/history").count() >= 2
+    b = spark.read.parquet(f"{out}/batches").collect()
+    assert sum(r["n_rows"] for r in b) == res["train_rows"] == 4
+    means = {r["label"]: r["mean"] for r in spark.read.parquet(f"{out}/mean_images").collect()}
+    assert set(means) == {"large_cell_x", "normal"} and len(means["normal"]) == 8 * 8 * 3
+    assert all(0 <= x <= 255 for x in means["normal"])
+    xy = spark.read.parquet(f"{out}/latent_2d")
+    assert xy.count() == 4 and xy.columns == ["path", "x", "y", "label"]
 
 
 def test_caps_apply_before_undecodable_rows_drop(spark, image_tree, tmp_path):

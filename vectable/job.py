@@ -7,7 +7,9 @@ scan (S2, S4) -> label dictionary over all splits (U1, U2, W2) -> rejects
 applied before undecodable rows drop out as in the reference (L1, L2) -> fit
 (K1), history (K6) -> score the test split (K2) -> decode names (J2) ->
 predictions CSV (S7), report, confusion matrix long and wide (A5-A13) ->
-spot checks of the first valid and test file (L3, R6, K3) -> model (S10).
+spot checks of the first valid and test file (L3, R6, K3) -> model (S10),
+training batches (L7, L8); with ``dashboard``: mean image per class (A4) and
+the latent 2-D view of five files per class (W1, K7, K8).
 
 Usage: ``python -m vectable.job --base <dir> --out <dir> [--size 256]
 [--train-cap 500 --test-cap 200]``. Exit code 0 on success, 1 on error
@@ -23,7 +25,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from vectable.operators import batching, labels, metrics, model, quality
+from vectable.operators import batching, labels, metrics, model, quality, vectors
 from vectable.operators.images import image_vectors
 from vectable.operators.reports import predictions_table
 from vectable.session import build_session
@@ -43,6 +45,8 @@ def run_training_job(
     hidden: int = 64,
     max_iter: int = 100,
     seed: int = 42,
+    batch_size: int = 32,
+    dashboard: bool = False,
 ) -> dict:
     out = out_dir.rstrip("/")
     listing = files.listing(spark, base_dir)
@@ -79,6 +83,9 @@ def run_training_job(
     m = model.fit_classifier(train, "vector", "label_index", n_classes, hidden=hidden, max_iter=max_iter, seed=seed)
     model.save_model(m, f"{out}/model")
     model.history_frame(spark, m).write.mode("overwrite").parquet(f"{out}/history")
+    # Seeded shuffle of the training rows into batches.
+    batches = batching.mini_batches(train.select("path", "label_index"), "path", seed=seed, batch_size=batch_size)
+    batching.batch_summary(batches, "label_index").write.mode("overwrite").parquet(f"{out}/batches")
 
     test = split_rows("test", test_cap)
     quality.require_rows(test, "test split")
@@ -108,6 +115,16 @@ def run_training_job(
     spot = labels.decode_labels(spot, dim, {"label_index": "true_label", "prediction": "predicted_label"})
     spot.select("split", "path", "true_label", "predicted_label").write.mode("overwrite").parquet(f"{out}/spot_checks")
 
+    if dashboard:
+        # A4 on images: mean of the resized 0..255 pixels per class, truncated.
+        raw = image_vectors(imgs.where(F.col("split") == "train"), size, standardize=False)
+        vectors.class_means_truncated(raw, "label", "vector").write.mode("overwrite").parquet(f"{out}/mean_images")
+        # W1 + K7 + K8: the first five training files per class, hidden-layer
+        # features, projected to 2-D.
+        few = batching.first_n_per_group(train, "label", ["path"], 5)
+        feats = model.hidden_features(m, few.select("path", "label", "vector"), "vector")
+        model.project_2d(feats, "hidden", ["path"], "label").write.mode("overwrite").parquet(f"{out}/latent_2d")
+
     summary = {r["metric"]: r["f1"] for r in spark.read.parquet(f"{out}/summary").collect()}
     history = model.training_history(m)
     return {
@@ -128,13 +145,21 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--train-cap", type=int, default=None)
     ap.add_argument("--test-cap", type=int, default=None)
     ap.add_argument("--max-iter", type=int, default=100)
+    ap.add_argument("--dashboard", action="store_true", help="also write mean images and the latent 2-D view")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     owned = SparkSession.getActiveSession() is None
     spark = build_session("vectable-job", master=args.master)
     try:
         res = run_training_job(
-            spark, args.base, args.out, (args.size, args.size), args.train_cap, args.test_cap, max_iter=args.max_iter
+            spark,
+            args.base,
+            args.out,
+            (args.size, args.size),
+            args.train_cap,
+            args.test_cap,
+            max_iter=args.max_iter,
+            dashboard=args.dashboard,
         )
         print(json.dumps(res))
         return 0
