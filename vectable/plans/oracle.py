@@ -272,3 +272,30 @@ FROM events e LEFT JOIN dict d ON e.event_type = d.label"""
 ORACLE["files_scan"] = """
 SELECT 'lang=' || lang AS split, 'source=' || source AS label, sum(strlen(text) + 1)::BIGINT AS n_bytes
 FROM documents GROUP BY lang, source"""
+
+
+def _plus_zero(sql: str) -> str:
+    """Rewrite every ``round(...)`` as ``(round(...) + 0.0)``: DuckDB keeps the
+    sign of a zero result (-0.0) where Spark's ``round`` gives 0.0; adding
+    +0.0 makes both the same value under any hashing."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("round")
+        while k < len(sql):
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("(round(" + _plus_zero(sql[j + len("round(") : k]) + ") + 0.0)")
+        i = k + 1
+
+
+ORACLE = {name: _plus_zero(sql) for name, sql in ORACLE.items()}
