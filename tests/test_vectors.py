@@ -63,3 +63,9 @@ def test_uniform_dim(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([1.0],)], "v array<double>")
     with pytest.raises(ValueError, match="unequal"):
         vectors.check_uniform_dim(df, "v")
+
+
+def test_class_means_skip_missing_vectors(spark):
+    df = spark.createDataFrame([(0, [1.0, 3.0]), (0, None), (1, [2.0, 2.0])], "label int, v array<double>")
+    got = {r["label"]: (r["mean"], r["n_rows"]) for r in vectors.class_means(df, "label", "v").collect()}
+    assert got == {0: ([1.0, 3.0], 1), 1: ([2.0, 2.0], 1)}

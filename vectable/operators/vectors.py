@@ -51,9 +51,11 @@ def check_uniform_dim(df: DataFrame, vec_col: str) -> int:
 
 
 def class_means(df: DataFrame, label_col: str, vec_col: str, out_col: str = "mean") -> DataFrame:
-    """A4: element-wise mean vector per class, as array<double>, plus the count."""
+    """A4: element-wise mean vector per class, as array<double>, plus the count
+    of rows with a vector (rows without one do not contribute; vectors of
+    unequal length raise, as stacking them would)."""
     vec = array_to_vector(A.as_double_array(vec_col))
-    return df.groupBy(label_col).agg(
+    return df.where(F.col(vec_col).isNotNull()).groupBy(label_col).agg(
         vector_to_array(Summarizer.mean(vec)).alias(out_col),
         F.count(F.lit(1)).alias("n_rows"),
     )
