@@ -48,6 +48,12 @@ def test_suffix_no_dot_case_insensitive(spark, name, ok):
     assert one(spark, T.has_suffix("x"), value=(name,)) is ok
 
 
+@pytest.mark.parametrize("v", [0.125, 0.145, 0.155, 1.005, 2.675, 0.625, 0.375, 1234.565, -0.145, 98.7654321])
+def test_fixed_rounds_like_python(spark, v):
+    r = spark.createDataFrame([(v,)], "x double").select(T.fixed("x", 2).alias("a"), T.fixed4("x").alias("b")).first()
+    assert (r["a"], r["b"]) == (f"{v:.2f}", f"{v:.4f}")
+
+
 def test_percent_and_fixed(spark):
     assert one(spark, T.percent_text("x"), "x double", (0.98765,)) == "98.77%"
     assert one(spark, T.fixed4("x"), "x double", (0.87654321,)) == "0.8765"

@@ -63,3 +63,42 @@ def test_dashboard_accuracy_and_emphasis(spark):
     ann = metrics.annotate_confusion(long).collect()
     white = sorted(int(r["text"]) for r in ann if r["colour"] == "white")
     assert white == [26, 32, 34, 43]  # cells above max/2 = 21.5
+
+
+def _python_report_lines(matrix, names, digits=2):
+    """The usual aligned text report, written directly in Python."""
+    k = len(names)
+    rows = []
+    for i in range(k):
+        tp, sup, pred = matrix[i][i], sum(matrix[i]), sum(matrix[r][i] for r in range(k))
+        p = tp / pred if pred else 0.0
+        r = tp / sup if sup else 0.0
+        f = 2 * p * r / (p + r) if p + r else 0.0
+        rows.append((names[i], p, r, f, sup))
+    total = sum(x[4] for x in rows)
+    acc = sum(matrix[i][i] for i in range(k)) / total
+    macro = [sum(x[j] for x in rows) / k for j in (1, 2, 3)]
+    weighted = [sum(x[j] * x[4] for x in rows) / total for j in (1, 2, 3)]
+    width = max(max(len(n) for n in names), len("weighted avg"), digits)
+    out = ["{:>{w}s} ".format("", w=width) + " {:>9}" * 4]
+    out[0] = out[0].format("precision", "recall", "f1-score", "support")
+    fmt = "{:>{w}s} " + " {:>9.{d}f}" * 3 + " {:>9}"
+    out += [fmt.format(*x, w=width, d=digits) for x in rows]
+    out.append(("{:>{w}s} " + " {:>9}" * 2 + " {:>9.{d}f}" + " {:>9}").format("accuracy", "", "", acc, total, w=width, d=digits))
+    out.append(fmt.format("macro avg", *macro, total, w=width, d=digits))
+    out.append(fmt.format("weighted avg", *weighted, total, w=width, d=digits))
+    return out
+
+
+def test_report_text_layout(spark):
+    from vectable.operators import reports
+
+    preds = _preds(spark, SAVED_PREDICTIONS)
+    rep = metrics.class_report(preds, "t", "p", _classes(spark)).withColumnRenamed("cls", "name")
+    summ = metrics.report_summary(rep, preds, "t", "p")
+    got = [r["line"] for r in reports.report_text(rep, summ).orderBy("section", "row_name").collect()]
+    exp = _python_report_lines(SAVED_PREDICTIONS, CLASSES)
+    order = {"accuracy": 0, "macro avg": 1, "weighted avg": 2}
+    got_sorted = got[:5] + sorted(got[5:], key=lambda l: order[l.strip().split("  ")[0]])
+    assert got_sorted == exp
+    print("\n".join(exp))

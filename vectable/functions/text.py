@@ -64,14 +64,23 @@ def has_suffix(path: str | Column, suffixes: Iterable[str] = IMAGE_SUFFIXES) ->
     return cond if cond is not None else F.lit(False)
 
 
+def fixed(x: str | Column, digits: int) -> Column:
+    """``f"{x:.{digits}f}"`` exactly as Python writes it: rounded half-even on
+    the exact binary value. ``format_number`` (Java's DecimalFormat) rounds
+    that way; ``format_string('%.2f')`` does not (it rounds the shortest
+    decimal form half-up, so 0.145 would give "0.15" instead of "0.14").
+    The grouping commas ``format_number`` adds are removed."""
+    return F.replace(F.format_number(_c(x).cast("double"), digits), F.lit(","), F.lit(""))
+
+
 def percent_text(x: str | Column) -> Column:
     """``f"{x*100:.2f}%"``; the argument is cast to double first."""
-    return F.format_string("%.2f%%", _c(x).cast("double") * F.lit(100.0))
+    return F.concat(fixed(_c(x).cast("double") * F.lit(100.0), 2), F.lit("%"))
 
 
 def fixed4(x: str | Column) -> Column:
     """``f"{x:.4f}"``."""
-    return F.format_string("%.4f", _c(x).cast("double"))
+    return fixed(x, 4)
 
 
 def data_uri_encode(content: str | Column, mime: str = "image/png") -> Column:

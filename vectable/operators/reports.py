@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vectable.functions.text import fixed
+
 
 def history_long(history: DataFrame, epoch_col: str, series: Sequence[str]) -> DataFrame:
     """Wide history (epoch, s1, s2, ...) -> long (epoch, variable, value)."""
@@ -23,38 +25,61 @@ def history_last(history: DataFrame, epoch_col: str, series: Sequence[str]) -> D
     )
 
 
+# Fixed values of the text report layout: column titles, field width, and the
+# longest summary row name (which sets the minimum width of the name column).
+REPORT_HEADERS = ("precision", "recall", "f1-score", "support")
+REPORT_FIELD_WIDTH = 9
+REPORT_LONGEST_SUMMARY = "weighted avg"
+
+
+def rjust(s: Column, width: Column | int) -> Column:
+    """Right-align ``s`` in ``width`` characters without ever cutting it
+    (``lpad`` truncates longer strings, e.g. a support count of 10 digits)."""
+    w = width if isinstance(width, Column) else F.lit(width)
+    return F.concat(F.repeat(F.lit(" "), F.greatest(w - F.length(s), F.lit(0))), s)
+
+
 def report_text(report: DataFrame, summary: DataFrame, name_col: str = "name", digits: int = 2) -> DataFrame:
-    """The classification report as formatted text lines, one per row.
+    """The classification report as aligned text lines (row_name, section,
+    line): a header (section 0), one line per class (1), then accuracy,
+    macro avg and weighted avg (2). The name column is as wide as the longest
+    class name or "weighted avg"; each field is right-aligned in 9 characters
+    after one space; numbers are written as Python's ``f"{x:.{digits}f}"``.
 
     ``report`` rows carry ``name_col`` (class name), ``summary`` rows carry
-    ``metric``. Numbers use ``%.{digits}f`` (Java rounding: exact halves go up).
+    ``metric``. The width is one aggregate over the class-sized report.
     """
-    fmt = f"%.{digits}f"
+    fw = REPORT_FIELD_WIDTH
+    width_row = report.agg(
+        F.greatest(
+            F.coalesce(F.max(F.length(F.col(name_col).cast("string"))), F.lit(0)),
+            F.lit(len(REPORT_LONGEST_SUMMARY)),
+            F.lit(digits),
+        ).alias("__w")
+    )
+    width = width_row.select("__w").scalar()
 
     def num(c):
-        return F.when(F.col(c).isNull(), F.lit("")).otherwise(F.format_string(fmt, F.col(c)))
+        return F.when(F.col(c).isNull(), F.lit("")).otherwise(fixed(F.col(c), digits))
+
+    def line(name: Column, fields: list[Column], w: Column) -> Column:
+        parts = [rjust(name, w), F.lit(" ")]
+        for f in fields:
+            parts += [F.lit(" "), rjust(f, fw)]
+        return F.concat(*parts)
 
-    cls_rows = report.select(
-        F.col(name_col).cast("string").alias("row_name"),
+    header = width_row.select(
+        F.lit("").alias("row_name"),
         F.lit(0).alias("section"),
-        num("precision").alias("precision"),
-        num("recall").alias("recall"),
-        num("f1").alias("f1"),
-        F.col("support").cast("string").alias("support"),
-    )
-    sum_rows = summary.select(
-        F.col("metric").alias("row_name"),
-        F.lit(1).alias("section"),
-        num("precision").alias("precision"),
-        num("recall").alias("recall"),
-        num("f1").alias("f1"),
-        F.col("support").cast("string").alias("support"),
+        line(F.lit(""), [F.lit(h) for h in REPORT_HEADERS], F.col("__w")).alias("line"),
     )
-    rows = cls_rows.unionByName(sum_rows)
-    return rows.select(
-        "row_name",
-        "section",
-        F.format_string("%s | %s | %s | %s | %s", "row_name", "precision", "recall", "f1", "support").alias("line"),
+
+    def rows(df: DataFrame, name: Column, section: int) -> DataFrame:
+        fields = [num("precision"), num("recall"), num("f1"), F.col("support").cast("string")]
+        return df.select(name.alias("row_name"), F.lit(section).alias("section"), line(name, fields, width).alias("line"))
+
+    return header.unionByName(rows(report, F.col(name_col).cast("string"), 1)).unionByName(
+        rows(summary, F.col("metric"), 2)
     )
 
 

@@ -377,7 +377,7 @@ def report_text(spark, sf):
     dim = _event_dictionary(spark, sf)
     rep = metrics.class_report(pairs, "true_type", "pred_type", dim.select("label")).withColumnRenamed("cls", "name")
     summ = metrics.report_summary(rep, pairs, "true_type", "pred_type")
-    return reports.report_text(rep, summ, digits=4).select("row_name", "section", "line")
+    return reports.report_text(rep, summ, digits=2).select("row_name", "section", "line")
 
 
 @query("predictions_table")

@@ -20,6 +20,15 @@ def _display(x: str) -> str:
     return _cap(f"replace({x}, '_', ' ')")
 
 
+def _rj(x: str, width) -> str:
+    """Right-justify without truncation (see ``reports.rjust``)."""
+    return f"(repeat(' ', greatest({width} - length({x}), 0)) || {x})"
+
+
+def _num(c: str) -> str:
+    return f"(CASE WHEN {c} IS NULL THEN '' ELSE printf('%.2f', {c}) END)"
+
+
 def _slug(x: str) -> str:
     return f"replace(lower({x}), ' ', '_')"
 
@@ -207,13 +216,18 @@ SELECT metric, round(precision, 6) AS precision, round(recall, 6) AS recall, rou
 WITH {_EVENT_DICT}, {_PAIRS},
   pr AS (SELECT true_type AS t, pred_type AS p FROM pairs),
   cl AS (SELECT label AS cls FROM dict), {_REPORT},
-  rows AS (SELECT cls AS row_name, 0 AS section, precision, recall, f1, support FROM rep
-           UNION ALL SELECT metric, 1, precision, recall, f1, support FROM summ)
+  w AS (SELECT greatest(coalesce(max(length(cls)), 0), 12, 2) AS width FROM rep),
+  rows AS (SELECT cls AS row_name, 1 AS section, precision, recall, f1, support FROM rep
+           UNION ALL SELECT metric, 2, precision, recall, f1, support FROM summ)
+SELECT '' AS row_name, 0 AS section,
+       {_rj("''", "width")} || ' ' || ' ' || {_rj("'precision'", 9)} || ' ' || {_rj("'recall'", 9)}
+       || ' ' || {_rj("'f1-score'", 9)} || ' ' || {_rj("'support'", 9)} AS line
+FROM w
+UNION ALL
 SELECT row_name, section,
-       printf('%s | %s | %s | %s | %s', row_name,
-              CASE WHEN precision IS NULL THEN '' ELSE printf('%.4f', precision) END,
-              CASE WHEN recall IS NULL THEN '' ELSE printf('%.4f', recall) END,
-              CASE WHEN f1 IS NULL THEN '' ELSE printf('%.4f', f1) END, support::VARCHAR) AS line
+       {_rj("row_name", "(SELECT width FROM w)")} || ' '
+       || ' ' || {_rj(_num("precision"), 9)} || ' ' || {_rj(_num("recall"), 9)}
+       || ' ' || {_rj(_num("f1"), 9)} || ' ' || {_rj("support::VARCHAR", 9)} AS line
 FROM rows""",
     "predictions_table": f"""
 WITH {_CENTROID}
