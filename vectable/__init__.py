@@ -1,0 +1,17 @@
+"""vectable: labelled binary / vector datasets and classifier evaluation on Spark.
+
+Modules:
+
+* ``vectable.sources``   - parquet tables, labelled file trees (``binaryFile`` /
+  ``image``), CSV and Parquet sinks;
+* ``vectable.functions`` - column expressions: path labels, display text, data
+  URIs, array scaling / standardisation / argmax / softmax;
+* ``vectable.operators`` - ``DataFrame -> DataFrame`` operators: labels,
+  vectors, images, quality, metrics, batching, reports, model;
+* ``vectable.streaming`` - file streams with ``availableNow`` runs;
+* ``vectable.plans``     - the registered queries over the driver tables and
+  their DuckDB oracle SQL;
+* ``vectable.job``       - the end-to-end training / evaluation job (CLI).
+"""
+
+__version__ = "0.1.0"
