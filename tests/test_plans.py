@@ -84,3 +84,19 @@ def test_metrics_agree_with_spark_ml_evaluator(spark):
     ce = metrics.cross_entropy(prob, "probability", "i", eps=1e-15).first()["cross_entropy"]
     assert ce == pytest.approx(ll.evaluate(prob), rel=1e-9)
     assert np.isfinite(ce)
+
+
+def test_class_means_compute_a_derived_vector_once(spark):
+    """The complete-vector filter must not copy the standardisation below it."""
+    e = spark.read.parquet(f"{SF_SMOKE}/embeddings.parquet")
+    z = e.select("label", A.standardize("embedding").alias("z"))
+    p = plan(vectors.class_means(z, "label", "z"))
+    assert p.count("array_repeat(struct(mu") == 1
+
+
+def test_vector_rejects_compute_the_reason_once(spark):
+    from vectable.operators import quality
+
+    e = spark.read.parquet(f"{SF_SMOKE}/embeddings.parquet")
+    p = plan(quality.vector_rejects(e, "vec_id", "embedding", 64))
+    assert p.count("THEN missing WHEN") == 1

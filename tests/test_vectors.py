@@ -69,3 +69,18 @@ def test_class_means_skip_missing_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 3.0]), (0, None), (1, [2.0, 2.0])], "label int, v array<double>")
     got = {r["label"]: (r["mean"], r["n_rows"]) for r in vectors.class_means(df, "label", "v").collect()}
     assert got == {0: ([1.0, 3.0], 1), 1: ([2.0, 2.0], 1)}
+
+
+@pytest.mark.parametrize("engine", ["arrow", "jvm"])
+def test_standardize_input_equals_prestandardized(spark, data, engine):
+    from vectable.functions import arrays as A
+
+    df, _ = data
+    flat = spark.createDataFrame([(999, 0, [2.0] * 6)], "id long, label int, v array<double>")
+    raw = df.unionByName(flat)
+    z = raw.select("id", "label", A.standardize("v").alias("v"))
+    cents = vectors.class_means(z, "label", "v")
+    a = {r["id"]: r["prediction"] for r in vectors.nearest_centroid(z, cents, "v", row_key="id", engine=engine).collect()}
+    b = {r["id"]: r["prediction"] for r in vectors.nearest_centroid(raw, cents, "v", row_key="id", engine=engine, standardize_input=True).collect()}
+    assert a == b
+    assert b[999] is None

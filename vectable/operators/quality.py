@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectable.functions import arrays as A
+from vectable.operators.common import computed_once
 
 
 class EmptyInputError(ValueError):
@@ -47,5 +48,7 @@ def vector_reject_reason(vec_col: str, dim: int) -> Column:
 
 
 def vector_rejects(df: DataFrame, id_col: str, vec_col: str, dim: int) -> DataFrame:
-    """P7 for vectors: (id, reason) of every unusable row."""
-    return df.select(id_col, vector_reject_reason(vec_col, dim).alias("reason")).where(F.col("reason").isNotNull())
+    """P7 for vectors: (id, reason) of every unusable row. The reason is
+    computed once per row (the filter is kept above it)."""
+    reasons = computed_once(df.select(id_col, vector_reject_reason(vec_col, dim).alias("reason")))
+    return reasons.where(F.col("reason").isNotNull())

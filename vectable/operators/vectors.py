@@ -52,10 +52,15 @@ def check_uniform_dim(df: DataFrame, vec_col: str) -> int:
 
 def class_means(df: DataFrame, label_col: str, vec_col: str, out_col: str = "mean") -> DataFrame:
     """A4: element-wise mean vector per class, as array<double>, plus the count
-    of rows with a vector (rows without one do not contribute; vectors of
+    of rows with a complete vector (rows without one, or with a NULL element
+    such as a standardised constant row, do not contribute; vectors of
     unequal length raise, as stacking them would)."""
     vec = array_to_vector(A.as_double_array(vec_col))
-    return df.where(F.col(vec_col).isNotNull()).groupBy(label_col).agg(
+    complete = F.col(vec_col).isNotNull() & ~F.exists(vec_col, lambda x: x.isNull())
+    # The vector is often a computed column (a standardised embedding): keep
+    # the filter from being pushed below it, which would compute it twice.
+    rows = computed_once(df.select(label_col, vec_col))
+    return rows.where(complete).groupBy(label_col).agg(
         vector_to_array(Summarizer.mean(vec)).alias(out_col),
         F.count(F.lit(1)).alias("n_rows"),
     )
@@ -79,24 +84,24 @@ def _usable(vec_col: str, d: int) -> Column:
     return F.col(vec_col).isNotNull() & (F.size(vec_col) == d)
 
 
-def _scores_jvm(df: DataFrame, vec_col: str, cents: DataFrame, d: int) -> DataFrame:
+def _scores_jvm(df: DataFrame, vec_col: str, cents: DataFrame, d: int, standardize: bool = False) -> DataFrame:
     """Add ``__cls`` (class labels, ascending) and ``__dist`` (squared
     distances, aligned) with JVM higher-order functions. The centroid list is a
     scalar subquery, attached as a column first (subqueries may not sit inside
     higher-order functions)."""
     arr = cents.select(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("cs")).scalar()
-    v = A.as_double_array(vec_col)
+    v = A.standardize(vec_col) if standardize else A.as_double_array(vec_col)
     dists = F.transform("__cents", lambda c: A.squared_distance(v, c["c"]))
     out = (
         df.withColumn("__cents", arr)
         .withColumn("__cls", F.transform("__cents", lambda c: c["label"]))
-        .withColumn("__dist", F.when(_usable(vec_col, d), dists))
+        .withColumn("__dist", F.when(_usable(vec_col, d) & ~F.exists(v, lambda x: x.isNull()), dists))
         .drop("__cents")
     )
     return computed_once(out)
 
 
-def _scores_arrow(df: DataFrame, vec_col: str, cents: DataFrame, d: int) -> DataFrame:
+def _scores_arrow(df: DataFrame, vec_col: str, cents: DataFrame, d: int, standardize: bool = False) -> DataFrame:
     """The same two columns from Arrow batches: each batch of vectors is one
     NumPy array, scored against the (size-checked) centroid matrix, which
     travels once per executor as a broadcast variable. One class at a time,
@@ -117,8 +122,16 @@ def _scores_arrow(df: DataFrame, vec_col: str, cents: DataFrame, d: int) -> Data
             vecs = pdf[vec_col]
             ok = np.array([v is not None and len(v) == Mx.shape[1] for v in vecs], dtype=bool)
             dist = [None] * len(pdf)
-            if ok.any():
+            if ok.any() and standardize:
+                X = np.stack([np.asarray(v, dtype=np.float64) for v in vecs[ok]])
+                mu = X.mean(axis=1, keepdims=True)
+                sd = X.std(axis=1, keepdims=True)
+                flat = sd[:, 0] == 0  # standardising a constant row is undefined
+                ok[np.flatnonzero(ok)[flat]] = False
+                X = ((X - mu) / np.where(sd == 0, 1.0, sd))[~flat]
+            elif ok.any():
                 X = np.stack([np.asarray(v, dtype=np.float64) for v in vecs[ok]])
+            if ok.any():
                 D = np.empty((X.shape[0], Mx.shape[0]))
                 for j in range(Mx.shape[0]):
                     diff = X - Mx[j]
@@ -145,6 +158,7 @@ def nearest_centroid(
     broadcast_budget: int = DEFAULT_BROADCAST_BUDGET,
     with_distances: bool = False,
     engine: str = "arrow",
+    standardize_input: bool = False,
 ) -> DataFrame:
     """K4 + J5: predicted class = centroid with the least squared distance; ties
     go to the smaller class label. Rows whose vector is NULL or of another
@@ -156,6 +170,10 @@ def nearest_centroid(
     ``engine="arrow"`` scores Arrow batches with NumPy (about 10x faster than
     ``engine="jvm"``, whose higher-order functions are interpreted per element
     outside whole-stage codegen); both give the same predictions.
+
+    ``standardize_input`` standardises each vector (F13) inside the scoring
+    pass, so centroids of standardised vectors can score raw vectors without
+    a second standardisation pass over the data. Constant rows get NULL.
     """
     # The centroid table is class-sized: compute it once, cut its lineage in the
     # shared checkpoint folder, and let both the size check and the scoring
@@ -172,7 +190,7 @@ def nearest_centroid(
     n_chunks = 1 if k <= per_chunk else 2 * math.ceil(k / per_chunk)
 
     if n_chunks == 1:
-        out = scores(df, vec_col, cents, d)
+        out = scores(df, vec_col, cents, d, standardize_input)
     else:
         # Every chunk's centroids fit the budget; each row is scored against
         # each chunk, and the per-row lists are merged (k entries per row).
@@ -181,7 +199,9 @@ def nearest_centroid(
         chunked = cents.withColumn("__chunk", F.pmod(F.xxhash64("label"), F.lit(n_chunks)))
         keyed = df.select(row_key, vec_col)
         parts = [
-            scores(keyed, vec_col, chunked.where(F.col("__chunk") == ci).drop("__chunk"), d).select(row_key, "__cls", "__dist")
+            scores(keyed, vec_col, chunked.where(F.col("__chunk") == ci).drop("__chunk"), d, standardize_input).select(
+                row_key, "__cls", "__dist"
+            )
             for ci in range(n_chunks)
         ]
         scored = parts[0]

@@ -234,18 +234,21 @@ def class_mean_trunc(spark, sf):
 
 
 def centroid_model(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Standardised embeddings and their class centroids (checkpointed once:
-    the centroid table is class-sized)."""
-    e = _embeddings(spark, sf).select("vec_id", "label", A.standardize("embedding").alias("z"))
-    cents = materialize(vectors.class_means(e, "label", "z"), "centroids")
-    return e, cents
+    """Raw embeddings and the class centroids of their standardised form
+    (materialised once: the centroid table is class-sized)."""
+    raw = _embeddings(spark, sf).select("vec_id", "label", "embedding")
+    z = raw.select("label", A.standardize("embedding").alias("z"))
+    cents = materialize(vectors.class_means(z, "label", "z"), "centroids")
+    return raw, cents
 
 
 def centroid_scored(spark, sf, with_distances: bool = False, model=None) -> DataFrame:
-    """Flagship slice: standardise -> class centroids -> nearest centroid."""
-    e, cents = model or centroid_model(spark, sf)
+    """Flagship slice: standardise -> class centroids -> nearest centroid. The
+    scoring pass standardises each vector itself (one pass over the data)."""
+    raw, cents = model or centroid_model(spark, sf)
     return vectors.nearest_centroid(
-        e, cents, "z", label_col="label", centroid_col="mean", pred_col="prediction", row_key="vec_id", with_distances=with_distances
+        raw, cents, "embedding", label_col="label", centroid_col="mean", pred_col="prediction", row_key="vec_id",
+        with_distances=with_distances, standardize_input=True,
     )
 
 

@@ -144,8 +144,9 @@ def stream_score(spark, sf):
     out = scratch_path(spark, "stream-score-out")
 
     def score(batch: DataFrame) -> DataFrame:
-        zb = batch.select("vec_id", "label", A.standardize("embedding").alias("z"))
-        return vectors.nearest_centroid(zb, cents, "z", row_key="vec_id").select("vec_id", "label", "prediction")
+        raw = batch.select("vec_id", "label", "embedding")
+        out = vectors.nearest_centroid(raw, cents, "embedding", row_key="vec_id", standardize_input=True)
+        return out.select("vec_id", "label", "prediction")
 
     stream.run_available_now(src, out, scratch_path(spark, "stream-score-ckpt"), transform=score)
     return stream.read_sink(spark, out)
