@@ -67,17 +67,19 @@ def _mlp(model: PipelineModel) -> MultilayerPerceptronClassificationModel:
 def predict(model: PipelineModel, df: DataFrame, vec_col: str, pred_col: str = "prediction") -> DataFrame:
     """K2 + K5: ``prediction`` (int class index, first maximum) and
     ``probability`` (array<double>). Rows whose vector is NULL keep a NULL
-    prediction (K3: a failed item yields None, not an error)."""
-    ok = df.where(F.col(vec_col).isNotNull())
-    bad = df.where(F.col(vec_col).isNull())
-    scored = model.transform(with_features(ok, vec_col))
-    scored = scored.select(
+    prediction (K3: a failed item yields None, not an error).
+
+    One pass: a missing vector is scored as zeros and its outputs are nulled
+    afterwards, so the input is neither split nor read twice."""
+    d = _mlp(model).numFeatures
+    missing = F.col(vec_col).isNull()
+    filled = F.when(missing, F.array_repeat(F.lit(0.0), d)).otherwise(A.as_double_array(vec_col))
+    scored = model.transform(df.withColumn(FEATURES, array_to_vector(filled)))
+    return scored.select(
         *df.columns,
-        F.col("prediction").cast("int").alias(pred_col),
-        vector_to_array("probability").alias("probability"),
+        F.when(~missing, F.col("prediction").cast("int")).alias(pred_col),
+        F.when(~missing, vector_to_array("probability")).alias("probability"),
     )
-    missing = bad.select(*df.columns, F.lit(None).cast("int").alias(pred_col), F.lit(None).cast("array<double>").alias("probability"))
-    return scored.unionByName(missing)
 
 
 def training_history(model: PipelineModel) -> list[tuple[int, float]]:
@@ -121,13 +123,20 @@ def hidden_features(model: PipelineModel, df: DataFrame, vec_col: str, out_col:
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            X = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-            H = 1.0 / (1.0 + np.exp(-(X @ Wl.T + bl)))
+            ok = pdf[vec_col].notna().to_numpy()
+            hidden = [None] * len(pdf)
+            if ok.any():
+                X = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col][ok]])
+                H = 1.0 / (1.0 + np.exp(-(X @ Wl.T + bl)))
+                for i, h in zip(np.flatnonzero(ok), H):
+                    hidden[i] = h
             out = pdf[cols].copy()
-            out[out_col] = list(H)
+            out[out_col] = hidden
             yield out
 
-    return df.where(F.col(vec_col).isNotNull()).mapInPandas(fn, schema)
+    # Rows without a vector get a NULL feature vector (no filter in front of
+    # the Python step, which could recompute a derived vector column).
+    return df.mapInPandas(fn, schema)
 
 
 def project_2d(df: DataFrame, vec_col: str, id_cols: list[str], label_col: str) -> DataFrame:
@@ -135,7 +144,7 @@ def project_2d(df: DataFrame, vec_col: str, id_cols: list[str], label_col: str)
     (x, y) coloured by label. Fewer than 2 rows give an empty frame."""
     # PCA makes several passes over its input; cut the lineage once (shared
     # checkpoint folder) so upstream work, e.g. a Python feature pass, runs once.
-    data = with_features(materialize(df, "pca-input"), vec_col, "__f")
+    data = with_features(materialize(df, "pca-input").where(F.col(vec_col).isNotNull()), vec_col, "__f")
     if data.limit(2).count() < 2:
         return df.sparkSession.createDataFrame([], f"{', '.join(c + ' string' for c in id_cols)}, x double, y double, {label_col} string")
     pca = PCA(k=2, inputCol="__f", outputCol="__p").fit(data)
