@@ -74,16 +74,10 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
 
 
 def _block_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of one block: sorted distinct shingles, how many different sets hold each, and the place of each shingle of each set."""
+    """Of one block: sorted distinct shingles, how many sets hold each, and the place of each shingle of each set."""
     every = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-    keys, inverse = np.unique(every, return_inverse=True)
-    seen, once = set(), []
-    for s in sets:
-        sig = _signature(s)
-        once.append(np.full(len(s), sig not in seen))
-        seen.add(sig)
-    counts = np.bincount(inverse, weights=np.concatenate(once) if once else None, minlength=len(keys)).astype(np.uint32)
-    return keys, counts, inverse
+    keys, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
+    return keys, counts.astype(np.uint32), inverse
 
 
 def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
