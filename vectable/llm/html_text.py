@@ -151,6 +151,7 @@ class Lines:
         self.gap = 0  # 1: a new line, 2: an empty line before it
         self.indent = ""
         self.mark = ""
+        self.kept = False  # the open line's leading space is text
 
     def text(self, s: str) -> None:
         words = s.split()
@@ -166,7 +167,7 @@ class Lines:
     def raw(self, s: str) -> None:
         first, *rest = s.split("\n")
         self._start()
-        self.open += first
+        self.open, self.kept = self.open + first, True
         for x in rest:
             self.line(True)
             self.open += x
@@ -178,13 +179,13 @@ class Lines:
 
     def line(self, keep: bool = False) -> None:
         """End the open line, if it has any text (or ``keep`` says so)."""
-        s = self.open if keep else self.open.strip()
+        s = self.open if keep else self.open.rstrip() if self.kept else self.open.strip()
         if s or keep or self.mark:
             if not s and self.mark:
                 return
             self.lines.append((self.indent[: len(self.indent) - len(self.mark)] + self.mark + s).rstrip())
             self.mark = ""
-        self.open = ""
+        self.open, self.kept = "", keep and self.kept
 
     def block(self, margin: int) -> None:
         self.line()

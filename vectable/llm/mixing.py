@@ -131,12 +131,13 @@ def mix_sources(docs: DataFrame, weights: list[float], share: float = 1.5, most:
     planned = units.withColumn("whole", F.floor(want)).withColumn("p", want - F.floor(want))
     planned = stored(planned.select("grp", F.col("id").alias("key"), "unit", "source_size", "target", "whole", "p"), "planned")
     extra = pivotal_rounding(planned.where("p > 0 and p < 1 and unit > 0").select("grp", "key", F.col("unit").alias("size"), "p"), seed)
+    extra = extra.toDF("extra_grp", "extra_key", "copy")
 
-    def on(a: DataFrame, b: DataFrame) -> list[Column]:
-        return [a["grp"] == b["grp"], a["key"].eqNullSafe(b["key"])]
+    def on(a: DataFrame, b: DataFrame, prefix: str = "") -> list[Column]:
+        return [a["grp"] == b[f"{prefix}grp"], a["key"].eqNullSafe(b[f"{prefix}key"])]
 
     copies = (F.col("whole") + F.coalesce("copy", F.lit(0))).cast("int").alias("copies")
-    decided = stored(planned.join(extra, on(planned, extra), "left").select(planned["grp"], planned["key"], "source_size", "target", copies), "decided")
+    decided = stored(planned.join(extra, on(planned, extra, "extra_"), "left").select(planned["grp"], planned["key"], "source_size", "target", copies), "decided")
     rows = sizes.select("source", "size", F.col("id").alias("key"), grp.alias("grp"))
     out = rows.join(decided, on(rows, decided))
     return out.select(rows["key"].alias(id_col), "source", "size", "source_size", "target", "copies")

@@ -162,7 +162,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     it is that one)."""
     rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda v: v.cast("double")).alias("v"))
     rows = rows.groupBy("id").agg(F.min("v").alias("v"))
-    dim = dimension(rows, "v")
+    dim = dimension(rows, "v") or 1
     # Equal directions are one class: the same unit vector, to the last bit.
     scale = F.aggregate("v", F.lit(0.0), lambda t, v: F.greatest(t, F.abs(v)))
     small = F.transform("v", lambda v: v / F.col("scale"))
