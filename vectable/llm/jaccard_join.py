@@ -42,7 +42,7 @@ from vectable.llm.words import hash_words, in_chunks, mix
 #: Bins of the suffix filter: shared shingles of a set counted by hash range.
 BINS = 16
 #: Pairs that may be formed for each posting before another round of centres, and the most such rounds.
-PAIRS_A_POSTING, ROUNDS = 16, 6
+PAIRS_A_POSTING, ROUNDS = 16, 4
 WIDTH = 6
 
 
@@ -176,15 +176,16 @@ def linked_classes(sets: DataFrame, percent: int = 75) -> tuple[DataFrame, DataF
     kept = B.stored(posts.join(B.stored(chosen, "groups"), "h").select("h", "rep", "n", "pos", F.col("rep").alias("comp")), "postings")
     B.dropped(posts)
 
-    checked, comps = None, None
+    checked, comps, base = None, None, 0
     for k in range(ROUNDS + 1):
         by = kept.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
         mixed = B.stored(by.groupBy("h").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select("h", "m", F.col("top.comp").alias("top"), (F.col("m") - F.col("top.c")).alias("rest")), "mixed")
         pairs, left = mixed.select(F.sum(F.col("m") * F.col("rest")), F.sum("m")).first()
         if not left:
             break
+        base = base or left
         open_ = B.stored(kept.join(mixed.select("h", "top"), "h"), "open")
-        last = k == ROUNDS or pairs <= PAIRS_A_POSTING * left
+        last = k == ROUNDS or k > 0 and pairs <= PAIRS_A_POSTING * base
         if last:
             some = B.stored(open_.where("comp <> top"), "few")
         else:
@@ -198,7 +199,8 @@ def linked_classes(sets: DataFrame, percent: int = 75) -> tuple[DataFrame, DataF
         comps = components(checked.where("linked"))
         if last:
             break
-        kept = B.stored(kept.drop("comp").join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "postings")
+        # Groups inside one component are done.
+        kept = B.stored(open_.drop("comp", "top").join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "postings")
     if comps is None:
         comps = reps.where("false").select(F.col("rep").alias("id"), F.col("rep").alias("comp"))
     return classes, comps

@@ -29,10 +29,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def hash_words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def hash_words(texts: list[bytes], lower: bool = True, prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts, in order, and for each text the index
     of its first word, followed by the number of words (``len(texts) + 1``
-    bounds). Empty texts have no word."""
+    bounds). Empty texts have no word. With ``prefixes``, hashes are rows of
+    the word's and then its first so many bytes' (0 for a shorter word)."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     b = np.frombuffer(b" ".join(texts), dtype=np.uint8)
     begin = np.zeros(len(texts) + 1, dtype=np.int64)
@@ -41,15 +42,18 @@ def hash_words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.n
         b = LOWER[b]
     at = np.flatnonzero(~SPACE[b])
     if not len(at):
-        return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+        none = np.empty((0, 1 + len(prefixes)), np.uint64)
+        return none if prefixes else none.ravel(), np.zeros(len(texts) + 1, np.int64)
     first = np.empty(len(at), dtype=bool)
     first[0] = True
     np.not_equal(at[1:], at[:-1] + 1, out=first[1:])
     start = np.flatnonzero(first)
     length = np.diff(np.append(start, len(at)))
     place = np.arange(len(at)) - np.repeat(start, length)
-    h = np.add.reduceat(BYTE[b[at]] * POWER[place % SPAN], start)
-    h = mix(h + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    value = BYTE[b[at]] * POWER[place % SPAN]
+    h = mix(np.add.reduceat(value, start) + length.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    if prefixes:
+        h = np.column_stack([h, *(np.where(length > k, mix(np.add.reduceat(np.where(place < k, value, np.uint64(0)), start) + np.uint64(k)), np.uint64(0)) for k in prefixes)])
     return h, np.searchsorted(at[start], begin)
 
 
