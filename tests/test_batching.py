@@ -43,3 +43,17 @@ def test_first_n_per_group_and_page(spark):
     page = [r["id"] for r in batching.page(df, 1, ["id"], 10).collect()]
     assert page == list(range(10, 20))
     assert [r["id"] for r in batching.ordered_cap(df, 3, [F.col("id").desc()]).collect()] == [29, 28, 27]
+
+
+def test_rows_without_an_id_get_a_batch(spark):
+    df = spark.createDataFrame([(1, 0), (2, 0), (None, 0)], "vec_id long, label int")
+    assert sorted(r["row_idx"] for r in batching.mini_batches(df, "vec_id", batch_size=2).collect()) == [0, 1, 2]
+
+
+def test_pages_by_key_are_the_pages_by_offset(spark):
+    df = spark.createDataFrame([(i * 3, i % 3) for i in range(30)], "id long, g int")
+    last = None
+    for k in range(4):
+        a = [r["id"] for r in batching.page(df, k, ["id"], 10).collect()]
+        assert [r["id"] for r in batching.page_after(df, last, "id", 10).collect()] == a
+        last = a[-1] if a else last

@@ -62,9 +62,9 @@ def test_images_decode_rgb_and_rejects(spark, image_tree):
 def test_standardised_image_vectors(spark, image_tree):
     base, _ = image_tree
     imgs = files.labelled_images(spark, base, splits=["test"])
-    vec = {os.path.basename(r["path"]): np.array(r["vector"], dtype=np.float64) for r in I.image_vectors(imgs, size=(8, 8)).collect()}
-    assert np.isnan(vec["flat.png"]).all()  # constant image, eps = 0
-    v = vec["x.png"]
+    vec = {os.path.basename(r["path"]): r["vector"] for r in I.image_vectors(imgs, size=(8, 8)).collect()}
+    assert vec["flat.png"] is None  # constant image, eps = 0
+    v = np.array(vec["x.png"], dtype=np.float64)
     assert abs(v.mean()) < 1e-5 and abs(v.std() - 1) < 1e-4
     eps = {os.path.basename(r["path"]): np.array(r["vector"]) for r in I.image_vectors(imgs, size=(8, 8), eps=1e-7).collect()}
     assert np.allclose(eps["flat.png"], 0)
@@ -96,3 +96,26 @@ def test_csv_and_dump_roundtrip(spark, tmp_path):
     files.write_dump(df, str(tmp_path / "dump"), ["label"])
     d = files.read_dump(spark, str(tmp_path / "dump")).first()
     assert bytes(d["content"]) == b"\x00\x01" * 100 and d["label"] == "x"
+    files.write_dump(df.withColumn("label", F.lit("01")), str(tmp_path / "dump2"), ["label"])
+    assert files.read_dump(spark, str(tmp_path / "dump2"), df.schema).first()["label"] == "01"
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace
+
+    from vectable.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    for master in ("local-cluster[3,1,1024]", "spark://host:7077", "yarn"):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_root(SimpleNamespace(conf=conf, sparkContext=sc))
+
+
+def test_every_file_is_decoded_or_rejected(spark, image_tree):
+    base, _ = image_tree
+    imgs = files.labelled_images(spark, base, only_image_names=False)
+    vec = I.image_vectors(imgs, size=(4, 4), keep_undecodable=True)
+    got = {os.path.basename(r["path"]): r["vector"] is not None for r in vec.collect()}
+    assert got["placeholder"] is False and got["bad.png"] is False and got["flat.png"] is False
+    assert sum(got.values()) == 7 and len(got) == files.listing(spark, base).count()

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 from vectable.operators import metrics
 
+# Class names and golden confusion matrices (rows = true, columns = predicted).
 CLASSES = ["adenocarcinoma", "large_cell_carcinoma", "normal", "squamous_cell_carcinoma"]
-
-# Golden confusion matrices (rows = true, columns = predicted).
 SAVED_PREDICTIONS = [[0, 0, 4, 74], [2, 0, 2, 14], [0, 0, 44, 1], [0, 0, 0, 59]]
 DASHBOARD = [[20, 32, 0, 26], [3, 10, 0, 5], [0, 1, 43, 1], [4, 21, 0, 34]]
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from conftest import write_png
 from vectable.job import run_training_job
 
 
@@ -17,14 +19,14 @@ def test_training_job(spark, image_tree, tmp_path):
     dim = {r["label"]: r["label_index"] for r in spark.read.parquet(f"{out}/label_dictionary").collect()}
     assert dim == {"adeno": 0, "empty_class": 1, "large_cell_x": 2, "normal": 3}
     assert res["classes"] == 4
-    rej = [os.path.basename(r["path"]) for r in spark.read.parquet(f"{out}/rejects").collect()]
-    assert rej == ["bad.png"]
-    assert res["counts"] == {"train": 4, "test": 4}
+    rej = {os.path.basename(r["path"]): r["reason"] for r in spark.read.parquet(f"{out}/rejects").collect()}
+    assert rej == {"bad.png": "undecodable image", "placeholder": "undecodable image", "flat.png": "constant image"}
+    assert res["counts"] == {"train": 5, "test": 4, "valid": 1} and res["loaded"] == {"train": 4, "test": 3}
     preds = spark.read.schema("image_path string, true_label string, predicted_label string").option("header", True).csv(f"{out}/predictions")
-    assert preds.count() == 4
+    assert preds.count() == 3
     assert preds.where(F.col("predicted_label").isNull()).count() == 0
     conf = spark.read.parquet(f"{out}/confusion")
-    assert conf.count() == 16 and conf.agg(F.sum("n")).first()[0] == 4
+    assert conf.count() == 16 and conf.agg(F.sum("n")).first()[0] == 3
     assert 0.0 <= res["accuracy"] <= 1.0
     wide = spark.read.parquet(f"{out}/confusion_wide")
     assert wide.columns == ["true", "adeno", "empty_class", "large_cell_x", "normal"]
@@ -49,7 +51,25 @@ def test_caps_apply_before_undecodable_rows_drop(spark, image_tree, tmp_path):
     res = run_training_job(spark, base, str(tmp_path / "o"), size=(8, 8), max_iter=2, train_cap=5, test_cap=2)
     # train files in path order: 2 large.cell.x, UP.PNG, a.jpg.png, bad.png -> bad.png drops
     assert res["train_rows"] == 4
-    assert res["test_rows"] == 2
+    # test files in path order: x.png, flat.png -> the constant one drops
+    assert res["test_rows"] == 1
+
+
+def test_bad_training_images_do_not_end_the_job(spark, tmp_path):
+    """A flat, a corrupt and a wrong-size image, and a decodable file of any name, in train."""
+    rng = np.random.default_rng(3)
+    base = tmp_path / "tree"
+    for split in ("train", "test"):
+        for label in ("a", "b"):
+            for i in range(3):
+                write_png(str(base / split / label / f"{i}.png"), rng.integers(0, 256, (6, 6, 3)))
+    write_png(str(base / "train/a/flat.png"), np.full((6, 6, 3), 9))
+    write_png(str(base / "train/a/wide.png"), rng.integers(0, 256, (3, 20, 3)))
+    write_png(str(base / "train/b/scan01"), rng.integers(0, 256, (6, 6, 3)))
+    (base / "train/b/broken.png").write_bytes(b"no image")
+    res = run_training_job(spark, str(base), str(tmp_path / "o"), size=(6, 6), max_iter=3)
+    assert res["counts"] == {"train": 10, "test": 6} and res["loaded"] == {"train": 8, "test": 6}
+    assert res["train_rows"] == 8 and res["test_rows"] == 6
 
 
 def test_job_cli_error_code(tmp_path, capsys):

@@ -35,6 +35,14 @@ def test_weighted_recall_is_accuracy(spark, preds):
     assert s["accuracy"]["f1"] == pytest.approx(float((t == p).mean()))
 
 
+def test_unknown_classes_keep_their_cells(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None), ("b", "zz"), (None, "a")], "t string, p string")
+    classes = spark.createDataFrame([("a",), ("b",)], "c string")
+    got = {(r["true"], r["pred"]): r["n"] for r in metrics.confusion_long(df, "t", "p", classes).collect()}
+    assert got == {("a", "a"): 1, ("a", "b"): 0, ("b", "a"): 0, ("b", "b"): 0, ("a", None): 1, ("b", "zz"): 1, (None, "a"): 1}
+    assert sum(got.values()) == df.count()
+
+
 def test_cross_entropy(spark):
     df = spark.createDataFrame([([0.7, 0.2, 0.1], 0), ([0.0, 1.0, 0.0], 0)], "p array<double>, i int")
     ce = metrics.cross_entropy(df, "p", "i").first()["cross_entropy"]

@@ -69,3 +69,22 @@ def test_save_load(spark, fitted, tmp_path):
     a = {r["vec_id"]: r["prediction"] for r in model.predict(m, e, "z").collect()}
     b = {r["vec_id"]: r["prediction"] for r in model.predict(m2, e, "z").collect()}
     assert a == b
+
+
+def test_unusable_vectors_never_end_fit_or_score(spark, fitted):
+    m, e = fitted
+    nan, inf = float("nan"), float("inf")
+    bad = [(10_000 + i, 0, v) for i, v in enumerate([None, [1.0], [nan] * 64, [None] * 64, [inf] + [0.0] * 63])]
+    both = e.unionByName(spark.createDataFrame(bad, "vec_id long, label int, z array<double>"))
+    got = {r["vec_id"]: r["prediction"] for r in model.predict(m, both, "z").collect()}
+    assert all(got[b[0]] is None for b in bad) and sum(p is not None for p in got.values()) == e.count()
+    hidden = {r["vec_id"]: r["hidden"] for r in model.hidden_features(m, both, "z").collect()}
+    assert all(hidden[b[0]] is None for b in bad)
+    again = model.fit_classifier(both, "z", "label", 10, hidden=16, max_iter=2, seed=1)
+    assert again.stages[-1].getLayers()[0] == 64
+
+
+def test_projection_of_one_row_keeps_the_types(spark, fitted):
+    m, e = fitted
+    one = model.project_2d(model.hidden_features(m, e.limit(1), "z"), "hidden", ["vec_id"], "label")
+    assert one.count() == 0 and one.dtypes == [("vec_id", "bigint"), ("x", "double"), ("y", "double"), ("label", "int")]

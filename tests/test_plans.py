@@ -50,12 +50,19 @@ def test_scoring_runs_once_per_row(spark, engine):
     filter inferred from the confusion-matrix join)."""
     e = spark.read.parquet(f"{SF_SMOKE}/embeddings.parquet").select("vec_id", "label", "embedding")
     cents = vectors.class_means(e, "label", "embedding")
-    scored = vectors.nearest_centroid(e, cents, "embedding", row_key="vec_id", engine=engine)
-    p = plan(metrics.confusion_long(scored, "label", "prediction"))
+    scored = vectors.nearest_centroid(e, cents, "embedding", engine=engine)
+    p = plan(metrics.pair_counts(scored, "label", "prediction").where("pred is not null"))
     if engine == "jvm":
         assert p.count("lambdafunction(aggregate(zip_with") == 1
     else:
-        assert p.count("MapInPandas") == 1
+        assert p.count("MapInArrow") == 1 and "embedding#" not in p.split("MapInArrow")[0]
+
+
+@pytest.mark.parametrize("name", ["report_summary", "report_text", "class_report"])
+def test_reports_read_the_predictions_once(spark, name):
+    """What is left in the plan reads the pair counts; only class_report scans the table itself."""
+    p = plan(queries()[name](spark, SF_SMOKE))
+    assert p.count("events.parquet") == (1 if name == "class_report" else 0)
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))

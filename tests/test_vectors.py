@@ -34,12 +34,12 @@ def test_class_means(spark, data):
 
 
 @pytest.mark.parametrize("engine", ["arrow", "jvm"])
-@pytest.mark.parametrize("budget", [vectors.DEFAULT_BROADCAST_BUDGET, 200])
+@pytest.mark.parametrize("budget", [vectors.BLOCK_BYTES, 200])
 def test_nearest_centroid_single_and_chunked(spark, data, budget, engine):
     df, rows = data
     cents_exp, exp = _brute(rows)
     cents = vectors.class_means(df, "label", "v")
-    out = vectors.nearest_centroid(df, cents, "v", row_key="id", broadcast_budget=budget, with_distances=True, engine=engine)
+    out = vectors.nearest_centroid(df, cents, "v", block_bytes=budget, with_distances=True, engine=engine)
     got = {r["id"]: r["prediction"] for r in out.collect()}
     assert got == exp
     probs = vectors.class_probabilities(out).collect()
@@ -54,9 +54,27 @@ def test_nearest_centroid_single_and_chunked(spark, data, budget, engine):
 def test_nearest_centroid_null_and_short_vectors(spark, data, engine):
     df, _ = data
     cents = vectors.class_means(df, "label", "v")
-    odd = spark.createDataFrame([(1000, 0, None), (1001, 0, [1.0, 2.0])], "id long, label int, v array<double>")
-    out = vectors.nearest_centroid(odd, cents, "v", row_key="id", engine=engine).collect()
-    assert [r["prediction"] for r in out] == [None, None]
+    bad = [None, [1.0, 2.0], [float("nan")] + [0.0] * 5, [None] + [0.0] * 5, [float("inf")] + [0.0] * 5]
+    odd = spark.createDataFrame([(1000 + i, 0, v) for i, v in enumerate(bad)], "id long, label int, v array<double>")
+    out = vectors.nearest_centroid(odd, cents, "v", engine=engine).collect()
+    assert [r["prediction"] for r in out] == [None] * len(bad)
+
+
+@pytest.mark.parametrize("engine", ["arrow", "jvm"])
+@pytest.mark.parametrize("block", [vectors.BLOCK_BYTES, 1])
+def test_nearest_centroid_keeps_rows_of_any_key(spark, engine, block):
+    """The number of blocks changes nothing, nor do keys that repeat or are NULL."""
+    df = spark.createDataFrame([(1, 0, [0.0, 0.0]), (1, 1, [1.0, 1.0]), (None, 0, [0.1, 0.0])], "id long, label int, v array<double>")
+    cents = spark.createDataFrame([(1, [1.0, 1.0]), (0, [0.0, 0.0]), (2, [0.0, 0.0])], "label int, mean array<double>")
+    out = vectors.nearest_centroid(df, cents, "v", engine=engine, block_bytes=block, with_distances=True).collect()
+    assert sorted((r["id"] or -1, r["label"], r["prediction"]) for r in out) == [(-1, 0, 0), (1, 0, 0), (1, 1, 1)]
+    assert all(r["classes"] == [0, 1, 2] for r in out)
+
+
+def test_class_means_skip_nan_rows(spark):
+    df = spark.createDataFrame([(0, [1.0, 3.0]), (0, [float("nan"), 1.0]), (0, [float("inf"), 1.0])], "label int, v array<double>")
+    r = vectors.class_means(df, "label", "v").first()
+    assert (r["mean"], r["n_rows"]) == ([1.0, 3.0], 1)
 
 
 def test_uniform_dim(spark):
@@ -80,7 +98,7 @@ def test_standardize_input_equals_prestandardized(spark, data, engine):
     raw = df.unionByName(flat)
     z = raw.select("id", "label", A.standardize("v").alias("v"))
     cents = vectors.class_means(z, "label", "v")
-    a = {r["id"]: r["prediction"] for r in vectors.nearest_centroid(z, cents, "v", row_key="id", engine=engine).collect()}
-    b = {r["id"]: r["prediction"] for r in vectors.nearest_centroid(raw, cents, "v", row_key="id", engine=engine, standardize_input=True).collect()}
+    a = {r["id"]: r["prediction"] for r in vectors.nearest_centroid(z, cents, "v", engine=engine).collect()}
+    b = {r["id"]: r["prediction"] for r in vectors.nearest_centroid(raw, cents, "v", engine=engine, standardize_input=True).collect()}
     assert a == b
     assert b[999] is None

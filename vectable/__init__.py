@@ -12,6 +12,15 @@ Modules:
 * ``vectable.plans``     - the registered queries over the driver tables and
   their DuckDB oracle SQL;
 * ``vectable.job``       - the end-to-end training / evaluation job (CLI).
+
+Functions that run in tasks are pickled by value: executors need this package
+on no path of their own.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"

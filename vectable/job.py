@@ -1,12 +1,14 @@
 """The training / evaluation job (H1, H2) over a labelled image tree
 ``<base>/<split>/<class>/<file>``, end to end on Spark:
 
-scan (S2, S4) -> label dictionary over all splits (U1, U2, W2) -> rejects
-(P7) -> decode to vectors (F10-F13) written once as a table -> encode labels
-(J1) -> split counts (A1), class distribution (A3) -> optional row caps,
-applied before undecodable rows drop out as in the reference (L1, L2) -> fit
-(K1), history (K6) -> score the test split (K2) -> decode names (J2) ->
-predictions CSV (S7), report, confusion matrix long and wide (A5-A13) ->
+scan (S2, S4) -> label dictionary over all splits (U1, U2, W2) -> every file
+decoded once to a vector (F10-F13) and written as a table, those that give
+none with the reason why as rejects (P7) -> encode labels (J1) -> counts of
+all files by split (A1) and of the decoded ones (A17), class distribution (A3)
+-> optional row caps in path order, applied before unusable files drop out
+(L1, L2; a cap on the test split is a preview, not the whole evaluation) ->
+fit (K1), history (K6) -> score the test split once (K2) -> decode names (J2)
+-> predictions CSV (S7), report, confusion matrix long and wide (A5-A13) ->
 spot checks of the first valid and test file (L3, R6, K3) -> model (S10),
 training batches (L7, L8); with ``dashboard``: mean image per class (A4) and
 the latent 2-D view of five files per class (W1, K7, K8).
@@ -26,14 +28,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from vectable.operators import batching, labels, metrics, model, quality, vectors
+from vectable.operators.common import materialize
 from vectable.operators.images import image_vectors
 from vectable.operators.reports import predictions_table
 from vectable.session import build_session
 from vectable.sources import files
 
-# Row caps up to this size are broadcast as a path list when applied.
-MAX_BROADCAST_CAP = 1_000_000
-
 
 def run_training_job(
     spark: SparkSession,
@@ -53,16 +53,19 @@ def run_training_job(
     dim = labels.check_dimension(labels.label_dictionary(listing.select("label")))
     dim.write.mode("overwrite").parquet(f"{out}/label_dictionary")
 
-    imgs = files.labelled_images(spark, base_dir)
-    quality.image_rejects(imgs).write.mode("overwrite").parquet(f"{out}/rejects")
-
-    # Decoding is the costly step: run it once and keep the result as a table,
-    # which also cuts the lineage the iterative fit would otherwise replay.
-    vec = labels.encode_labels(image_vectors(imgs, size), dim)
-    vec.write.mode("overwrite").partitionBy("split").parquet(f"{out}/vectors")
-    vec = spark.read.parquet(f"{out}/vectors")
-
-    counts = {r["split"]: r["n_rows"] for r in labels.split_counts(vec).collect()}
+    # Decoding is the costly step: run it once for every file, whatever its name,
+    # and keep the result as a table, which also cuts the lineage that the
+    # iterative fit would otherwise replay. A file without a vector is a reject.
+    imgs = files.labelled_images(spark, base_dir, only_image_names=False)
+    decoded = labels.encode_labels(image_vectors(imgs, size, keep_undecodable=True), dim)
+    decoded.write.mode("overwrite").partitionBy("split").parquet(f"{out}/vectors")
+    decoded = spark.read.schema(decoded.schema).parquet(f"{out}/vectors")
+    why = F.when(F.col("height") <= 0, F.lit("undecodable image")).otherwise(F.lit("constant image"))
+    decoded.where(F.col("vector").isNull()).select("path", why.alias("reason")).write.mode("overwrite").parquet(f"{out}/rejects")
+    vec = decoded.where(F.col("vector").isNotNull())
+
+    counts = {r["split"]: r["n_rows"] for r in labels.split_counts(listing).collect()}
+    loaded = {r["split"]: r["n_rows"] for r in labels.split_counts(vec).collect()}
     labels.class_distribution(listing, "split", "label", F.col("is_image")).write.mode("overwrite").parquet(
         f"{out}/class_distribution"
     )
@@ -70,10 +73,9 @@ def run_training_job(
     def split_rows(split: str, cap: int | None):
         rows = vec.where(F.col("split") == split)
         if cap:
-            # The reference's order: cap the split's files (now in path order),
-            # then drop those that do not decode; fewer than ``cap`` may remain.
+            # Cap the split's files (in path order), then drop those that do not
+            # decode; fewer than ``cap`` may remain.
             first = batching.ordered_cap(listing.where(F.col("split") == split).select("path"), cap, ["path"])
-            first = F.broadcast(first) if cap <= MAX_BROADCAST_CAP else first
             rows = rows.join(first, "path", "left_semi")
         return rows
 
@@ -89,15 +91,18 @@ def run_training_job(
 
     test = split_rows("test", test_cap)
     quality.require_rows(test, "test split")
-    scored = model.predict(m, test, "vector")
+    # Scored once; every report below reads the keys and classes from this table.
+    scored = model.predict(m, test, "vector").select("path", "label_index", "prediction")
+    scored = materialize(scored, "scored")
     named = labels.decode_labels(scored, dim, {"label_index": "true_label", "prediction": "predicted_label"})
     files.write_csv(predictions_table(named, "path", "true_label", "predicted_label"), f"{out}/predictions")
 
     classes = dim.select(F.col("label_index").alias("cls"))
-    report = metrics.class_report(scored, "label_index", "prediction", classes)
+    pairs = materialize(metrics.pair_counts(scored, "label_index", "prediction"), "pairs")
+    report = metrics.class_report(scored, "label_index", "prediction", classes, counts=pairs)
     report.write.mode("overwrite").parquet(f"{out}/report")
-    metrics.report_summary(report, scored, "label_index", "prediction").write.mode("overwrite").parquet(f"{out}/summary")
-    long = metrics.confusion_long(scored, "label_index", "prediction", classes)
+    metrics.report_summary(report, scored, "label_index", "prediction", counts=pairs).write.mode("overwrite").parquet(f"{out}/summary")
+    long = metrics.confusion_long(scored, "label_index", "prediction", classes, counts=pairs)
     long.write.mode("overwrite").parquet(f"{out}/confusion")
     names = {r["label_index"]: r["label"] for r in dim.collect()}  # class-sized (bound checked)
     metrics.confusion_wide(spark.read.parquet(f"{out}/confusion"), sorted(names), names).write.mode("overwrite").parquet(
@@ -110,14 +115,17 @@ def run_training_job(
         batching.first_row(listing.where(F.col("split") == s).select("path", "split", "label"), ["path"])
         for s in ("valid", "test")
     ]
-    spot = firsts[0].unionByName(firsts[1]).join(vec.select("path", "vector"), "path", "left")
+    spot = firsts[0].unionByName(firsts[1])
+    paths = [r["path"] for r in spot.collect()]  # two at most
+    spot = spot.join(vec.where(F.col("path").isin(paths)).select("path", "vector"), "path", "left")
     spot = model.predict(m, labels.encode_labels(spot, dim), "vector")
     spot = labels.decode_labels(spot, dim, {"label_index": "true_label", "prediction": "predicted_label"})
     spot.select("split", "path", "true_label", "predicted_label").write.mode("overwrite").parquet(f"{out}/spot_checks")
 
     if dashboard:
         # A4 on images: mean of the resized 0..255 pixels per class, truncated.
-        raw = image_vectors(imgs.where(F.col("split") == "train"), size, standardize=False)
+        named_images = files.labelled_images(spark, base_dir, ["train"])
+        raw = image_vectors(named_images, size, standardize=False)
         vectors.class_means_truncated(raw, "label", "vector").write.mode("overwrite").parquet(f"{out}/mean_images")
         # W1 + K7 + K8: the first five training files per class, hidden-layer
         # features, projected to 2-D.
@@ -129,6 +137,7 @@ def run_training_job(
     history = model.training_history(m)
     return {
         "counts": counts,
+        "loaded": loaded,
         "classes": n_classes,
         "train_rows": train.count(),
         "test_rows": test.count(),
@@ -149,8 +158,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     owned = SparkSession.getActiveSession() is None
-    spark = build_session("vectable-job", master=args.master)
+    spark = None
     try:
+        spark = build_session("vectable-job", master=args.master)
         res = run_training_job(
             spark,
             args.base,
@@ -167,7 +177,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"ERROR: {e}", file=sys.stderr)
         return 1
     finally:
-        if owned:
+        if owned and spark is not None:
             spark.stop()
 
 

@@ -42,6 +42,23 @@ def bounded_dimension(df: DataFrame, max_rows: int, what: str = "dimension") ->
     return out
 
 
+#: Rows and bytes that ``small_or_plain`` may make a local frame of.
+SMALL_ROWS, SMALL_BYTES = 20_000, 8 * 1024 * 1024
+
+
+def small_or_plain(df: DataFrame) -> DataFrame:
+    """A frame of at most ``SMALL_ROWS`` and ``SMALL_BYTES`` as a local relation,
+    whose exact size the planner knows; a larger one as it is, for an ordinary
+    join. One bounded read; no size is refused, and results are the same."""
+    if getattr(df, "_vectable_checked", False):
+        return df
+    rows = df.limit(SMALL_ROWS + 1).toArrow()
+    small = rows.num_rows <= SMALL_ROWS and rows.nbytes <= SMALL_BYTES
+    out = df.sparkSession.createDataFrame(rows, df.schema) if small else df
+    out._vectable_checked = True
+    return out
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Compute ``df`` once and cut its lineage: write it as Parquet to a fresh
     folder under the shared checkpoint folder (``spark.checkpoint.dir``) and

@@ -2,9 +2,11 @@
 (W2), encode / decode joins (J1, J2), split counts (A1), class distribution
 with empty classes kept (A3), class presence (P9, J4).
 
-The label dictionary is a dimension with one row per class. Its size is the
-number of classes, so it is the one frame we number in a single partition and
-broadcast; ``check_dimension`` enforces that bound before it is broadcast.
+The label dictionary is a dimension with one row per class, numbered in one
+ordered window. Joins with it carry no hint: ``check_dimension`` reads a small
+one once and makes it a local frame of known bytes, which Spark broadcasts
+while it is under its threshold; a larger one stays a frame and is joined by
+shuffle. The answers are the same.
 """
 
 from __future__ import annotations
@@ -13,9 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectable.functions.text import display_label, capitalize
-from vectable.operators.common import bounded_dimension
+from vectable.operators.common import small_or_plain
 
-# Upper bound on classes for a broadcast label dictionary.
+# Most values that ``column_values`` hands to the driver as a Python list.
 MAX_CLASSES = 1_000_000
 
 
@@ -44,9 +46,9 @@ def label_dictionary(labels: DataFrame, label_col: str = "label", index_col: str
     return d.select(label_col, (F.row_number().over(w) - 1).cast("int").alias(index_col))
 
 
-def check_dimension(dim: DataFrame, max_rows: int = MAX_CLASSES) -> DataFrame:
-    """The label dictionary with its row bound proven (see ``bounded_dimension``)."""
-    return bounded_dimension(dim, max_rows, "label dictionary")
+def check_dimension(dim: DataFrame) -> DataFrame:
+    """The label dictionary as a local frame if it is small (see ``small_or_plain``)."""
+    return small_or_plain(dim)
 
 
 def encode_labels(
@@ -60,10 +62,10 @@ def encode_labels(
 ) -> DataFrame:
     """Add ``index_col``; labels absent from the dictionary get ``missing``.
 
-    The dictionary is a class-sized dimension (bound checked first):
-    broadcast hash join, no shuffle of ``df``.
+    A dictionary of a few classes is a local frame of known size, so the join
+    is a broadcast hash join without a shuffle of ``df``.
     """
-    dim = F.broadcast(check_dimension(dictionary).select(F.col(dict_label_col).alias("__lbl"), F.col(dict_index_col).alias("__idx")))
+    dim = check_dimension(dictionary).select(F.col(dict_label_col).alias("__lbl"), F.col(dict_index_col).alias("__idx"))
     return (
         df.join(dim, df[label_col] == F.col("__lbl"), "left")
         .withColumn(index_col, F.coalesce(F.col("__idx"), F.lit(missing)).cast("int"))
@@ -87,7 +89,7 @@ def decode_labels(
     dictionary = check_dimension(dictionary)
     for i, (src, dst) in enumerate(pairs.items()):
         k, v = f"__k{i}", f"__v{i}"
-        dim = F.broadcast(dictionary.select(F.col(dict_index_col).alias(k), F.col(dict_label_col).alias(v)))
+        dim = dictionary.select(F.col(dict_index_col).alias(k), F.col(dict_label_col).alias(v))
         out = out.join(dim, out[src] == F.col(k), "left")
         out = out.withColumn(
             dst,

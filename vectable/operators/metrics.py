@@ -1,9 +1,9 @@
 """Classifier evaluation as DataFrames.
 
 Input is a predictions frame with a true and a predicted class column. Every
-metric starts with one partial/final aggregate over the predictions (map-side
-combine, so a dominant class costs nothing extra); everything after that runs
-on class-sized frames (k rows, or k x k for the confusion matrix).
+metric comes from one partial/final aggregate over the predictions, the pair
+counts (map-side combine, so a dominant class costs nothing extra); everything
+after that runs on class-sized frames (k rows, or k x k for the matrix).
 
 Zero-division follows the usual report rule: an undefined precision, recall
 or F1 is 0.
@@ -14,11 +14,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectable.operators.common import bounded_dimension
+from vectable.operators.common import materialize
 
-# A dense k x k matrix is built for at most this many classes; above it use
-# ``zero_cells=False`` (the non-zero cells only, any number of classes).
-MAX_MATRIX_CLASSES = 10_000
+
+def pair_counts(preds: DataFrame, true_col: str, pred_col: str) -> DataFrame:
+    """(true, pred, n): the one aggregate over the predictions that every metric
+    below can be worked out from. Materialise it and hand it to them as
+    ``counts`` to read the predictions once."""
+    return preds.groupBy(F.col(true_col).alias("true"), F.col(pred_col).alias("pred")).agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
 def class_set(preds: DataFrame, true_col: str, pred_col: str, out_col: str = "cls") -> DataFrame:
@@ -43,23 +46,30 @@ def confusion_long(
     pred_col: str,
     classes: DataFrame | None = None,
     zero_cells: bool = True,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """A5: (true, pred, n) for every pair of classes, zero cells included.
 
-    Counts are one partial/final aggregate over the predictions. ``classes``
-    is a one-column frame of class values (default: those seen); its size is
-    checked (at most ``MAX_MATRIX_CLASSES``) and the k x k grid is the class
-    list exploded next to each class.
+    ``classes`` is a one-column frame of class values (default: those seen);
+    the k x k grid is the class list exploded next to each class. Rows whose
+    true or predicted class is NULL or not in the list keep cells of their
+    own, so the matrix always sums to the number of rows.
     """
-    counts = preds.groupBy(F.col(true_col).alias("true"), F.col(pred_col).alias("pred")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    counts = pair_counts(preds, true_col, pred_col) if counts is None else counts
     if not zero_cells:
-        return counts.select("true", "pred", F.col("n").cast("long").alias("n"))
-    cls = bounded_dimension(_classes(preds, true_col, pred_col, classes), MAX_MATRIX_CLASSES, "class list")
-    values = sorted(r[0] for r in cls.collect())
-    grid = cls.select(F.col("cls").alias("true"), F.explode(F.array(*[F.lit(v) for v in values])).alias("pred"))
-    return grid.join(counts, ["true", "pred"], "left").select("true", "pred", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+        return counts.select("true", "pred", "n")
+    if classes is None:  # read for the classes and for the cells: computed once
+        counts = materialize(counts, "pairs")
+    cls = _classes(counts, "true", "pred", classes)
+    values = cls.select(F.sort_array(F.collect_list("cls"))).scalar()
+    grid = cls.withColumn("g_all", values).select(F.col("cls").alias("g_true"), F.explode("g_all").alias("g_pred"))
+    met = grid.join(counts, F.col("g_true").eqNullSafe(F.col("true")) & F.col("g_pred").eqNullSafe(F.col("pred")), "full_outer")
+    here = F.col("n").isNotNull()
+    return met.select(
+        F.when(here, F.col("true")).otherwise(F.col("g_true")).alias("true"),
+        F.when(here, F.col("pred")).otherwise(F.col("g_pred")).alias("pred"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+    )
 
 
 def confusion_wide(long: DataFrame, class_values: list, names: dict | None = None) -> DataFrame:
@@ -88,16 +98,17 @@ def annotate_confusion(long: DataFrame, x_index: Column | None = None, y_index:
     )
 
 
-def per_class_counts(preds: DataFrame, true_col: str, pred_col: str) -> DataFrame:
-    """(cls, support, predicted, tp) in one aggregate: each row counts once for
-    its true class and once for its predicted class."""
-    t, p = F.col(true_col), F.col(pred_col)
-    hit = F.when(t == p, F.lit(1)).otherwise(F.lit(0))
+def per_class_counts(preds: DataFrame, true_col: str, pred_col: str, counts: DataFrame | None = None) -> DataFrame:
+    """(cls, support, predicted, tp) from the pair counts: each cell counts once
+    for its true class and once for its predicted class."""
+    counts = pair_counts(preds, true_col, pred_col) if counts is None else counts
+    t, p, n = F.col("true"), F.col("pred"), F.col("n")
+    none = F.lit(0).cast("long")
     entries = F.array(
-        F.struct(t.alias("cls"), F.lit(1).alias("s"), F.lit(0).alias("p"), hit.alias("tp")),
-        F.struct(p.alias("cls"), F.lit(0).alias("s"), F.lit(1).alias("p"), F.lit(0).alias("tp")),
+        F.struct(t.alias("cls"), n.alias("s"), none.alias("p"), F.when(t == p, n).otherwise(none).alias("tp")),
+        F.struct(p.alias("cls"), none.alias("s"), n.alias("p"), none.alias("tp")),
     )
-    e = preds.select(F.explode(entries).alias("e")).select("e.*").where(F.col("cls").isNotNull())
+    e = counts.select(F.inline(entries)).where(F.col("cls").isNotNull())
     return e.groupBy("cls").agg(
         F.sum("s").cast("long").alias("support"),
         F.sum("p").cast("long").alias("predicted"),
@@ -114,11 +125,12 @@ def class_report(
     true_col: str,
     pred_col: str,
     classes: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """(cls, precision, recall, f1, support) for every class."""
-    cls = bounded_dimension(_classes(preds, true_col, pred_col, classes), MAX_MATRIX_CLASSES * 100, "class list")
-    c = per_class_counts(preds, true_col, pred_col)
-    j = cls.join(c, "cls", "left").na.fill(0, ["support", "predicted", "tp"])
+    c = per_class_counts(preds, true_col, pred_col, counts)
+    # Without a list the classes are those that the counts hold.
+    j = c if classes is None else _classes(preds, true_col, pred_col, classes).join(c, "cls", "left").na.fill(0, ["support", "predicted", "tp"])
     p = _ratio(F.col("tp"), F.col("predicted"))
     r = _ratio(F.col("tp"), F.col("support"))
     return (
@@ -129,12 +141,14 @@ def class_report(
     )
 
 
-def report_summary(report: DataFrame, preds: DataFrame, true_col: str, pred_col: str) -> DataFrame:
+def report_summary(report: DataFrame, preds: DataFrame, true_col: str, pred_col: str, counts: DataFrame | None = None) -> DataFrame:
     """Accuracy, macro avg and weighted avg rows
     (metric, precision, recall, f1, support); accuracy sits in ``f1``."""
-    acc = preds.agg(
-        F.avg(F.when(F.col(true_col) == F.col(pred_col), F.lit(1.0)).otherwise(F.lit(0.0))).alias("f1"),
-        F.count(F.lit(1)).alias("support"),
+    counts = pair_counts(preds, true_col, pred_col) if counts is None else counts
+    hits = F.sum(F.when(F.col("true") == F.col("pred"), F.col("n")).otherwise(F.lit(0)))
+    acc = counts.agg(
+        F.try_divide(hits.cast("double"), F.sum("n").cast("double")).alias("f1"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("support"),
     ).select(
         F.lit("accuracy").alias("metric"),
         F.lit(None).cast("double").alias("precision"),
@@ -169,15 +183,11 @@ def cross_entropy(
     preds: DataFrame, prob_col: str, true_index_col: str, eps: float = 1e-7, out_col: str = "cross_entropy"
 ) -> DataFrame:
     """Mean of ``-ln(p[true])`` with p clipped to [eps, 1 - eps] (Keras rule);
-    ``true_index_col`` is the 0-based position of the true class in ``prob_col``."""
+    ``true_index_col`` is the 0-based position of the true class in ``prob_col``.
+    ``n_rows`` counts the rows that the mean is over (those with a probability)."""
     p = F.try_element_at(F.col(prob_col), (F.col(true_index_col) + F.lit(1)).cast("int"))
-    clipped = F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps))
-    return preds.agg(F.avg(-F.ln(clipped)).alias(out_col), F.count(F.lit(1)).alias("n_rows"))
-
-
-def final_value(history: DataFrame, value_col: str, order_col: str = "epoch") -> Column:
-    """The value at the last epoch (``max_by``)."""
-    return F.max_by(F.col(value_col), F.col(order_col))
+    clipped = F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps)))
+    return preds.agg(F.avg(-F.ln(clipped)).alias(out_col), F.count(clipped).alias("n_rows"))
 
 
 def loaded_counts(df: DataFrame, valid: Column, batch_size: int = 32) -> DataFrame:

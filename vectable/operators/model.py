@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectable.functions import arrays as A
-from vectable.operators.common import materialize
+from vectable.operators.common import computed_once, materialize
+from vectable.operators.quality import unusable
 
 FEATURES = "features"
 
@@ -42,12 +43,14 @@ def fit_classifier(
     block_size: int = 128,
 ) -> PipelineModel:
     """K1: fit ``[d, hidden, n_classes]`` on rows with a label index in
-    ``0 .. n_classes-1``. ``d`` is read from one row (F17 guarantees one length)."""
-    first = train.select(F.size(vec_col).alias("d")).where(F.col("d") > 0).first()
+    ``0 .. n_classes-1`` and a usable vector. ``d`` is the length of a usable
+    row; rows whose vector cannot be used (``quality.unusable``) take no part."""
+    rows = computed_once(train.select(label_col, vec_col))
+    first = rows.where(~unusable(vec_col)).select(F.size(vec_col).alias("d")).where(F.col("d") > 0).first()
     if first is None:
         raise ValueError("no training rows")
     d = int(first["d"])
-    data = with_features(train, vec_col).withColumn("__label", F.col(label_col).cast("double"))
+    data = with_features(rows.where(~unusable(vec_col, d)), vec_col).withColumn("__label", F.col(label_col).cast("double"))
     mlp = MultilayerPerceptronClassifier(
         featuresCol=FEATURES,
         labelCol="__label",
@@ -66,15 +69,18 @@ def _mlp(model: PipelineModel) -> MultilayerPerceptronClassificationModel:
 
 def predict(model: PipelineModel, df: DataFrame, vec_col: str, pred_col: str = "prediction") -> DataFrame:
     """K2 + K5: ``prediction`` (int class index, first maximum) and
-    ``probability`` (array<double>). Rows whose vector is NULL keep a NULL
-    prediction (K3: a failed item yields None, not an error).
+    ``probability`` (array<double>). Rows whose vector cannot be used (NULL,
+    another length, a NULL or non-finite element) keep a NULL prediction (K3:
+    a failed item yields None, not an error).
 
-    One pass: a missing vector is scored as zeros and its outputs are nulled
+    One pass: an unusable vector is scored as zeros and its outputs are nulled
     afterwards, so the input is neither split nor read twice."""
     d = _mlp(model).numFeatures
-    missing = F.col(vec_col).isNull()
+    rows = computed_once(df)
+    flagged = computed_once(rows.withColumn("__missing", unusable(vec_col, d)))
+    missing = F.col("__missing")
     filled = F.when(missing, F.array_repeat(F.lit(0.0), d)).otherwise(A.as_double_array(vec_col))
-    scored = model.transform(df.withColumn(FEATURES, array_to_vector(filled)))
+    scored = model.transform(flagged.withColumn(FEATURES, array_to_vector(filled)))
     return scored.select(
         *df.columns,
         F.when(~missing, F.col("prediction").cast("int")).alias(pred_col),
@@ -123,10 +129,11 @@ def hidden_features(model: PipelineModel, df: DataFrame, vec_col: str, out_col:
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            ok = pdf[vec_col].notna().to_numpy()
+            vecs = [None if v is None else np.asarray([np.nan if x is None else x for x in v], dtype=np.float64) for v in pdf[vec_col]]
+            ok = np.array([v is not None and len(v) == Wl.shape[1] and bool(np.isfinite(v).all()) for v in vecs])
             hidden = [None] * len(pdf)
             if ok.any():
-                X = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col][ok]])
+                X = np.stack([v for v, k in zip(vecs, ok) if k])
                 H = 1.0 / (1.0 + np.exp(-(X @ Wl.T + bl)))
                 for i, h in zip(np.flatnonzero(ok), H):
                     hidden[i] = h
@@ -134,19 +141,21 @@ def hidden_features(model: PipelineModel, df: DataFrame, vec_col: str, out_col:
             out[out_col] = hidden
             yield out
 
-    # Rows without a vector get a NULL feature vector (no filter in front of
+    # Rows without a usable vector get a NULL feature vector (no filter in front of
     # the Python step, which could recompute a derived vector column).
     return df.mapInPandas(fn, schema)
 
 
 def project_2d(df: DataFrame, vec_col: str, id_cols: list[str], label_col: str) -> DataFrame:
     """K8: 2-D projection of feature vectors (PCA, k = 2) for a scatter of
-    (x, y) coloured by label. Fewer than 2 rows give an empty frame."""
+    (x, y) coloured by label. Fewer than 2 rows give an empty frame of the same
+    columns and types."""
     # PCA makes several passes over its input; cut the lineage once (shared
     # checkpoint folder) so upstream work, e.g. a Python feature pass, runs once.
     data = with_features(materialize(df, "pca-input").where(F.col(vec_col).isNotNull()), vec_col, "__f")
     if data.limit(2).count() < 2:
-        return df.sparkSession.createDataFrame([], f"{', '.join(c + ' string' for c in id_cols)}, x double, y double, {label_col} string")
+        none = F.lit(None).cast("double")
+        return df.select(*id_cols, none.alias("x"), none.alias("y"), label_col).limit(0)
     pca = PCA(k=2, inputCol="__f", outputCol="__p").fit(data)
     out = pca.transform(data).select(*id_cols, label_col, vector_to_array("__p").alias("__xy"))
     return out.select(*id_cols, F.col("__xy")[0].alias("x"), F.col("__xy")[1].alias("y"), label_col)

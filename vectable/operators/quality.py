@@ -33,16 +33,26 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
     return df
 
 
+def unusable(vec_col: str, dim: int | None = None) -> Column:
+    """Whether a vector cannot be used: NULL, of another length than ``dim``,
+    or with a NULL or non-finite element. The one rule of class means, fits
+    and scoring."""
+    v = F.col(vec_col)
+    bad = v.isNull() | F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    bad = bad if dim is None else bad | (F.size(v) != dim)
+    return F.coalesce(bad, F.lit(True))
+
+
 def vector_reject_reason(vec_col: str, dim: int) -> Column:
     """Why a vector row cannot be used (NULL when it can): missing, wrong
-    length, a NULL/NaN element, or a constant row (std 0, so standardising
-    is undefined)."""
+    length, a NULL or non-finite element, or a constant row (std 0, so
+    standardising is undefined)."""
     v = F.col(vec_col)
     sd = A.row_stats(v)["sd"]
     return (
         F.when(v.isNull(), F.lit("missing"))
         .when(F.size(v) != dim, F.lit("shape"))
-        .when(F.exists(v, lambda x: x.isNull() | F.isnan(x)), F.lit("nan"))
+        .when(unusable(vec_col), F.lit("nan"))
         .when(sd == 0, F.lit("constant"))
     )
 

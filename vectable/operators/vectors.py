@@ -6,35 +6,32 @@ aggregate with partial (map-side) aggregation, so a class holding a third of
 all rows is combined inside each map task before the shuffle, and the
 shuffled state is one d-vector per (task, class).
 
-Scoring needs every class centroid in every task. The centroid table (k x d
-doubles) is shipped once (a broadcast variable for the Arrow engine, an
-uncorrelated scalar subquery for the JVM engine) when its size is within
-``broadcast_budget``; beyond that the classes are cut into chunks that each
-fit, every chunk scores all rows, and the per-row lists are merged (one
-shuffle of k entries per row).
+Scoring compares every row with every class centroid, without a shuffle: the
+centroids are cut into blocks of at most ``block_bytes``, each block is one
+broadcast variable and one narrow step over the rows that keeps the running
+minimum. All steps run in the same task, whatever the number of blocks, so
+the answers do not depend on it.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from vectable.functions import arrays as A
 from vectable.operators.common import computed_once, materialize
+from vectable.operators.quality import unusable
 
-DEFAULT_BROADCAST_BUDGET = 8 * 1024 * 1024  # bytes of centroid payload per task
-
-
-def with_standardized(df: DataFrame, vec_col: str, out_col: str | None = None, eps: float = 0.0) -> DataFrame:
-    """F13 / F14 applied to a frame."""
-    return df.withColumn(out_col or vec_col, A.standardize(vec_col, eps))
+BLOCK_BYTES = 8 * 1024 * 1024  # of centroids in one broadcast block
 
 
 def vector_dims(df: DataFrame, vec_col: str) -> DataFrame:
@@ -52,15 +49,14 @@ def check_uniform_dim(df: DataFrame, vec_col: str) -> int:
 
 def class_means(df: DataFrame, label_col: str, vec_col: str, out_col: str = "mean") -> DataFrame:
     """A4: element-wise mean vector per class, as array<double>, plus the count
-    of rows with a complete vector (rows without one, or with a NULL element
-    such as a standardised constant row, do not contribute; vectors of
-    unequal length raise, as stacking them would)."""
+    of rows with a usable vector (rows without one, or with a NULL or
+    non-finite element such as a standardised constant row, do not contribute;
+    vectors of unequal length raise, as stacking them would)."""
     vec = array_to_vector(A.as_double_array(vec_col))
-    complete = F.col(vec_col).isNotNull() & ~F.exists(vec_col, lambda x: x.isNull())
     # The vector is often a computed column (a standardised embedding): keep
     # the filter from being pushed below it, which would compute it twice.
     rows = computed_once(df.select(label_col, vec_col))
-    return rows.where(complete).groupBy(label_col).agg(
+    return rows.where(~unusable(vec_col)).groupBy(label_col).agg(
         vector_to_array(Summarizer.mean(vec)).alias(out_col),
         F.count(F.lit(1)).alias("n_rows"),
     )
@@ -76,74 +72,92 @@ def class_means_truncated(df: DataFrame, label_col: str, vec_col: str, out_col:
     return m.withColumn(out_col, F.transform(out_col, lambda x: x.cast("int")))
 
 
-def _centroid_payload_bytes(k: int, d: int) -> int:
-    return k * (d * 8 + 16)
+def vector_rows(column: pa.Array, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of an Arrow list column: the usable rows (length ``d``, every element
+    finite) as one matrix, and which rows these are."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    ok = pc.fill_null(pc.equal(pc.list_value_length(column), d), False)
+    x = column.filter(ok).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, d)
+    at = np.flatnonzero(ok.to_numpy(zero_copy_only=False))
+    finite = np.isfinite(x).all(axis=1)  # a NULL element is NaN here
+    return x[finite], at[finite]
 
 
-def _usable(vec_col: str, d: int) -> Column:
-    return F.col(vec_col).isNotNull() & (F.size(vec_col) == d)
+def _standardized(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows standardised; constant ones, for which that is undefined, left out."""
+    sd = x.std(axis=1, keepdims=True)
+    keep = sd[:, 0] != 0
+    return ((x - x.mean(axis=1, keepdims=True))[keep] / sd[keep]), at[keep]
 
 
-def _scores_jvm(df: DataFrame, vec_col: str, cents: DataFrame, d: int, standardize: bool = False) -> DataFrame:
-    """Add ``__cls`` (class labels, ascending) and ``__dist`` (squared
-    distances, aligned) with JVM higher-order functions. The centroid list is a
+def _score_arrow(df: DataFrame, vec_col: str, cents: DataFrame, d: int, block_bytes: int, standardize: bool, all_distances: bool) -> DataFrame:
+    """``__cls`` and ``__dist``, without the vector: per block of centroids one
+    Arrow step. A batch's distances to a block are one matrix product."""
+    spark = df.sparkSession
+    per_block = max(1, block_bytes // (d * 8 + 16))
+    blocks: list[tuple[list, list]] = []
+    for r in cents.orderBy("label").toLocalIterator():  # class-sized
+        if not blocks or len(blocks[-1][0]) == per_block:
+            blocks.append(([], []))
+        blocks[-1][0].append(r["label"])
+        blocks[-1][1].append(r["c"])
+    vec_field = df.schema[vec_col]
+    kinds = [cents.schema["label"].dataType, DoubleType()]
+    state = [StructField(n, ArrayType(k) if all_distances else k) for n, k in zip(("__cls", "__dist"), kinds, strict=True)]
+    kept = [f for f in df.schema.fields if f.name != vec_col]
+    arrow = to_arrow_schema(StructType(state))
+    out = df
+    for i, (names, rows) in enumerate(blocks):
+        bc = spark.sparkContext.broadcast((names, np.array(rows, dtype=np.float64).reshape(-1, d)))
+        heads = [*kept] if i == len(blocks) - 1 else [*kept, vec_field]
+
+        def fn(batches: Iterator[pa.RecordBatch], bc=bc, first=i == 0, heads=heads) -> Iterator[pa.RecordBatch]:
+            names, m = bc.value
+            own = (m * m).sum(axis=1)
+            for batch in batches:
+                x, at = vector_rows(batch.column(vec_col), d)
+                if standardize:
+                    x, at = _standardized(x, at)
+                dist = np.maximum((x * x).sum(axis=1)[:, None] + own[None, :] - 2.0 * (x @ m.T), 0.0)
+                none = [None] * batch.num_rows
+                cls, least = ([*none], [*none]) if first else (batch.column("__cls").to_pylist(), batch.column("__dist").to_pylist())
+                if all_distances:
+                    cls = [(c or []) + names for c in cls]
+                    for j, r in enumerate(at):
+                        least[r] = (least[r] or []) + dist[j].tolist()
+                else:
+                    k = dist.argmin(axis=1)  # the first of equal distances: the smaller class
+                    for j, r in enumerate(at):
+                        if least[r] is None or dist[j, k[j]] < least[r]:
+                            cls[r], least[r] = names[k[j]], float(dist[j, k[j]])
+                cols = [*(batch.column(f.name) for f in heads), pa.array(cls, arrow[0].type), pa.array(least, arrow[1].type)]
+                yield pa.RecordBatch.from_arrays(cols, names=[*(f.name for f in heads), "__cls", "__dist"])
+
+        out = out.mapInArrow(fn, StructType([*heads, *state]))
+    return out
+
+
+def _score_jvm(df: DataFrame, vec_col: str, cents: DataFrame, d: int, block_bytes: int, standardize: bool, all_distances: bool) -> DataFrame:
+    """The same columns with JVM higher-order functions. The centroid list is a
     scalar subquery, attached as a column first (subqueries may not sit inside
     higher-order functions)."""
     arr = cents.select(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("cs")).scalar()
-    v = A.standardize(vec_col) if standardize else A.as_double_array(vec_col)
+    v = A.standardize("__v") if standardize else A.as_double_array("__v")
+    kept = [c for c in df.columns if c != vec_col]
+    rows = computed_once(df.select(*kept, F.when(~unusable(vec_col, d), F.col(vec_col)).alias("__v")))
     dists = F.transform("__cents", lambda c: A.squared_distance(v, c["c"]))
     out = (
-        df.withColumn("__cents", arr)
+        rows.withColumn("__cents", arr)
         .withColumn("__cls", F.transform("__cents", lambda c: c["label"]))
-        .withColumn("__dist", F.when(_usable(vec_col, d) & ~F.exists(v, lambda x: x.isNull()), dists))
-        .drop("__cents")
+        .withColumn("__dist", F.when(F.col("__v").isNotNull() & ~F.exists(v, lambda x: x.isNull()), dists))
     )
-    return computed_once(out)
-
-
-def _scores_arrow(df: DataFrame, vec_col: str, cents: DataFrame, d: int, standardize: bool = False) -> DataFrame:
-    """The same two columns from Arrow batches: each batch of vectors is one
-    NumPy array, scored against the (size-checked) centroid matrix, which
-    travels once per executor as a broadcast variable. One class at a time,
-    so memory stays at batch x d."""
-    spark = df.sparkSession
-    rows = cents.orderBy("label").collect()  # class-sized, bounded by the budget
-    labels = [r["label"] for r in rows]
-    # An empty hash chunk is a (0, d) matrix: it adds no entries to any row.
-    M = np.array([np.asarray(r["c"], dtype=np.float64) for r in rows]).reshape(len(rows), d)
-    bc = spark.sparkContext.broadcast((labels, M))
-    label_type = cents.schema["label"].dataType.simpleString()
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    schema = f"{fields}, `__cls` array<{label_type}>, `__dist` array<double>"
-
-    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lab, Mx = bc.value
-        for pdf in batches:
-            vecs = pdf[vec_col]
-            ok = np.array([v is not None and len(v) == Mx.shape[1] for v in vecs], dtype=bool)
-            dist = [None] * len(pdf)
-            if ok.any() and standardize:
-                X = np.stack([np.asarray(v, dtype=np.float64) for v in vecs[ok]])
-                mu = X.mean(axis=1, keepdims=True)
-                sd = X.std(axis=1, keepdims=True)
-                flat = sd[:, 0] == 0  # standardising a constant row is undefined
-                ok[np.flatnonzero(ok)[flat]] = False
-                X = ((X - mu) / np.where(sd == 0, 1.0, sd))[~flat]
-            elif ok.any():
-                X = np.stack([np.asarray(v, dtype=np.float64) for v in vecs[ok]])
-            if ok.any():
-                D = np.empty((X.shape[0], Mx.shape[0]))
-                for j in range(Mx.shape[0]):
-                    diff = X - Mx[j]
-                    D[:, j] = np.einsum("ij,ij->i", diff, diff)
-                for i, row in zip(np.flatnonzero(ok), D):
-                    dist[i] = row
-            out = pdf.copy()
-            out["__cls"] = [lab] * len(pdf)
-            out["__dist"] = dist
-            yield out
-
-    return df.mapInPandas(fn, schema)
+    out = computed_once(out.select(*kept, "__cls", "__dist"))
+    if all_distances:
+        return out
+    best = F.array_min("__dist")
+    at = F.array_position("__dist", best).cast("int")
+    return out.select(*kept, F.when(F.col("__dist").isNotNull(), F.element_at("__cls", at)).alias("__cls"), best.alias("__dist"))
 
 
 def nearest_centroid(
@@ -154,15 +168,15 @@ def nearest_centroid(
     centroid_col: str = "mean",
     pred_col: str = "prediction",
     dist_col: str | None = None,
-    row_key: str | None = None,
-    broadcast_budget: int = DEFAULT_BROADCAST_BUDGET,
+    block_bytes: int = BLOCK_BYTES,
     with_distances: bool = False,
     engine: str = "arrow",
     standardize_input: bool = False,
 ) -> DataFrame:
     """K4 + J5: predicted class = centroid with the least squared distance; ties
-    go to the smaller class label. Rows whose vector is NULL or of another
-    length get NULL.
+    go to the smaller class label. Rows whose vector cannot be used (NULL, of
+    another length, a NULL or non-finite element) get NULL; every row stays,
+    whatever its keys. The vector itself is not returned.
 
     ``with_distances`` also returns ``classes`` (labels, ascending) and
     ``distances`` (aligned), used by ``class_probabilities``.
@@ -176,56 +190,22 @@ def nearest_centroid(
     a second standardisation pass over the data. Constant rows get NULL.
     """
     # The centroid table is class-sized: compute it once, cut its lineage in the
-    # shared checkpoint folder, and let both the size check and the scoring
-    # read that copy instead of re-aggregating the data.
+    # shared checkpoint folder, and read it a block at a time.
     cents = materialize(centroids, "centroids").select(F.col(label_col).alias("label"), F.col(centroid_col).alias("c"))
     k, d = cents.select(F.count(F.lit(1)), F.max(F.size("c"))).first()
     k, d = int(k or 0), int(d or 0)
     if k == 0:
         raise ValueError("no class centroids")
-    scores = {"arrow": _scores_arrow, "jvm": _scores_jvm}[engine]
-    per_chunk = max(1, broadcast_budget // max(1, _centroid_payload_bytes(1, d)))
-    # Hash chunks carry about k / n_chunks classes; twice the minimum count of
-    # chunks leaves room for uneven hashing.
-    n_chunks = 1 if k <= per_chunk else 2 * math.ceil(k / per_chunk)
-
-    if n_chunks == 1:
-        out = scores(df, vec_col, cents, d, standardize_input)
-    else:
-        # Every chunk's centroids fit the budget; each row is scored against
-        # each chunk, and the per-row lists are merged (k entries per row).
-        if row_key is None:
-            raise ValueError("the chunked path needs a unique row_key column")
-        chunked = cents.withColumn("__chunk", F.pmod(F.xxhash64("label"), F.lit(n_chunks)))
-        keyed = df.select(row_key, vec_col)
-        parts = [
-            scores(keyed, vec_col, chunked.where(F.col("__chunk") == ci).drop("__chunk"), d, standardize_input).select(
-                row_key, "__cls", "__dist"
-            )
-            for ci in range(n_chunks)
-        ]
-        scored = parts[0]
-        for p in parts[1:]:
-            scored = scored.unionByName(p)
-        merged = scored.groupBy(row_key).agg(
-            F.array_sort(F.flatten(F.collect_list(F.arrays_zip("__cls", "__dist")))).alias("__z"),
-            F.max(F.col("__dist").isNull().cast("int")).alias("__bad"),
-        )
-        merged = merged.select(
-            row_key,
-            F.transform("__z", lambda s: s["__cls"]).alias("__cls"),
-            F.when(F.col("__bad") == 0, F.transform("__z", lambda s: s["__dist"])).alias("__dist"),
-        )
-        out = df.join(merged, row_key, "left")
-
-    best = F.array_min("__dist")
-    out = out.withColumn(pred_col, F.element_at("__cls", F.array_position("__dist", best).cast("int")))
-    out = out.withColumn(pred_col, F.when(F.col("__dist").isNotNull(), F.col(pred_col)))
-    if dist_col:
-        out = out.withColumn(dist_col, best)
+    score = {"arrow": _score_arrow, "jvm": _score_jvm}[engine]
+    out = score(df, vec_col, cents, d, block_bytes, standardize_input, with_distances)
     if with_distances:
+        best = F.array_min("__dist")
+        at = F.array_position("__dist", best).cast("int")
+        out = out.withColumn(pred_col, F.when(F.col("__dist").isNotNull(), F.element_at("__cls", at)))
+        out = out.withColumn(dist_col, best) if dist_col else out
         return out.withColumnRenamed("__cls", "classes").withColumnRenamed("__dist", "distances")
-    return out.drop("__cls", "__dist")
+    out = out.withColumnRenamed("__cls", pred_col)
+    return out.withColumnRenamed("__dist", dist_col) if dist_col else out.drop("__dist")
 
 
 def class_probabilities(scored: DataFrame, dist_col: str = "distances", out_col: str = "probability") -> DataFrame:

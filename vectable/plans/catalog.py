@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vectable.functions import arrays as A
 from vectable.functions import text as T
-from vectable.operators import batching, labels, metrics, quality, reports, vectors
+from vectable.operators import batching, images, labels, metrics, model, quality, reports, vectors
 from vectable.plans import mapping as M
 from vectable.operators.common import materialize
 from vectable.sources.tables import table
@@ -157,11 +157,31 @@ def class_distribution(spark, sf):
     return _doc_distribution(spark, sf)
 
 
+@query("class_distribution_grid")
+def class_distribution_grid(spark, sf):
+    """Members per (split, class) of the whole grid; the pair that has no
+    rows (left out on purpose) shows 0."""
+    d = table(spark, sf, "documents").where(~((F.col("lang") == M.EMPTY_PAIR[0]) & (F.col("source") == M.EMPTY_PAIR[1])))
+    counts = labels.class_distribution(d, "lang", "source", M.is_member_doc(), display=False)
+    whole = table(spark, sf, "documents")
+    splits = sorted(labels.column_values(whole.select("lang").distinct(), "lang", max_rows=M.MAX_PIVOT_CLASSES))
+    grid = labels.class_grid(whole.select("source").distinct(), splits, "source", "lang")
+    return labels.complete_counts(counts, grid, ["lang", "source"])
+
+
+@query("dictionary_maps")
+def dictionary_maps(spark, sf):
+    """encode and decode by the dictionary's two maps."""
+    fwd, inv = labels.dictionary_maps(_event_dictionary(spark, sf))
+    e = table(spark, sf, "events").select("event_id", "event_type").withColumn("m", fwd).withColumn("label_index", F.col("m")[F.col("event_type")])
+    return e.withColumn("i", inv).select("event_id", "label_index", F.col("i")[F.col("label_index")].alias("label"))
+
+
 @query("class_distribution_wide")
 def class_distribution_wide(spark, sf):
     """R2: class x split table."""
     dist = _doc_distribution(spark, sf)
-    splits = sorted(labels.column_values(dist.select("Dataset").distinct(), "Dataset", max_rows=1000))
+    splits = sorted(labels.column_values(dist.select("Dataset").distinct(), "Dataset", max_rows=M.MAX_PIVOT_CLASSES))
     return labels.class_distribution_wide(dist, splits)
 
 
@@ -247,7 +267,7 @@ def centroid_scored(spark, sf, with_distances: bool = False, model=None) -> Data
     scoring pass standardises each vector itself (one pass over the data)."""
     raw, cents = model or centroid_model(spark, sf)
     return vectors.nearest_centroid(
-        raw, cents, "embedding", label_col="label", centroid_col="mean", pred_col="prediction", row_key="vec_id",
+        raw, cents, "embedding", label_col="label", centroid_col="mean", pred_col="prediction",
         with_distances=with_distances, standardize_input=True,
     )
 
@@ -263,6 +283,59 @@ def _probabilities(spark, sf) -> DataFrame:
     return vectors.class_probabilities(s).select("vec_id", "label", "prediction", "probability", "classes")
 
 
+@query("nearest_centroid_many_classes")
+def nearest_centroid_many_classes(spark, sf):
+    """K4, J5 with many classes (the residue of the id), in blocks of few
+    centroids, and keys that repeat or are NULL: every row keeps its answer."""
+    raw = _embeddings(spark, sf).select("vec_id", (F.col("vec_id") % M.MANY_CLASSES).cast("int").alias("cls"), "embedding")
+    z = raw.select("cls", A.standardize("embedding").alias("z"))
+    cents = materialize(vectors.class_means(z, "cls", "z"), "centroids")
+    keyed = raw.withColumn("row_key", F.when(F.col("vec_id") % 3 != 0, F.col("vec_id") % 5))
+    out = vectors.nearest_centroid(keyed, cents, "embedding", label_col="cls", standardize_input=True, block_bytes=M.SMALL_BLOCK)
+    return out.select("vec_id", "row_key", "prediction")
+
+
+@query("uniform_dim")
+def uniform_dim(spark, sf):
+    """rows by vector length."""
+    return vectors.vector_dims(_embeddings(spark, sf), "embedding")
+
+
+@query("user_model")
+def user_model(spark, sf):
+    """A user's own model (a linear one) over whole rows in batches."""
+
+    def make():
+        import numpy as np
+
+        def predict(x):
+            return (x.astype(np.float64) @ np.arange(1, x.shape[1] + 1)).reshape(-1, 1)
+
+        return predict
+
+    udf = model.user_model_udf(make, batch_size=256, input_shape=[M.EMBEDDING_DIM])
+    return _embeddings(spark, sf).select("vec_id", _r(udf(F.transform("embedding", lambda x: x.cast("double")))[0]).alias("score"))
+
+
+@query("image_vectors")
+def image_vectors(spark, sf):
+    """Vectors as 8 x 8 grey pixels -> RGB -> 4 x 4 bilinear."""
+    px = F.transform("embedding", lambda x: M.pixel(x))
+    data = F.unhex(F.array_join(F.transform(px, lambda x: F.lpad(F.hex(x), 2, "0")), ""))
+    n = F.lit(8)
+    imgs = _embeddings(spark, sf).select(
+        F.col("vec_id").cast("string").alias("path"), n.alias("height"), n.alias("width"), F.lit(1).alias("n_channels"), data.alias("data")
+    )
+    vec = images.image_vectors(imgs, (4, 4), standardize=False)
+    return _long(vec.select(F.col("path").cast("long").alias("vec_id"), "vector"), ["vec_id"], "vector", digits=None).withColumn("value", F.col("value").cast("double"))
+
+
+@query("fixed_text")
+def fixed_text(spark, sf):
+    """four fixed decimals."""
+    return table(spark, sf, "events").select("event_id", T.fixed(F.col("value"), 4).alias("value_text"))
+
+
 @query("class_probability")
 def class_probability(spark, sf):
     """K5: class probabilities (softmax of negative distances)."""
@@ -310,6 +383,16 @@ def confusion_long(spark, sf):
     return metrics.confusion_long(_embedding_predictions(spark, sf, m), "label", "prediction", _centroid_classes(m[1]))
 
 
+@query("confusion_with_unknowns")
+def confusion_with_unknowns(spark, sf):
+    """A5: predictions that are NULL or not in the class list keep their cells,
+    so the matrix sums to the number of rows."""
+    e = table(spark, sf, "events")
+    pred = F.when(F.col("value") < 5, F.lit(None)).when(F.col("value") < 10, F.lit("unheard")).otherwise(M.event_prediction())
+    pairs = e.select(F.col("event_type").alias("true_type"), pred.alias("pred_type"))
+    return metrics.confusion_long(pairs, "true_type", "pred_type", _event_dictionary(spark, sf).select("label"))
+
+
 @query("confusion_wide")
 def confusion_wide(spark, sf):
     """Confusion matrix, one column per predicted class."""
@@ -318,7 +401,7 @@ def confusion_wide(spark, sf):
     classes = _centroid_classes(m[1])
     long = metrics.confusion_long(preds, "label", "prediction", classes)
     # The class list is class-sized; read it once to name the pivot columns.
-    values = sorted(labels.column_values(classes, "cls", max_rows=metrics.MAX_MATRIX_CLASSES))
+    values = sorted(labels.column_values(classes, "cls", max_rows=M.MAX_PIVOT_CLASSES))
     return metrics.confusion_wide(long, values, {v: f"pred_{v}" for v in values})
 
 
@@ -347,7 +430,7 @@ def confusion_annotated(spark, sf):
 def class_report(spark, sf):
     """Per-class precision, recall, F1, support (zero-division -> 0)."""
     dim = _event_dictionary(spark, sf)
-    rep = metrics.class_report(_event_pairs(spark, sf), "true_type", "pred_type", dim.select("label"))
+    rep = metrics.class_report(_event_pairs(spark, sf), "true_type", "pred_type", dim.select("label"))  # one aggregate
     return rep.select(
         F.col("cls").alias("label"), _r(F.col("precision")).alias("precision"), _r(F.col("recall")).alias("recall"),
         _r(F.col("f1")).alias("f1"), "support",
@@ -355,8 +438,9 @@ def class_report(spark, sf):
 
 
 def _summary(preds: DataFrame, t: str, p: str, classes: DataFrame | None) -> DataFrame:
-    rep = metrics.class_report(preds, t, p, classes)
-    s = metrics.report_summary(rep, preds, t, p)
+    counts = materialize(metrics.pair_counts(preds, t, p), "pairs")
+    rep = metrics.class_report(preds, t, p, classes, counts=counts)
+    s = metrics.report_summary(rep, preds, t, p, counts=counts)
     return s.select("metric", *[_r(F.col(c)).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
@@ -378,32 +462,38 @@ def report_text(spark, sf):
     """The report as text lines."""
     pairs = _event_pairs(spark, sf)
     dim = _event_dictionary(spark, sf)
-    rep = metrics.class_report(pairs, "true_type", "pred_type", dim.select("label")).withColumnRenamed("cls", "name")
-    summ = metrics.report_summary(rep, pairs, "true_type", "pred_type")
+    counts = materialize(metrics.pair_counts(pairs, "true_type", "pred_type"), "pairs")
+    rep = metrics.class_report(pairs, "true_type", "pred_type", dim.select("label"), counts=counts).withColumnRenamed("cls", "name")
+    summ = metrics.report_summary(rep, pairs, "true_type", "pred_type", counts=counts)
     return reports.report_text(rep, summ, digits=2).select("row_name", "section", "line")
 
 
+def named_predictions(spark, sf) -> DataFrame:
+    """(image_path, true_label, predicted_label): class indexes decoded to names
+    through the dictionary (J2; an unknown index is an error)."""
+    m = centroid_model(spark, sf)
+    names = m[1].select(F.col("label").alias("label_index"), F.col("label").cast("string").alias("label"))
+    p = labels.decode_labels(_embedding_predictions(spark, sf, m), names, {"label": "t", "prediction": "p"})
+    path = F.concat(F.lit("embeddings/"), F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string"))
+    return reports.predictions_table(p.withColumn("path", path), "path", "t", "p")
+
+
 @query("predictions_table")
 def predictions_table(spark, sf):
     """image_path, true_label, predicted_label."""
-    p = _embedding_predictions(spark, sf).select(
-        F.concat(F.lit("embeddings/"), F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string")).alias("path"),
-        F.col("label").cast("string").alias("t"),
-        F.col("prediction").cast("string").alias("p"),
-    )
-    return reports.predictions_table(p, "path", "t", "p")
+    return named_predictions(spark, sf)
 
 
 @query("reject_rows")
 def reject_rows(spark, sf):
     """Rows that cannot be used as vectors of the expected shape."""
-    return quality.vector_rejects(_embeddings(spark, sf), "vec_id", "embedding", M.EMBEDDING_DIM)
+    return quality.vector_rejects(M.with_bad_vectors(_embeddings(spark, sf)), "vec_id", "embedding", M.EMBEDDING_DIM)
 
 
 @query("loaded_counts")
 def loaded_counts(spark, sf):
     """Rows read, rows kept, batches of 32."""
-    e = _embeddings(spark, sf)
+    e = M.with_bad_vectors(_embeddings(spark, sf))
     return metrics.loaded_counts(e, quality.vector_reject_reason("embedding", M.EMBEDDING_DIM).isNull())
 
 
@@ -439,6 +529,19 @@ def page(spark, sf):
     return batching.page(_docs(spark, sf), M.DOC_PAGE, ["doc_id"], 10)
 
 
+@query("page_after")
+def page_after(spark, sf):
+    """L9 by key: the page after a given last key."""
+    return batching.page_after(_docs(spark, sf), M.LAST_KEY, "doc_id", 10)
+
+
+@query("mini_batches_null_id")
+def mini_batches_null_id(spark, sf):
+    """L7 where one id is NULL: its row gets a batch too."""
+    e = _embeddings(spark, sf).select(F.when(F.col("vec_id") != 7, F.col("vec_id")).alias("vec_id"), "label")
+    return batching.mini_batches(e, "vec_id", seed=M.BATCH_SEED, batch_size=32)
+
+
 @query("mini_batches")
 def mini_batches(spark, sf):
     """Seeded shuffle, batches of 32, without a single-partition window."""

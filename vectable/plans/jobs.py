@@ -14,7 +14,7 @@ from vectable.functions import arrays as A
 from vectable.operators import labels, model, vectors
 from vectable.operators.common import materialize
 from vectable.plans import mapping as M
-from vectable.plans.catalog import _embedding_predictions, _embeddings, query
+from vectable.plans.catalog import _embeddings, named_predictions, query
 from vectable.session import scratch_path
 from vectable.sources import files
 from vectable.sources.tables import table
@@ -23,6 +23,7 @@ from vectable.streaming import files as stream
 # A row is in the train split when the first hex digit of md5(id) is below
 # 'c' (12 of 16 buckets). md5 is computed the same way by Spark and DuckDB.
 TRAIN_BELOW = "c"
+MLP_ITERATIONS = 50
 
 
 def _standardized(spark, sf) -> DataFrame:
@@ -37,50 +38,78 @@ def _is_train(id_col: str = "vec_id"):
 def _fit(spark, sf):
     z = _standardized(spark, sf)
     n_classes = int(z.agg(F.max("label")).first()[0]) + 1
-    m = model.fit_classifier(z.where(_is_train()), "z", "label", n_classes, hidden=64, max_iter=50, seed=M.BATCH_SEED)
+    m = model.fit_classifier(z.where(_is_train()), "z", "label", n_classes, hidden=64, max_iter=MLP_ITERATIONS, seed=M.BATCH_SEED)
     return m, z
 
 
 @query("mlp_predict")
 def mlp_predict(spark, sf):
-    """Fit [64, 64, k] on the train part, score every row."""
+    """Fit [64, 64, k] on the train part, score every row, and
+    count the rows whose prediction is a class, whose probabilities sum to 1
+    and whose prediction is their first maximum."""
     m, z = _fit(spark, sf)
-    return model.predict(m, z, "z").select("vec_id", "label", "prediction", "probability")
+    p = model.predict(m, z, "z")
+    total = F.aggregate("probability", F.lit(0.0), lambda t, x: t + x)
+    return p.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if((F.col("prediction") >= 0) & (F.col("prediction") < F.size("probability"))).alias("n_class"),
+        F.count_if(F.abs(total - 1) < 1e-9).alias("n_sum_one"),
+        F.count_if(F.col("prediction") == A.argmax("probability")).alias("n_argmax"),
+    )
 
 
 @query("mlp_history")
 def mlp_history(spark, sf):
-    """K6: loss per iteration of the fit."""
+    """K6: the loss per iteration of the fit: iterations without a gap, none
+    with a higher loss than the one before."""
     m, _ = _fit(spark, sf)
-    return model.history_frame(spark, m)
+    h = model.history_frame(spark, m)
+    before = h.select((F.col("iteration") + 1).alias("iteration"), F.col("loss").alias("before"))
+    j = h.join(before, "iteration", "left")
+    n = F.count(F.lit(1))
+    return j.agg(
+        (F.max("iteration") - F.min("iteration") + 1 == n).alias("without_gap"),
+        (F.count_if(F.col("loss") > F.col("before")) == 0).alias("never_rises"),
+        (n <= F.lit(MLP_ITERATIONS + 1)).alias("within_limit"),
+        (F.max_by("loss", "iteration") < F.min_by("loss", "iteration")).alias("has_learned"),
+    )
 
 
 @query("latent_2d")
 def latent_2d(spark, sf):
-    """K7, K8: hidden-layer features projected to 2-D."""
+    """K7, K8: hidden-layer features projected to 2-D: a point for every row,
+    the first axis of no less variance than the second, and none correlated."""
     m, z = _fit(spark, sf)
     h = model.hidden_features(m, z, "z")
-    return model.project_2d(h, "hidden", ["vec_id"], "label")
+    p = model.project_2d(h, "hidden", ["vec_id"], "label")
+    return p.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull()).alias("n_points"),
+        F.count_distinct("vec_id").alias("n_ids"),
+        (F.var_pop("x") >= F.var_pop("y")).alias("axes_in_order"),
+        (F.abs(F.corr("x", "y")) < 1e-6).alias("uncorrelated"),
+    )
 
 
 @query("model_roundtrip")
 def model_roundtrip(spark, sf):
-    """Save, load, score."""
+    """Save, load, score: rows where the loaded and the fresh model agree."""
     m, z = _fit(spark, sf)
     path = scratch_path(spark, "model")
     model.save_model(m, path)
-    loaded = model.load_model(path)
-    return model.predict(loaded, z, "z").select("vec_id", "label", "prediction")
+    fresh = model.predict(m, z, "z").select("vec_id", F.col("prediction").alias("p0"), F.col("probability").alias("q0"))
+    both = model.predict(model.load_model(path), z, "z").select("vec_id", "prediction", "probability").join(fresh, "vec_id")
+    return both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("prediction") == F.col("p0")).alias("n_same_prediction"),
+        F.count_if(F.col("probability") == F.col("q0")).alias("n_same_probability"),
+    )
 
 
 @query("csv_roundtrip")
 def csv_roundtrip(spark, sf):
     """Predictions table to CSV with header and back."""
-    p = _embedding_predictions(spark, sf).select(
-        F.concat(F.lit("embeddings/"), F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string")).alias("image_path"),
-        F.col("label").cast("string").alias("true_label"),
-        F.col("prediction").cast("string").alias("predicted_label"),
-    )
+    p = named_predictions(spark, sf)
     path = scratch_path(spark, "predictions-csv")
     files.write_csv(p, path)
     return files.read_csv(spark, path, files.PREDICTIONS_SCHEMA)
@@ -100,7 +129,7 @@ def dump_roundtrip(spark, sf):
     indexed = labels.encode_labels(e, dim)
     path = scratch_path(spark, "dump")
     files.write_dump(indexed, path, ["split"])
-    back = files.read_dump(spark, path)
+    back = files.read_dump(spark, path, indexed.schema)
     return back.select(F.md5("content").alias("content_md5"), "path", "label", "label_index", "split")
 
 
@@ -109,10 +138,23 @@ def _doc_tree(spark, sf) -> str:
     ``lang=<x>/source=<y>/part-*.txt``)."""
     path = scratch_path(spark, "doc-tree")
     d = table(spark, sf, "documents").select("lang", "source", "text")
-    d.write.mode("overwrite").partitionBy("lang", "source").text(path)
+    # The folder count is fixed by the data: a folder's rows go to a few tasks.
+    salt = F.pmod(F.xxhash64("text"), F.lit(4))
+    d.repartition("lang", "source", salt).write.mode("overwrite").partitionBy("lang", "source").text(path)
     return path
 
 
+@query("labelled_files")
+def labelled_files(spark, sf):
+    """Files two levels below a folder, with the label of their
+    parent folder, and the bytes of each label."""
+    path = scratch_path(spark, "label-tree")
+    d = table(spark, sf, "documents").select("source", "text")
+    d.repartition("source", F.pmod(F.xxhash64("text"), F.lit(4))).write.mode("overwrite").partitionBy("source").text(path)
+    found = files.labelled_files(spark, path, with_content=False)
+    return found.groupBy("label").agg(F.sum("length").cast("long").alias("n_bytes"))
+
+
 @query("files_scan")
 def files_scan(spark, sf):
     """Metadata-only listing of a split/class file tree (no
@@ -145,7 +187,7 @@ def stream_score(spark, sf):
 
     def score(batch: DataFrame) -> DataFrame:
         raw = batch.select("vec_id", "label", "embedding")
-        out = vectors.nearest_centroid(raw, cents, "embedding", row_key="vec_id", standardize_input=True)
+        out = vectors.nearest_centroid(raw, cents, "embedding", standardize_input=True)
         return out.select("vec_id", "label", "prediction")
 
     stream.run_available_now(src, out, scratch_path(spark, "stream-score-ckpt"), transform=score)
@@ -163,4 +205,4 @@ def stream_counts(spark, sf):
     )
     out = scratch_path(spark, "stream-counts-out")
     stream.run_counts_available_now(src, out, scratch_path(spark, "stream-counts-ckpt"))
-    return spark.read.parquet(out)
+    return stream.read_counts(spark, out)

@@ -14,7 +14,7 @@ reads and processes its whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the mapping (our own choices, mirrored in the oracle SQL).
@@ -26,6 +26,11 @@ RICH_ACCTBAL = 9900.0
 DOC_PAGE = 2
 DOC_CAP = 500
 EMBEDDING_DIM = 64  # expected vector length (the reference's fixed image shape)
+MAX_PIVOT_CLASSES = 10_000  # column names that a pivot may get
+EMPTY_PAIR = ("en", "src8")  # the (split, class) pair left out, so that a zero shows
+MANY_CLASSES = 37
+SMALL_BLOCK = 4096  # bytes of centroids in a block: several blocks
+LAST_KEY = 29
 
 
 def event_split(user_id: str = "user_id") -> Column:
@@ -44,5 +49,25 @@ def event_prediction(value: str = "value") -> Column:
     )
 
 
+def pixel(x: Column) -> Column:
+    """A component as a grey value 0 .. 255."""
+    return F.greatest(F.lit(0), F.least(F.lit(255), F.floor((x.cast("double") + 4.0) * 20.0))).cast("int")
+
+
+def with_bad_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """The rows, some with a vector that cannot be used, by the id's residue mod 7:
+    0 missing, 1 short, 2 with a NaN, 3 constant."""
+    v, k = F.col(vec_col), F.col(id_col) % 7
+    nan = F.lit(float("nan")).cast("float")
+    out = (
+        F.when(k == 0, F.lit(None))
+        .when(k == 1, F.slice(v, 1, 3))
+        .when(k == 2, F.concat(F.array(nan), F.slice(v, 2, F.size(v))))
+        .when(k == 3, F.transform(v, lambda x: F.lit(1.0).cast("float")))
+        .otherwise(v)
+    )
+    return df.withColumn(vec_col, out)
+
+
 def is_member_doc(n_chars: str = "n_chars") -> Column:
     return F.col(n_chars) >= F.lit(MEMBER_MIN_CHARS)

@@ -101,6 +101,11 @@ _DOC_DIST = f"""
            FROM documents GROUP BY lang, source)"""
 
 
+# Vectors made unusable by the id's residue mod 7 (see ``mapping.with_bad_vectors``).
+_BAD = """
+  bad AS (SELECT vec_id, CASE vec_id % 7 WHEN 0 THEN 'missing' WHEN 1 THEN 'shape' WHEN 2 THEN 'nan' WHEN 3 THEN 'constant' END AS reason
+          FROM embeddings)"""
+
 ORACLE: dict[str, str] = {
     "path_label": """
 SELECT page_id, url, replace(string_split(url, '/')[-2], '.', '_') AS label,
@@ -233,22 +238,12 @@ FROM rows""",
 WITH {_CENTROID}
 SELECT 'embeddings/' || label::VARCHAR || '/' || vec_id::VARCHAR AS image_path,
        label::VARCHAR AS true_label, prediction::VARCHAR AS predicted_label FROM pred""",
-    "reject_rows": """
-WITH u AS (SELECT vec_id, embedding,
-                  list_aggregate(list_transform(embedding, lambda x: x::DOUBLE), 'stddev_pop') AS sd FROM embeddings)
-SELECT vec_id, CASE WHEN embedding IS NULL THEN 'missing'
-                    WHEN len(embedding) <> 64 THEN 'shape'
-                    WHEN list_bool_or(list_transform(embedding, lambda x: x IS NULL OR isnan(x))) THEN 'nan'
-                    WHEN sd = 0 THEN 'constant' END AS reason
-FROM u WHERE embedding IS NULL OR len(embedding) <> 64
-   OR list_bool_or(list_transform(embedding, lambda x: x IS NULL OR isnan(x))) OR sd = 0""",
-    "loaded_counts": """
-WITH u AS (SELECT embedding IS NOT NULL AND len(embedding) = 64
-                  AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR isnan(x)))
-                  AND list_aggregate(list_transform(embedding, lambda x: x::DOUBLE), 'stddev_pop') <> 0 AS ok
-           FROM embeddings)
-SELECT count(*)::BIGINT AS n_rows, count_if(ok)::BIGINT AS n_loaded,
-       ceil(count_if(ok) / 32.0)::BIGINT AS n_batches FROM u""",
+    "reject_rows": f"""
+WITH {_BAD} SELECT vec_id, reason FROM bad WHERE reason IS NOT NULL""",
+    "loaded_counts": f"""
+WITH {_BAD}
+SELECT count(*)::BIGINT AS n_rows, count_if(reason IS NULL)::BIGINT AS n_loaded,
+       ceil(count_if(reason IS NULL) / 32.0)::BIGINT AS n_batches FROM bad""",
     "first_n_per_class": """
 SELECT vec_id, label, rank::INTEGER AS rank FROM (
   SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rank FROM embeddings)
@@ -271,6 +266,54 @@ WITH {_HISTORY}
 SELECT max(epoch) AS last_epoch, arg_max(accuracy, epoch) AS final_accuracy, arg_max(loss, epoch) AS final_loss FROM h""",
 }
 
+ORACLE["class_distribution_grid"] = """
+SELECT l.lang, s.source,
+       coalesce(sum(CASE WHEN d.n_chars >= 1000 AND NOT (d.lang = 'en' AND d.source = 'src8') THEN 1 END), 0)::BIGINT AS "Images"
+FROM (SELECT DISTINCT lang FROM documents) l CROSS JOIN (SELECT DISTINCT source FROM documents) s
+LEFT JOIN documents d ON d.lang = l.lang AND d.source = s.source
+GROUP BY l.lang, s.source"""
+ORACLE["dictionary_maps"] = f"""
+WITH {_EVENT_DICT}
+SELECT e.event_id, d.label_index, d.label FROM events e LEFT JOIN dict d ON e.event_type = d.label"""
+ORACLE["nearest_centroid_many_classes"] = f"""
+WITH {_STD.replace('SELECT vec_id, label, unnest', 'SELECT vec_id, (vec_id % 37)::INTEGER AS label, unnest')},
+  c AS (SELECT label AS cls, pos, avg(z) AS m FROM s GROUP BY label, pos),
+  d AS (SELECT s.vec_id, c.cls, sum((s.z - c.m) * (s.z - c.m)) AS dist FROM s JOIN c ON s.pos = c.pos GROUP BY s.vec_id, c.cls),
+  r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY dist, cls) AS rn FROM d)
+SELECT vec_id, CASE WHEN vec_id % 3 <> 0 THEN vec_id % 5 END AS row_key, cls AS prediction FROM r WHERE rn = 1"""
+ORACLE["uniform_dim"] = "SELECT len(embedding)::INTEGER AS dim, count(*)::BIGINT AS n_rows FROM embeddings GROUP BY 1"
+ORACLE["user_model"] = """
+WITH u AS (SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings)
+SELECT vec_id, round(sum(x * pos), 6) AS score FROM u GROUP BY vec_id"""
+ORACLE["image_vectors"] = """
+WITH u AS (SELECT vec_id, unnest(range(64)) AS p, unnest(embedding)::DOUBLE AS x FROM embeddings),
+  px AS (SELECT vec_id, p // 8 AS r, p % 8 AS c, greatest(0, least(255, floor((x + 4.0) * 20.0))) AS v FROM u),
+  cell AS (SELECT vec_id, r // 2 AS r, c // 2 AS c, avg(v) AS v FROM px GROUP BY vec_id, r // 2, c // 2)
+SELECT vec_id, ((r * 4 + c) * 3 + k)::INTEGER AS pos, v::DOUBLE AS value FROM cell CROSS JOIN (SELECT unnest([0, 1, 2]) AS k)"""
+ORACLE["fixed_text"] = "SELECT event_id, printf('%.4f', value) AS value_text FROM events"
+ORACLE["confusion_with_unknowns"] = f"""
+WITH {_EVENT_DICT},
+  pairs AS (SELECT event_type AS t, CASE WHEN value < 5 THEN NULL WHEN value < 10 THEN 'unheard' ELSE {_PRED} END AS p FROM events),
+  n AS (SELECT t, p, count(*) AS n FROM pairs GROUP BY 1, 2),
+  grid AS (SELECT a.label AS t, b.label AS p FROM dict a CROSS JOIN dict b)
+SELECT t AS "true", p AS pred, n::BIGINT AS n FROM n
+UNION ALL
+SELECT t, p, 0 FROM grid WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.t = grid.t AND n.p = grid.p)"""
+ORACLE["page_after"] = "SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id > 29 ORDER BY doc_id LIMIT 10"
+ORACLE["mini_batches_null_id"] = """
+WITH e AS (SELECT CASE WHEN vec_id <> 7 THEN vec_id END AS vec_id, label FROM embeddings),
+  b AS (SELECT vec_id, label, (row_number() OVER (ORDER BY md5(coalesce(vec_id::VARCHAR, '') || '42'), vec_id NULLS FIRST) - 1)::BIGINT AS row_idx FROM e)
+SELECT vec_id, label, row_idx, floor(row_idx / 32)::BIGINT AS batch_id FROM b"""
+ORACLE["labelled_files"] = "SELECT 'source=' || source AS label, sum(strlen(text) + 1)::BIGINT AS n_bytes FROM documents GROUP BY source"
+# Facts that hold for any right fit, counted over all rows.
+ORACLE["mlp_predict"] = """
+SELECT count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_class, count(*)::BIGINT AS n_sum_one, count(*)::BIGINT AS n_argmax FROM embeddings"""
+ORACLE["mlp_history"] = "SELECT true AS without_gap, true AS never_rises, true AS within_limit, true AS has_learned"
+ORACLE["latent_2d"] = """
+SELECT count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_points, count(DISTINCT vec_id)::BIGINT AS n_ids, true AS axes_in_order, true AS uncorrelated FROM embeddings"""
+ORACLE["model_roundtrip"] = """
+SELECT count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_same_prediction, count(*)::BIGINT AS n_same_probability FROM embeddings"""
+
 # Rows-only jobs whose result is still exactly known in SQL.
 ORACLE["csv_roundtrip"] = ORACLE["predictions_table"]
 ORACLE["stream_score"] = ORACLE["centroid_predict"]

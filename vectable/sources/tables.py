@@ -18,8 +18,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Expose the tables as temp views (for SQL users)."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
