@@ -49,7 +49,7 @@ KEYS_A_BYTE = 0.2
 
 def grams(texts: list[bytes], order: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
     """For all tokens of all texts in order: n-gram hashes of each length, the
-    hashes of their contexts (length 2 and up), and each text's first token."""
+    hashes of contexts of length 2 and up, and each text's first token."""
     each, bound = [], [np.zeros(1, np.int64)]
     for i, j in in_chunks(texts):
         h, b = hash_words(texts[i:j])
@@ -63,16 +63,12 @@ def grams(texts: list[bytes], order: int) -> tuple[list[np.ndarray], list[np.nda
         back = np.full(len(t), START)
         back[k:] = np.where(place[k:] >= k, t[: max(0, len(t) - k)], START) if len(t) > k else START
         ctx = mix(ctx * np.uint64(0x9E3779B97F4A7C15) + back + np.uint64(k))
-        contexts.append(ctx)
+        if k > 1:
+            contexts.append(ctx)
         out.append(mix(ctx ^ mix(t + np.uint64(k << 8))))
     return out, contexts, bounds
 
 
-def _families(order: int) -> list[tuple[str, int]]:
-    """The families of keys: n-grams of each length, contexts of length 1 and up."""
-    return [("gram", k) for k in range(order)] + [("context", k) for k in range(order - 1)]
-
-
 def _block_families(texts: list[bytes], order: int):
     g, c, bounds = grams(texts, order)
     return [np.unique(x, return_inverse=True, return_counts=True) for x in (*g, *c)], bounds
@@ -121,9 +117,14 @@ def _estimates(texts: list[bytes], right: pd.DataFrame, column: str, order: int,
         got.append(total[inverse])
     count = got[0]
     p = [count / max(n, 1)]
+    # A word is the context of the token after it as often as it occurs, and a
+    # text's start as often as the end token does.
+    starts, ends = bounds[:-1], bounds[1:] - 1
+    before = np.concatenate([[0], count[:-1]])
+    before[starts] = count[ends]
     octave = np.zeros(len(count), np.int64)
     for k in range(1, order):
-        context = got[order + k - 1]
+        context = before if k == 1 else got[order + k - 2]
         p.append(np.divide(got[k], context, out=np.zeros(len(count)), where=context > 0))
         octave = np.where(context > 0, k * OCTAVES + np.minimum(np.log2(np.maximum(context, 1)).astype(np.int64), OCTAVES - 1), octave)
     return count, p, octave, bounds
