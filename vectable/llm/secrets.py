@@ -59,19 +59,41 @@ DICTIONARY = (
 ).split()
 
 
-def scanner() -> re.Pattern:
-    parts = [f"(?P<{k}>{p})" for k, p in FORMATS.items()]
-    return re.compile("|".join([*parts, f"(?P<assigned>{ASSIGNED})", f"(?P<run>{RUN})"]))
-
-
-def candidates(text: str, pattern: re.Pattern) -> Iterator[tuple[str, int, int]]:
-    """(kind, start, end) of each candidate in code points, left to right."""
-    for m in pattern.finditer(text):
-        kind = m.lastgroup
-        if m.group("assigned"):
-            yield "assigned", m.start("value"), m.end("value")
-        else:
-            yield kind, m.start(), m.end()
+#: Strings without which a text has no known format and no assignment.
+MARKS = tuple(x.encode() for x in ("akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "aiza", "k_live_", "k_test_", "eyj", "-----begin"))
+NAMED = tuple(x.encode() for x in ("key", "secret", "token", "passw", "pwd", "passphrase", "auth", "credential"))
+_RUN_BYTES = bytes(b if chr(b).isalnum() and b < 128 or b in b"+/_-" else 32 for b in range(256))
+
+
+class Scanner:
+    """Finds candidates; what a text cannot have is not searched for."""
+
+    def __init__(self):
+        self.formats = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMATS.items()))
+        self.assigned, self.run = re.compile(ASSIGNED), re.compile(RUN)
+
+    def __call__(self, raw: bytes) -> tuple[str, list[tuple[str, int, int]]]:
+        """The text (decoded if it has candidates) and (kind, start, end) of each
+        candidate in code points, left to right; of overlapping ones the first,
+        known formats before assignments before bare runs."""
+        low = raw.lower()
+        marked, named = any(m in low for m in MARKS), any(m in low for m in NAMED)
+        long = max(map(len, raw.translate(_RUN_BYTES).split()), default=0) >= 20
+        if not (marked or named or long):
+            return "", []
+        text, found = raw.decode(), []
+        if marked:
+            found += [(m.start(), 0, m.end(), m.lastgroup) for m in self.formats.finditer(text)]
+        if named:
+            found += [(m.start("value"), 1, m.end("value"), "assigned") for m in self.assigned.finditer(text)]
+        if long:
+            found += [(m.start(), 2, m.end(), "run") for m in self.run.finditer(text)]
+        out, last = [], 0
+        for start, _, end, kind in sorted(found):
+            if start >= last:
+                out.append((kind, start, end))
+                last = end
+        return text, out
 
 
 _WORDS = sorted({w for w in DICTIONARY if len(w) >= 3}, key=len, reverse=True)
@@ -174,9 +196,9 @@ class Forest:
 
 
 def _found(docs: DataFrame, keep: list[str], text_col: str, path_col: str, make, schema: str) -> DataFrame:
-    """``make(text, path)`` of each row gives tuples that follow its ``keep`` columns."""
+    """``make()(raw text, path)`` of each row gives tuples that follow its ``keep`` columns."""
     ins = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(path_col).cast("string").alias("path"), *ins)
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"), F.col(path_col).cast("string").alias("path"), *ins)
     heads = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -184,8 +206,8 @@ def _found(docs: DataFrame, keep: list[str], text_col: str, path_col: str, make,
         call = make()
         for batch in batches:
             at, out = [], []
-            for i, (text, path) in enumerate(zip(batch.column(0), batch.column(1), strict=True)):
-                found = call(text.as_py(), path.as_py())
+            for i, (text, path) in enumerate(zip(batch.column(0), batch.column(1).to_pylist(), strict=True)):
+                found = call(text.as_py(), path)
                 at += [i] * len(found)
                 out += found
             index = pa.array(at, pa.int64())
@@ -202,11 +224,12 @@ def bootstrap_findings(docs: DataFrame, text_col: str = "text", path_col: str =
     """``features, label``: findings whose label is known, at most ``sample`` of each."""
 
     def make():
-        pattern = scanner()
+        candidates = Scanner()
 
-        def call(text, path):
+        def call(raw, path):
             out = []
-            for kind, a, b in candidates(text, pattern):
+            text, found = candidates(raw)
+            for kind, a, b in found:
                 f = features(text, kind, a, b, path)
                 label = known_label(kind, f)
                 if label is not None:
@@ -237,11 +260,12 @@ def scan(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str
     share of trees for a secret), ``secret`` (score of a half or more)."""
 
     def make():
-        pattern = scanner()
+        candidates = Scanner()
 
-        def call(text, path):
+        def call(raw, path):
             out = []
-            for kind, a, b in candidates(text, pattern):
+            text, found = candidates(raw)
+            for kind, a, b in found:
                 s = forest(features(text, kind, a, b, path))
                 out.append((a, b - a, kind, zlib.crc32(text[a:b].encode()), s, s >= 0.5))
             return out
@@ -256,11 +280,13 @@ def redact(docs: DataFrame, forest: Forest, text_col: str = "text", path_col: st
     and columns stay, null texts stay null."""
 
     def make():
-        pattern = scanner()
+        candidates = Scanner()
 
-        def call(text, path):
+        def call(raw, path):
             out, at = [], 0
-            for kind, a, b in candidates(text, pattern):
+            text, found = candidates(raw)
+            text = text or raw.decode()
+            for kind, a, b in found:
                 if forest(features(text, kind, a, b, path)) >= 0.5:
                     out += [text[at:a], mask]
                     at = b
