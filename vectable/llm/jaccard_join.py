@@ -15,7 +15,7 @@ meet the prefix of every set it links with:
    length, positional and suffix filters. Groups of the same members are
    joined once, at their rarest shingle.
 4. All pairs of a large group are never formed. A round verifies each member
-   against one centre of its group and merges what links; a pair inside one
+   against ``CENTRES`` of its group and merges what links; a pair inside one
    component needs no check. When what is left between components is linear
    in the postings, it is verified as pairs. No pair is left out.
 
@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectable.llm import blocks as B
@@ -42,7 +42,9 @@ from vectable.llm.words import hash_words, in_chunks, mix
 #: Bins of the suffix filter: shared shingles of a set counted by hash range.
 BINS = 16
 #: Pairs that may be formed for each posting before another round of centres, and the most such rounds.
-PAIRS_A_POSTING, ROUNDS = 16, 4
+PAIRS_A_POSTING, ROUNDS = 64, 4
+#: Centres that a group has in a round.
+CENTRES = 8
 WIDTH = 6
 
 
@@ -180,17 +182,17 @@ def linked_classes(sets: DataFrame, percent: int = 75) -> tuple[DataFrame, DataF
     for k in range(ROUNDS + 1):
         by = kept.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
         mixed = B.stored(by.groupBy("h").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select("h", "m", F.col("top.comp").alias("top"), (F.col("m") - F.col("top.c")).alias("rest")), "mixed")
-        pairs, left = mixed.select(F.sum(F.col("m") * F.col("rest")), F.sum("m")).first()
+        cross, left = mixed.select(F.sum(F.col("m") * F.col("rest")), F.sum("m")).first()
         if not left:
             break
         base = base or left
-        open_ = B.stored(kept.join(mixed.select("h", "top"), "h"), "open")
-        last = k == ROUNDS or k > 0 and pairs <= PAIRS_A_POSTING * base
+        open_ = B.stored(kept.join(mixed.select("h", "top", "m"), "h"), "open")
+        last = k == ROUNDS or k > 0 and cross <= PAIRS_A_POSTING * base
         if last:
             some = B.stored(open_.where("comp <> top"), "few")
         else:
-            centre = open_.groupBy("h").agg(F.min(F.struct(F.xxhash64("rep", F.lit(k)).alias("o"), "rep", "n", "pos", "comp")).alias("c"))
-            some = B.stored(centre.select("h", "c.rep", "c.n", "c.pos", "c.comp"), "centres")
+            first = F.row_number().over(Window.partitionBy("h").orderBy(F.xxhash64("rep", F.lit(k)), "rep"))
+            some = B.stored(open_.withColumn("first", first).where(F.col("first") <= CENTRES), "centres")
         found = _pairs(some, open_, percent)
         if checked is not None:
             found = found.join(checked.select("a", "b"), ["a", "b"], "left_anti")
@@ -199,8 +201,9 @@ def linked_classes(sets: DataFrame, percent: int = 75) -> tuple[DataFrame, DataF
         comps = components(checked.where("linked"))
         if last:
             break
-        # Groups inside one component are done.
-        kept = B.stored(open_.drop("comp", "top").join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "postings")
+        # Groups inside one component are done, and so are those that centres have met in full.
+        rest = open_.where(F.col("m") > CENTRES + 1) if k == 0 else open_
+        kept = B.stored(rest.drop("comp", "top", "m").join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "postings")
     if comps is None:
         comps = reps.where("false").select(F.col("rep").alias("id"), F.col("rep").alias("comp"))
     return classes, comps
