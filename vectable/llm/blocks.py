@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from vectable.session import scratch_path
 
 #: Bytes of text in a block, and distinct keys that a bucket should hold.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_KEYS = 1 << 19
 
 
