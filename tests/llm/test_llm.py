@@ -420,7 +420,7 @@ def test_secret_scan(spark):
     hexes = ["%032x" % random.Random(i).getrandbits(128) for i in range(80)]
     texts = [f'text {"a" * (i % 5)} token = "{h}" end' for i, h in enumerate(hexes[:40])]
     texts += [f"file sha256 {h} checked" for h in hexes[40:]] + [f"a {'thing' * 6} word" for _ in range(30)]
-    texts += [f"see {key} ok", None, "", "nothing here", "x" * 200000]
+    texts += [f"see {key} ok", f"login password={hexes[0][:18]} then", None, "", "nothing here", "x" * 200000]
     docs = frame(spark, texts).withColumn("c0", F.lit("clash")).withColumn("start", F.lit(1))
     forest = secrets.train_forest(secrets.bootstrap_findings(docs))
     got = {}
@@ -430,9 +430,10 @@ def test_secret_scan(spark):
         (x,) = got[i]
         assert texts[i][x["start"] : x["start"] + x["length"]] == h and x["digest"] == zlib.crc32(h.encode()) and x["secret"] == (i < 40)
     assert got[110][0]["kind"] == "aws_access_key" and got[110][0]["secret"]
+    assert got[111][0]["kind"] == "assigned" and got[111][0]["secret"]
     assert not any(x["secret"] for i in range(80, 110) for x in got[i])
     out = {r["doc_id"]: r["text"] for r in secrets.redact(docs, forest).collect()}
-    assert out[0] == texts[0].replace(hexes[0], "[SECRET]") and out[50] == texts[50] and out[111] is None and out[114] == texts[114]
+    assert out[0] == texts[0].replace(hexes[0], "[SECRET]") and out[50] == texts[50] and out[112] is None and out[115] == texts[115]
     assert secrets.scan(empty(spark), secrets.train_forest(secrets.bootstrap_findings(empty(spark)))).count() == 0
 
 

@@ -10,8 +10,9 @@ much of it is dictionary words, the document's path, and the words beside it.
 The forest (bootstrap samples, random features at each split, Gini) is trained
 in NumPy on labelled findings, a bounded sample of ``SAMPLE`` of each label.
 ``bootstrap_findings`` labels findings of a corpus that has no labels: known
-formats and quoted assignments to a credential's name are secrets, bare runs
-without digits, and runs beside words such as ``sha256`` or ``example``, are not.
+formats and values with digits assigned to a credential's name are secrets;
+bare runs without digits, unquoted values without any, and findings beside
+words such as ``sha256`` or ``example`` are not.
 
 Cases: a null or empty text has no candidate; a null path has no path cue;
 overlapping candidates count once, as the first and longest; repeated rows
@@ -138,8 +139,10 @@ def known_label(kind: str, f: list[float]) -> int | None:
         return 1
     if get("near_against"):
         return 0
-    if kind == "assigned" and get("quoted") and get("digits") > 0 and get("entropy") >= 3:
+    if kind == "assigned" and get("digits") > 0 and get("entropy") >= 2.5:
         return 1
+    if kind == "assigned" and not get("quoted") and get("digits") == 0:
+        return 0
     if kind == "run" and not get("near_for") and (get("digits") == 0 or get("dictionary") >= 0.4):
         return 0
     return None
