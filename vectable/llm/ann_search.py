@@ -16,7 +16,8 @@ their norms equal, the queries get a 0 there, and then the nearest rows by
 distance have the largest products.
 
 The number of slots grows with the logarithm of the rows (``BUCKET_ROWS`` a
-bucket). Buckets go to shards by hash, one of over ``SPLIT`` rows in several
+bucket), as far as the sample's queries reach the target with ``PROBES``
+buckets a table on average; no query is cut off there. Buckets go to shards by hash, one of over ``SPLIT`` rows in several
 parts, and a query visits the shards of its buckets; a shard's answer to it is
 its ``k`` best. Equal vectors are one row of the index with their ``k`` least
 ids: others of them can't be among the ``k`` nearest, ties going to smaller ids.
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from vectable.llm.blocks import stored
 from vectable.llm.vectors import dimension, matrix, usable
 
-TABLES, BUCKET_ROWS, SAMPLE, SPLIT, SHARD_ROWS, SHARDS, TARGET = 2, 64, 48, 2048, 8192, 32, 0.97
+TABLES, BUCKET_ROWS, SAMPLE, SPLIT, SHARD_ROWS, SHARDS, PROBES, TARGET = 2, 64, 48, 2048, 8192, 32, 96, 0.97
 
 
 class Hash:
@@ -144,11 +145,15 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vec_col: s
     norm = np.linalg.norm(q, axis=1).mean()
     product = float(np.quantile(kth, 0.25)) if len(kth) else 0.0
     distance = math.sqrt(max(1e-6, norm**2 + biggest - 2 * product)) / scale
-    # Slots about as wide as that distance; as many as the rows need.
-    hashes = int(min(24, max(1, round(math.log(max(2.0, n / BUCKET_ROWS)) / math.log(2.2)))))
+    # Slots about as wide as that distance; as many as the rows need, but no more
+    # than let a query of the sample reach its target with PROBES buckets on average.
     width = max(1e-3, 1.2 * distance)
-    tables = [Hash(dim + 1, hashes, width, 17 + t) for t in range(TABLES)]
     each = 1 - (1 - target) ** (1 / TABLES)
+    asked_for = np.column_stack([q, np.zeros(len(q))]) / scale
+    hashes, most = 1, int(min(24, max(1, round(math.log(max(2.0, n / BUCKET_ROWS)) / math.log(2.2)))))
+    while hashes < most and np.mean([len(probes(p, width, distance, each)[0]) for p in Hash(dim + 1, hashes + 1, width, 17).places(asked_for)]) <= PROBES:
+        hashes += 1
+    tables = [Hash(dim + 1, hashes, width, 17 + t) for t in range(TABLES)]
     shared = spark.sparkContext.broadcast((tables, scale, biggest, distance, each))
 
     def extended(pdf: pd.DataFrame, is_query: bool) -> np.ndarray:
