@@ -42,7 +42,7 @@ from vectable.llm.words import hash_words, in_chunks, mix
 #: Bins of the suffix filter: shared shingles of a set counted by hash range.
 BINS = 16
 #: Pairs that may be formed for each posting before another round of centres, and the most such rounds.
-PAIRS_A_POSTING, ROUNDS = 64, 4
+PAIRS_A_POSTING, ROUNDS = 64, 1
 #: Centres that a group has in a round.
 CENTRES = 8
 WIDTH = 6
