@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -412,6 +413,29 @@ def test_license_scan_equals_brute_force(spark):
     assert licenses.license_scan(empty(spark)).count() == 0
 
 
+def test_licenses_across_lines(spark):
+    texts, want = ["nothing of a license here\n" * 50], []
+    for mark in ("", "# ", " * ", "// ", "REM "):
+        for name, t in [*licenses.HEADERS, *(b for b in licenses.bodies() if len(b[1]) < 3000)]:
+            for width in (60, 80, 10**6):
+                t = " ".join(t.split())
+                texts.append("Foo bar\nCopyright 2020 The Authors\n" + "\n".join(mark + x for x in textwrap.wrap(t, width)) + "\nint main() {\n" * 40)
+                want.append((len(texts) - 1, name))
+    for name, t in licenses.bodies():
+        texts += [t, "x y z\n" * 30 + t]
+        want += [(len(texts) - 2, name), (len(texts) - 1, name)]
+    mit = dict(licenses.bodies())["MIT"]
+    texts += [mit + "\nsome other words\n" + mit, "# Released under\n# the MIT License", 'Licensed under the Apache License,\nVersion 2.0']
+    k = len(texts)
+    want += [(k - 3, "MIT"), (k - 2, "MIT"), (k - 1, "Apache-2.0")]
+    got = licenses.scan_texts(frame(spark, texts)).collect()
+    assert {(x["doc_id"], x["license"]) for x in got} >= set(want) and not any(x["doc_id"] == 0 for x in got)
+    # But for the notice that both BSD licences share, no other licence is found.
+    assert {(x["doc_id"], x["license"]) for x in got} - set(want) <= {(i, "BSD-3-Clause") for i, n in want if n == "BSD-2-Clause"} | {(i, m) for i, n in want if "GPL" in n for m in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0") if "\n" in texts[i]}
+    assert sum(x["doc_id"] == k - 3 for x in got) == 2
+    assert licenses.license_places(empty(spark)).count() == 0
+
+
 # --- 9 -----------------------------------------------------------------------
 
 

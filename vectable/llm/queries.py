@@ -57,7 +57,7 @@ def op7_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_scan(_table(spark, sf_dir, "documents"))
+    return licenses.scan_texts(_table(spark, sf_dir, "documents"))
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
