@@ -461,6 +461,31 @@ def test_secret_scan(spark):
     assert secrets.scan(empty(spark), secrets.train_forest(secrets.bootstrap_findings(empty(spark)))).count() == 0
 
 
+def test_secrets_are_masked_whole(spark):
+    r = random.Random(4)
+    value = "".join(r.choice("abcdefghijkABCDEF0123456789") for _ in range(2100))
+    body = ["".join(r.choice("abcdefghijkABCDEF0123456789+/") for _ in range(64)) for _ in range(400)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    blocks = [
+        "\n".join([begin, *body, end]),
+        "\n".join([begin, "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00FF", "", *body[:20], end]),
+        "\\n".join([begin, *body[:20], end]),
+        "\n".join([begin, *body[:20]]),
+    ]
+    texts = [f'token="{value}" end', *(f"a {b} end" for b in blocks), "token          =          hunter2abc9x end", f"{blocks[3]}\nsome words\n{blocks[0]} end", f"{begin} is how a key starts"]
+    scan = secrets.Scanner()
+    got = [[(t[a:b]) for _, a, b in scan(t.encode())[1]] for t in texts]
+    assert got == [[value], *([b] for b in blocks), ["hunter2abc9x"], [blocks[3], blocks[0]], [begin]]
+    assert scan(b"ghp_" + b"a1" * 18 + b".")[1] == [("github_token", 0, 40)]
+    assert scan(b"token=ghp_" + b"a1" * 18 + b"$tail9")[1] == [("github_token", 6, 52)]
+    forest = secrets.Forest(np.zeros((1, len(secrets.FEATURES))), np.ones(1))
+    out = {x["doc_id"]: x["text"] for x in secrets.redact(frame(spark, texts[:5]), forest).collect()}
+    assert out == {0: 'token="[SECRET]" end', **{i: "a [SECRET] end" for i in range(1, 4)}, 4: "a [SECRET] end"}
+    # Repeated findings do not fill the sample.
+    copies = frame(spark, [f'token = "{value[:40]}" end'] * 30 + [f'token = "{value[40 * i : 40 * i + 40]}" end' for i in range(1, 11)])
+    assert secrets.bootstrap_findings(copies, sample=20).count() == 11
+
+
 # --- 10 ----------------------------------------------------------------------
 
 

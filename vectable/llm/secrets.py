@@ -15,7 +15,7 @@ bare runs without digits, unquoted values without any, and findings beside
 words such as ``sha256`` or ``example`` are not.
 
 Cases: a null or empty text has no candidate; a null path has no path cue;
-overlapping candidates count once, as the first and longest; repeated rows
+overlapping candidates count once, as the first, to the end of the last; repeated rows
 have the same findings each; with no findings to learn from, or of one label
 only, the share of that label is the score of all (1 without any).
 """
@@ -44,10 +44,13 @@ FORMATS = {
     "google_api_key": r"\bAIza[0-9A-Za-z_-]{35}\b",
     "stripe_key": r"\b[sr]k_(?:live|test)_[0-9A-Za-z]{16,}\b",
     "json_web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "private_key": r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]{0,10000}-----END [A-Z ]{0,30}PRIVATE KEY-----)?",
+    "private_key": r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----",
 }
 NAMES = r"(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd|passphrase|auth|credential)"
-ASSIGNED = rf"(?i:{NAMES}[\w-]*)[\"']?\s{{0,4}}(?:=|:|=>)\s{{0,4}}[\"']?(?P<value>[^\s\"'<>,;]{{8,512}})"
+#: A key block reaches to its end line whatever lies between; without one, over the lines that look like a key's.
+KEY_END = r"-----END [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+KEY_LINES = r"(?:(?:\\[rn]|[\s\"'+#*>|])*+(?:[A-Z][A-Za-z-]{2,30}: [^\n\\]*+|[A-Za-z0-9+/=]{16,}+))*+"
+ASSIGNED = rf"(?i:{NAMES}[\w-]*+)[\"']?\s*+(?:=|:|=>)\s*+[\"']?(?P<value>[^\s\"'<>,;]{{8,}}+)"
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 #: Words that speak for or against a secret beside them, and in paths.
 FOR = ("token", "secret", "password", "passwd", "pwd", "key", "auth", "credential", "bearer", "login")
@@ -72,11 +75,25 @@ class Scanner:
     def __init__(self):
         self.formats = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMATS.items()))
         self.assigned, self.run = re.compile(ASSIGNED), re.compile(RUN)
+        self.key_end, self.key_lines = re.compile(KEY_END), re.compile(KEY_LINES)
+
+    def keys(self, text: str, found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
+        """``found`` with the key blocks among it to their ends."""
+        begins = [(start, end) for start, _, end, kind in found if kind == "private_key"]
+        if not begins:
+            return found
+        stops = [m.end() for m in self.key_end.finditer(text, begins[0][1])]
+        ends, k = {}, 0
+        for (start, end), (later, _) in zip(begins, [*begins[1:], (len(text) + 1, 0)], strict=True):
+            while k < len(stops) and stops[k] <= end:
+                k += 1
+            ends[start] = stops[k] if k < len(stops) and stops[k] <= later else self.key_lines.match(text, end).end()
+        return [(start, rank, ends.get(start, end) if kind == "private_key" else end, kind) for start, rank, end, kind in found]
 
     def __call__(self, raw: bytes) -> tuple[str, list[tuple[str, int, int]]]:
         """The text (decoded if it has candidates) and (kind, start, end) of each
-        candidate in code points, left to right; of overlapping ones the first,
-        known formats before assignments before bare runs."""
+        candidate in code points, left to right; overlapping ones are the first of
+        them, known formats before assignments before bare runs, to the last end."""
         low = raw.lower()
         marked, named = any(m in low for m in MARKS), any(m in low for m in NAMED)
         long = max(map(len, raw.translate(_RUN_BYTES).split()), default=0) >= 20
@@ -84,7 +101,7 @@ class Scanner:
             return "", []
         text, found = raw.decode(), []
         if marked:
-            found += [(m.start(), 0, m.end(), m.lastgroup) for m in self.formats.finditer(text)]
+            found += self.keys(text, [(m.start(), 0, m.end(), m.lastgroup) for m in self.formats.finditer(text)])
         if named:
             found += [(m.start("value"), 1, m.end("value"), "assigned") for m in self.assigned.finditer(text)]
         if long:
@@ -94,6 +111,9 @@ class Scanner:
             if start >= last:
                 out.append((kind, start, end))
                 last = end
+            elif end > last:
+                out[-1] = (*out[-1][:2], end)
+                last = end
         return text, out
 
 
@@ -224,7 +244,8 @@ def _found(docs: DataFrame, keep: list[str], text_col: str, path_col: str, make,
 
 
 def bootstrap_findings(docs: DataFrame, text_col: str = "text", path_col: str = "source", sample: int = SAMPLE) -> DataFrame:
-    """``features, label``: findings whose label is known, at most ``sample`` of each."""
+    """``features, label``: findings whose label is known, at most ``sample`` of
+    each; a finding that is repeated with the same features is one."""
 
     def make():
         candidates = Scanner()
@@ -241,7 +262,7 @@ def bootstrap_findings(docs: DataFrame, text_col: str = "text", path_col: str =
 
         return call
 
-    known = stored(_found(docs, [], text_col, path_col, make, "features array<double>, label int, digest long"), "findings")
+    known = stored(_found(docs, [], text_col, path_col, make, "features array<double>, label int, digest long").distinct(), "findings")
     out = None
     for y in (0, 1):
         part = known.where(F.col("label") == y).orderBy("digest", F.xxhash64("features")).limit(sample)
