@@ -355,6 +355,28 @@ def test_page_text(page, text):
     assert html_text.page_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p title=Bob's>Visible text that isn't markup</p>", "Visible text that isn't markup"),
+        ('<p title="a"">one</p><p title="b">two "three"</p>', 'one\n\ntwo "three"'),
+        ("<a href=x='>one</a> it's <b title = 'a>b'>two</b>", "one it's two"),
+        ('<p title="a>b" hidden>no</p>yes', "yes"),
+        ("so <math><mfrac><mi>a</mi><mn>2</mn></mfrac><mo>=</mo><mi>c</mi><annotation>no</annotation></math> holds", "so a/2=c holds"),
+        ("<p>fig <svg><title>no</title><defs><text>no</text></defs><style/><path d='M0'/>no<g><text>Label <tspan>one</tspan></text><text>two</text></g></svg></p>", "fig\nLabel one\ntwo"),
+        ("<svg><foreignObject><p>html</p></foreignObject></svg>", "html"),
+        ('<div style="visibility:hidden">no <b style="visibility: visible">yes</b> no</div>', "yes"),
+        ('<table><tr style="visibility:hidden"><td>no</td><td style="visibility:visible">yes</td></tr><tr style="visibility:hidden"><td>no</td></tr></table>', "yes"),
+        ("<div>" * 500 + '<div style="display:none">no<div>no</div>no</div>yes' + "</div>" * 500 + "end", "yes\nend"),
+        ("<div>" * 20000 + "deep" + "</div>" * 20000 + "end", "deep\nend"),
+        ("<table><tr><td>" * 300 + "deep" + "</table>" * 300 + "end", "deep\n\nend"),
+    ],
+)
+def test_all_visible_text(page, text):
+    got = [x.strip() for x in html_text.page_text(page).split("\n")]
+    assert "\n".join(got) == text
+
+
 def test_every_visible_word_is_kept(spark):
     got = {r["page_id"]: r["text"] for r in queries.op5_html_text(spark, SF).collect()}
     for r in spark.read.parquet(f"{SF}/pages.parquet").collect():

@@ -5,23 +5,26 @@ that markup leaves out are implied (a paragraph ends where a block starts, an
 item at the next item, a cell at the next cell, a row, a section; rows and
 cells outside a table open one), comments and declarations are dropped, and
 the content of raw-text elements is no markup. Elements that are not shown
-(``head``, ``script``, ``template``, a ``hidden`` attribute, ``display:none``
-or ``visibility:hidden``) are left out. The renderer then lays the tree out as
+(``head``, ``script``, ``template``, a ``hidden`` attribute, ``display:none``)
+are left out; ``visibility`` is inherited, so a visible child of a hidden
+element is shown. Formulae and the text drawn in figures (``math``, ``svg``) are
+text. The renderer then lays the tree out as
 text: white space collapses except in ``pre``, blocks stand on lines of their
 own with an empty line where they have margins, list items are marked and
 indented, and the cells of a table are padded to columns.
 
 Cases: a null or empty page gives an empty text; text without markup is itself,
 with white space collapsed; unclosed and stray tags are closed or ignored;
-markup nested deeper than ``DEPTH`` is laid out as if it were that deep, with all
-its text; repeated rows and null ids give a row each.
+markup may nest to any depth, but is indented as if at most ``DEPTH`` deep; a
+quote is one only where an attribute's value starts; repeated rows and null ids give a row each.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Generator, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,14 +32,18 @@ from pyspark.sql import functions as F
 
 DEPTH = 120
 TOKEN = re.compile(
-    r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>(?>[^>"']*+(?:"[^"]*+"|'[^']*+')?)*+)>|<[!?/][^>]*+>?|(?P<text>[^<]++|<)""",
+    r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>(?>[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)*+)>|<[!?/][^>]*+>?|(?P<text>[^<]++|<)""",
     re.S,
 )
-ATTR = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+ATTR = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+#: An unquoted value may end with a slash, which closes nothing.
+SELF_CLOSED = re.compile(r"""(?:^|[\s"']|[\s/][^\s/=]+)/\s*\Z""")
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
-UNSEEN = frozenset("head script style title template noscript iframe noembed noframes datalist audio video canvas object svg math".split())
+UNSEEN = frozenset("head script style title template noscript iframe noembed noframes datalist audio video canvas object annotation annotation-xml".split())
+#: What a figure holds but does not draw where it stands.
+UNDRAWN = frozenset("defs symbol desc metadata clippath mask marker pattern lineargradient radialgradient filter".split())
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset form hr".split())
 BLOCK = MARGIN | frozenset("html body div section article aside nav header footer main address li dt dd tr thead tbody tfoot caption figcaption details summary legend center option optgroup menu dir search hgroup".split())
 CLOSES_P = BLOCK - frozenset("html body tr thead tbody tfoot caption option optgroup legend summary li dt dd".split()) | frozenset(["li", "dt", "dd", "summary"])
@@ -54,8 +61,11 @@ IMPLIED = {
     **{s: (frozenset(["td", "th", "tr", "caption"]) | SECTIONS, frozenset(["table"])) for s in SECTIONS},
     "body": (frozenset(["head"]), frozenset()),
 }
+LISTS = frozenset(["ul", "ol", "menu", "dir"])
+FOREIGN, INTEGRATION = frozenset(["svg", "math"]), frozenset(["foreignobject", "annotation-xml"])
 SCOPE = frozenset(["table", "td", "th", "caption", "html", "button"])
-HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+HIDING = re.compile(r"display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"(?:^|[;\s])visibility\s*:\s*(visible|initial|hidden|collapse)", re.I)
 
 
 class Node:
@@ -68,7 +78,7 @@ class Node:
 def _attributes(text: str) -> dict:
     out: dict[str, str] = {}
     for k, v in ATTR.findall(text):
-        out.setdefault(k.lower(), html.unescape(v[1:-1] if v[:1] in "\"'" and v else v))
+        out.setdefault(k.lower(), html.unescape(v[1:-1] if len(v) > 1 and v[0] in "\"'" and v[-1] == v[0] else v))
     return out
 
 
@@ -76,21 +86,24 @@ def build(page: str) -> Node:
     """The tree of a page."""
     root = Node("#root")
     stack = [root]
+    places: dict[str, list[int]] = defaultdict(list)  # of each tag's open elements in the stack
     at = 0
 
     def push(node: Node) -> None:
         stack[-1].kids.append(node)
-        if len(stack) < DEPTH:
-            stack.append(node)
+        places[node.tag].append(len(stack))
+        stack.append(node)
+
+    def innermost(tags: frozenset) -> int:
+        return max((places[t][-1] for t in tags if places[t]), default=0)
 
     def close(tags: frozenset, bounds: frozenset) -> None:
         """End the innermost open element of ``tags``, and what is open inside it, unless a bound comes first."""
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in bounds:
-                return
+        i = innermost(tags)
+        if i and i >= innermost(bounds):
+            for n in stack[i:]:
+                places[n.tag].pop()
+            del stack[i:]
 
     while m := TOKEN.match(page, at):
         at = m.end()
@@ -103,10 +116,14 @@ def build(page: str) -> Node:
         if m["end"]:
             if tag == "br":
                 stack[-1].kids.append(Node("br"))
-            elif any(n.tag == tag for n in stack):
+            elif places[tag]:
                 bounds = frozenset() if tag in ("table", "body", "html") else frozenset(["table"]) if tag in ("td", "th", "tr", "caption") or tag in SECTIONS else frozenset(["td", "th", "table"])
                 close(frozenset([tag]), bounds - {tag})
             continue
+        foreign = innermost(FOREIGN) > innermost(INTEGRATION)
+        if foreign and SELF_CLOSED.search(m["attrs"]):
+            stack[-1].kids.append(Node(tag, _attributes(m["attrs"])))
+            continue
         if tag in CLOSES_P:
             close(frozenset(["p"]), SCOPE)
         if tag in IMPLIED:
@@ -114,14 +131,13 @@ def build(page: str) -> Node:
             # A row closes the cell and then the row before it.
             for _ in range(3 if tag in ("tr", *SECTIONS) else 1):
                 close(gone, bounds)
-        names = {n.tag for n in stack}
         if tag in ("td", "th") and stack[-1].tag != "tr":
-            if "table" not in names:
+            if not places["table"]:
                 push(Node("table"))
             push(Node("tr"))
-        elif tag == "tr" and "table" not in names:
+        elif tag == "tr" and not places["table"]:
             push(Node("table"))
-        elif tag == "li" and not names & {"ul", "ol", "menu", "dir"}:
+        elif tag == "li" and not innermost(LISTS):
             push(Node("ul"))
         node = Node(tag, _attributes(m["attrs"]) if m["attrs"].strip(" /\n\t\r\f") else None)
         if tag in VOID:
@@ -142,6 +158,26 @@ def hidden(node: Node) -> bool:
     return node.tag in UNSEEN or "hidden" in a or (node.tag == "input") or ("style" in a and HIDING.search(a["style"]) is not None)
 
 
+def visible(node: Node, inherited: bool) -> bool:
+    """Whether the element's own text is shown, by its ``visibility`` or else its parent's."""
+    found = VISIBILITY.findall(node.attrs["style"]) if "style" in node.attrs else node.attrs["visibility"].split() if "visibility" in node.attrs else []
+    own = found[-1].lower() if found else ""
+    return True if own in ("visible", "initial") else False if own in ("hidden", "collapse") else inherited
+
+
+def finished(call: Generator):
+    """The result of a generator that yields the generators it waits for: nesting takes no depth of calls."""
+    calls, value = [call], None
+    while calls:
+        try:
+            calls.append(calls[-1].send(value))
+            value = None
+        except StopIteration as e:
+            calls.pop()
+            value = e.value
+    return value
+
+
 class Lines:
     """Text laid out so far: ended lines, the open one, and the space wanted before what comes next."""
 
@@ -192,41 +228,56 @@ class Lines:
         self.gap = max(self.gap, margin)
 
 
-def render(node: Node | str, out: Lines, pre: bool = False, lists: tuple = ()) -> None:
-    if isinstance(node, str):
-        out.raw(node) if pre else out.text(node)
-        return
+def render(node: Node, out: Lines, pre: bool = False, within: list | None = None, shown: bool = True, drawn: bool = True) -> Generator:
+    """Lay out an element; ``within`` is the list around it, ``shown`` the
+    visibility it inherits, ``drawn`` whether text is drawn where it stands."""
     if hidden(node):
         return
     tag = node.tag
+    shown = visible(node, shown)
+    if tag == "svg":
+        drawn = False
+    elif tag == "foreignobject" or tag == "text" and not drawn:
+        drawn = True
+        out.block(1)
+    elif not drawn and tag in UNDRAWN:
+        return
     if tag == "br":
         out._start()
         out.line(True)
         return
     if tag == "table":
-        table(node, out)
+        yield table(node, out, shown, drawn)
         return
     if tag == "hr":
         out.block(2)
-        out.text("---")
-        out.block(2)
+        if shown:
+            out.text("---")
+            out.block(2)
         return
-    margin = (1 if tag in ("ul", "ol", "menu") and lists else 2) if tag in MARGIN else 1 if tag in BLOCK else 0
+    margin = (1 if tag in ("ul", "ol", "menu") and within else 2) if tag in MARGIN else 1 if tag in BLOCK else 0
     if margin:
         out.block(margin)
     held = out.indent
-    if tag in ("ul", "ol", "menu", "dir"):
+    deeper = len(held) < 2 * DEPTH
+    if tag in LISTS:
         start = node.attrs.get("start", "1")
-        lists = (*lists, [tag, int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1])
+        within = [tag, int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1]
     elif tag == "li":
-        kind = lists[-1] if lists else ["ul", 1]
+        kind = within or ["ul", 1]
         mark = f"{kind[1]}. " if kind[0] == "ol" else "- "
         kind[1] += 1
-        out.indent, out.mark = held + " " * len(mark), mark
-    elif tag in ("dd", "blockquote"):
+        out.indent, out.mark = held + " " * len(mark) if deeper else held[: -len(mark)] + " " * len(mark), mark if shown else ""
+    elif tag in ("dd", "blockquote") and deeper:
         out.indent = held + "  "
-    for k in node.kids:
-        render(k, out, pre or tag in ("pre", "xmp"), lists)
+    pre = pre or tag in ("pre", "xmp")
+    for i, k in enumerate(node.kids):
+        if not isinstance(k, str):
+            if tag == "mfrac" and shown and any(not isinstance(x, str) for x in node.kids[:i]):
+                out.text("/")
+            yield render(k, out, pre, within, shown, drawn)
+        elif shown and drawn:
+            out.raw(k) if pre else out.text(k)
     if margin:
         out.block(margin)
         if tag == "li":
@@ -234,37 +285,40 @@ def render(node: Node | str, out: Lines, pre: bool = False, lists: tuple = ()) -
     out.indent = held
 
 
-def table(node: Node, out: Lines) -> None:
+def table(node: Node, out: Lines, shown: bool, drawn: bool) -> Generator:
     """Cells padded to columns; a cell of several lines takes several lines."""
     out.block(2)
     rows: list[list[list[str]]] = []
 
-    def walk(n: Node) -> None:
+    def walk(n: Node, shown: bool) -> Generator:
         for k in n.kids:
             if isinstance(k, str):
-                if k.strip():
+                if k.strip() and shown and drawn:
                     rows.append([[" ".join(k.split())]])
             elif hidden(k):
                 continue
             elif k.tag in SECTIONS:
-                walk(k)
+                yield walk(k, visible(k, shown))
             elif k.tag == "tr":
+                seen = visible(k, shown)
                 row: list[list[str]] = []
                 for c in k.kids:
                     if isinstance(c, str) and not c.strip():
                         continue
                     if not isinstance(c, str) and hidden(c):
                         continue
-                    row.append(_inside(c))
+                    row.append((yield _inside(c, seen, drawn)))
                     if not isinstance(c, str):
                         span = c.attrs.get("colspan", "1")
                         row += [[""]] * (min(int(span), 100) - 1 if span.isascii() and span.isdigit() else 0)
-                if row:
+                if row and (seen or row != [[""]] * len(row)):
                     rows.append(row)
             elif k.tag not in ("col", "colgroup"):
-                rows.append([_inside(k)])
+                cell = yield _inside(k, shown, drawn)
+                if cell != [""] or visible(k, shown):
+                    rows.append([cell])
 
-    walk(node)
+    yield walk(node, shown)
     width = [0] * max(map(len, rows), default=0)
     for row in rows:
         if len(row) > 1:
@@ -279,17 +333,22 @@ def table(node: Node, out: Lines) -> None:
     out.block(2)
 
 
-def _inside(node: Node | str) -> list[str]:
+def _inside(node: Node | str, shown: bool, drawn: bool) -> Generator:
     own = Lines()
-    for k in node.kids if isinstance(node, Node) else [node]:
-        render(k, own)
+    kids = node.kids if isinstance(node, Node) and node.tag != "svg" else [node]
+    shown = visible(node, shown) if isinstance(node, Node) else shown
+    for k in kids:
+        if not isinstance(k, str):
+            yield render(k, own, shown=shown, drawn=drawn)
+        elif shown and drawn:
+            own.text(k)
     own.line()
     return [x for x in own.lines if x] or [""]
 
 
 def page_text(page: str) -> str:
     out = Lines()
-    render(build(page), out)
+    finished(render(build(page), out))
     out.line()
     lines = out.lines
     while lines and not lines[-1]:
