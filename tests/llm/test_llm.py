@@ -308,6 +308,16 @@ def test_near_vectors(spark, monkeypatch):
     assert spherical_caps.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rows", [10_000, 1_000_000])
+def test_caps_recall_at_the_threshold_holds_as_rows_grow(rows):
+    r = np.random.default_rng(1)
+    x = r.normal(size=(1200, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    code = spherical_caps.fitted(x[:600], 64, rows, 0.9)
+    a, b = spherical_caps.pairs_at(x[600:], 0.9, 1000, seed=77)
+    assert np.allclose((a * b).sum(axis=1), 0.9) and spherical_caps.recall(code, a, b) >= 0.93
+
+
 def test_nearest(spark):
     df, x = vectors(spark)
     got = ann_search.nearest(df, "vec_id % 20 = 0").collect()

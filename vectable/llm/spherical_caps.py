@@ -12,8 +12,11 @@ cannot reach ``alpha``. Near vectors pass common filters; pairs meet there.
 Equal vectors are one class first, with its size. The code grows with the
 number of classes, so that a filter has about ``CAP_ROWS`` of them, and
 ``alpha`` is set on a bounded sample of vectors (``SAMPLE``) so that a vector
-passes about ``PASSED`` filters. A vector that passes fewer than ``LEAST``
-takes its ``LEAST`` best ones, which near vectors share just as well.
+passes a number of filters on average. That number grows with the code: from
+``PASSED`` on, until of ``PAIRS`` pairs made at exactly the cosine wanted, a
+sampled vector and a random one at that angle, a share of ``RECALL`` has a
+common filter. A vector that passes fewer than ``LEAST`` of that number takes
+so many best ones, which near vectors share just as well.
 
 A filter's rows are compared as matrices, in double precision; a pair counts
 where its first common filter is, so it is counted once and never written out:
@@ -40,7 +43,8 @@ from vectable.llm.blocks import stored
 from vectable.llm.components import components
 from vectable.llm.vectors import dimension, matrix, rotation, usable
 
-PARTS, CAP_ROWS, PASSED, LEAST, SAMPLE, BLOCK, GROUP_ROWS = 2, 48, 20, 6, 2000, 768, 4096
+PARTS, CAP_ROWS, PASSED, LEAST, SAMPLE, BLOCK, GROUP_ROWS = 2, 48, 20, 0.3, 2000, 768, 4096
+RECALL, PAIRS, STEP = 0.96, 600, 1.3
 
 
 class Code:
@@ -55,7 +59,7 @@ class Code:
         for s in self.parts:
             w = r.normal(size=(k, s.stop - s.start))
             self.words.append(w / np.linalg.norm(w, axis=1, keepdims=True) / np.sqrt(len(self.parts)))
-        self.k, self.alpha = k, 0.0
+        self.k, self.alpha, self.least = k, 0.0, 1
 
     def products(self, x: np.ndarray) -> list[np.ndarray]:
         t = x @ self.turn
@@ -82,6 +86,15 @@ class Code:
             ids, sums = (ids[:, None] * self.k + top[None, :]).ravel()[at], total[at]
         return ids
 
+    def caps(self, x: np.ndarray) -> list[np.ndarray]:
+        """Numbers of each row's filters, in rising order."""
+        scores, out = self.products(x), []
+        for i in range(len(x)):
+            own = [s[i] for s in scores]
+            c = self.decode(own, self.alpha)
+            out.append(np.sort(c if len(c) >= self.least else self.best(own, self.least)))
+        return out
+
     def calibrate(self, x: np.ndarray, passed: float) -> None:
         """``alpha`` such that the rows of ``x`` pass ``passed`` directions each on average."""
         scores = self.products(x)
@@ -98,13 +111,40 @@ class Code:
             low, high = (self.alpha, high) if n > passed * len(x) else (low, self.alpha)
 
 
-def _fit(units: DataFrame, dim: int, rows: int) -> Code:
-    filters = max(16.0, rows * PASSED / CAP_ROWS)
-    code = Code(dim, int(np.ceil(filters ** (1 / min(PARTS, dim)))))
+def pairs_at(x: np.ndarray, cosine: float, n: int, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` rows of ``x`` and, to each, a random unit vector at exactly ``cosine``."""
+    r = np.random.default_rng(seed)
+    a = x[r.integers(0, len(x), n)]
+    y = r.normal(size=a.shape)
+    y -= (y * a).sum(axis=1, keepdims=True) * a
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    return a, cosine * a + np.sqrt(max(0.0, 1 - cosine * cosine)) * y
+
+
+def recall(code: Code, a: np.ndarray, b: np.ndarray) -> float:
+    """The share of pairs with a common filter."""
+    return float(np.mean([len(np.intersect1d(p, q, assume_unique=True)) > 0 for p, q in zip(code.caps(a), code.caps(b), strict=True)]))
+
+
+def fitted(x: np.ndarray, dim: int, rows: int, cosine: float) -> Code:
+    """The code for ``rows`` vectors of which ``x`` are a sample."""
+    passed = float(PASSED)
+    while True:
+        filters = max(16.0, rows * passed / CAP_ROWS)
+        code = Code(dim, int(np.ceil(filters ** (1 / min(PARTS, dim)))))
+        most = min(passed, code.k ** len(code.parts) / 2)
+        code.least = max(1, int(most * LEAST))
+        code.calibrate(x[:400], most)
+        # As many filters as rows: nothing is left to gain.
+        if not len(x) or dim < 2 or passed >= rows or recall(code, *pairs_at(x, cosine, PAIRS)) >= RECALL:
+            code.calibrate(x, most)
+            return code
+        passed *= STEP
+
+
+def _fit(units: DataFrame, dim: int, rows: int, cosine: float) -> Code:
     sample = units.orderBy(F.xxhash64("id", F.lit("caps"))).limit(SAMPLE).select("x").collect()
-    x = np.array([r["x"] for r in sample]).reshape(len(sample), dim)
-    code.calibrate(x, min(PASSED, code.k ** len(code.parts) / 2))
-    return code
+    return fitted(np.array([r["x"] for r in sample]).reshape(len(sample), dim), dim, rows, cosine)
 
 
 def compare(left: pd.DataFrame, right: pd.DataFrame | None, dim: int, cosine: float) -> tuple[pd.DataFrame, np.ndarray]:
@@ -172,7 +212,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     keyed = unit.withColumn("h1", F.xxhash64("x")).withColumn("h2", F.xxhash64("x", F.lit(1)))
     classes = stored(keyed.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size")), "classes")
     reps = stored(unit.join(classes.select("id", "size"), "id"), "reps")
-    code = _fit(reps, dim, classes.count())
+    code = _fit(reps, dim, classes.count(), cosine)
     shared = vectors.sparkSession.sparkContext.broadcast(code)  # PARTS * k codewords
 
     def decode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,13 +220,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         for pdf in frames:
             for at in range(0, len(pdf), 2048):
                 part = pdf.iloc[at : at + 2048]
-                scores = code.products(matrix(part["x"], dim))
-                caps = []
-                for i in range(len(part)):
-                    own = [s[i] for s in scores]
-                    c = code.decode(own, code.alpha)
-                    caps.append(np.sort(c if len(c) >= LEAST else code.best(own, LEAST)))
-                yield part.assign(caps=caps)
+                yield part.assign(caps=code.caps(matrix(part["x"], dim)))
 
     decoded = stored(reps.select("id", "size", "x").mapInPandas(decode, "id long, size long, x array<double>, caps array<long>"), "caps")
     sizes = stored(decoded.select(F.explode("caps").alias("cap")).groupBy("cap").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "cap_sizes")
