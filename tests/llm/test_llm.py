@@ -586,6 +586,22 @@ def test_bin_completion_is_optimal_on_small_cases():
     assert len(packing.bin_completion(sizes)) <= -(-sum(sizes) // 2048) + 1
 
 
+def test_bin_completion_of_many_small_pieces():
+    r = random.Random(3)
+    better = 0
+    for parts, bins in ((6, 40), (8, 40), (5, 120), (12, 60)):
+        for _ in range(3):
+            sizes = []
+            for _ in range(bins):
+                cut = sorted(r.sample(range(1, 2048 // 8), parts - 1))
+                sizes += [8 * (b - a) for a, b in zip([0, *cut], [*cut, 2048 // 8], strict=True)]
+            got = packing.bin_completion(sizes)
+            assert sorted(s for b in got for s in b) == sorted(sizes) and all(sum(b) <= 2048 for b in got)
+            assert len(got) <= len(packing.best_fit(sizes, 2048))
+            better += len(got) < len(packing.best_fit(sizes, 2048))
+    assert better > 0
+
+
 # --- pipeline ----------------------------------------------------------------
 
 

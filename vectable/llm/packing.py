@@ -8,8 +8,9 @@ own by bin completion:
 * best-fit decreasing gives the first incumbent, and the total size (and the
   pieces of over half a sequence) a lower bound;
 * a branch takes the largest piece left and enumerates undominated fillings
-  around it, least waste first: the largest single piece that fits, pairs that
-  no single piece or pair covers, and triples that beat them;
+  around it, of any number of pieces, the largest pieces first: what leaves room
+  for a piece left out is none, and a piece is swapped for a larger one that
+  the waste has room for; the fillings of least waste are tried;
 * a branch is cut when its waste so far leaves no room to beat the incumbent;
   a shard ends at its lower bound or after ``NODES`` nodes.
 
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 
 from vectable.llm.blocks import stored
 
-CAPACITY, SHARD, NODES = 2048, 6144, 12000
+CAPACITY, SHARD, NODES, LEAVES = 2048, 6144, 12000, 12
 #: Fixed value: the pre-tokenizing pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -121,38 +122,54 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 
 def fillings(counts: np.ndarray, room: int, most: int) -> list[tuple[int, ...]]:
     """Undominated fillings of ``room`` from a multiset (``counts[size]``), least
-    waste first, at most ``most``. A filling is dominated when its pieces fit
-    into the places of another's."""
+    waste first, at most ``most``, of the first ``LEAVES * most`` in falling
+    order of their pieces. A filling is dominated when its pieces fit into the
+    places of another's."""
     have = np.flatnonzero(counts[: room + 1])
     if not len(have):
         return [()]
-    largest = np.zeros(room + 1, np.int64)  # the largest size on hand up to x
-    largest[have] = have
-    largest = np.maximum.accumulate(largest)
-    one = int(largest[room])
-    found: list[tuple[int, ...]] = [(one,)]
-    if one == room:
-        return found
-
-    def pairs(space: int, avail: np.ndarray) -> list[tuple[int, int]]:
-        a = avail[avail <= space]
-        b = largest[np.minimum(space - a, a)]
-        ok = (b > 0) & ((a != b) | (counts[b] > 1))
-        a, b = a[ok], b[ok]
-        return [(int(a[i]), int(b[i])) for i in np.argsort(space - a - b, kind="stable")[:most]]
-
-    found += [p for p in pairs(room, have) if sum(p) > one]
-    if max(map(sum, found)) < room:
-        best = max(map(sum, found))
-        for a in have[::-1][:: max(1, len(have) // 12)][:12].tolist():
-            counts[a] -= 1
-            left = have[counts[have] > 0]
-            for b, c in pairs(room - a, left[left <= a]):
-                if a + b + c > best and counts[b] > 0 and counts[c] > (b == c):
-                    found.append((a, b, c))
-            counts[a] += 1
-    found.sort(key=lambda f: (room - sum(f), len(f)))
-    return found[:most]
+    below = np.zeros(room + 1, np.int64)  # the largest size on hand up to x
+    below[have] = have
+    largest = np.maximum.accumulate(below).tolist()
+    held = counts[: room + 1].tolist()
+
+    def fit(x: int) -> int:
+        """The largest size left of at most ``x``."""
+        b = largest[x]
+        while b and not held[b]:
+            b = largest[b - 1]
+        return b
+
+    found: dict[tuple[int, ...], int] = {}
+    chosen: list[int] = []
+    space = top = room
+    leaves, full = LEAVES * most, 0
+    while True:
+        while b := fit(min(space, top)):
+            chosen.append(b)
+            held[b] -= 1
+            space -= b
+            top = b
+        leaves -= 1
+        if not fit(space):
+            pieces, waste = list(chosen), space
+            for i, b in enumerate(pieces):
+                if waste and (c := fit(min(room, b + waste))) > b:
+                    held[b] += 1
+                    held[c] -= 1
+                    pieces[i], waste = c, waste - (c - b)
+            for b, c in zip(chosen, pieces, strict=True):
+                held[b] -= b != c
+                held[c] += b != c
+            found.setdefault(tuple(sorted(pieces, reverse=True)), waste)
+            full += waste == 0
+        if not leaves or full >= most or not chosen:
+            break
+        b = chosen.pop()
+        held[b] += 1
+        space += b
+        top = b - 1
+    return sorted(found, key=lambda f: (found[f], len(f)))[:most]
 
 
 def bin_completion(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES, width: int = 4) -> list[list[int]]:
