@@ -1,4 +1,4 @@
-"""Operators for training-data pipelines (numbered 1 to 10 in the README).
+"""Operators for training-data pipelines (numbered 1 to 13 in the README).
 
 Functions that run inside tasks are pickled by value, so executors need this
 package on no path of their own.
