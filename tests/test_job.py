@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import base64
 import os
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from conftest import write_png
+from vectable.functions.png import decode_png
 from vectable.job import run_training_job
 
 
 def test_training_job(spark, image_tree, tmp_path):
     base, _ = image_tree
+    os.makedirs(os.path.join(base, "train/no.files"), exist_ok=True)
     out = str(tmp_path / "out")
     res = run_training_job(spark, base, out, size=(8, 8), max_iter=5, dashboard=True)
     # labels over all splits, sorted: adeno, empty_class, large_cell_x, nested?, normal
@@ -32,6 +35,7 @@ def test_training_job(spark, image_tree, tmp_path):
     assert wide.columns == ["true", "adeno", "empty_class", "large_cell_x", "normal"]
     dist = {(r["Dataset"], r["Class"]): r["Images"] for r in spark.read.parquet(f"{out}/class_distribution").collect()}
     assert dist[("Valid", "Empty class")] == 0
+    assert dist[("Train", "No files")] == 0  # a folder without any file
     spot = {r["split"]: r for r in spark.read.parquet(f"{out}/spot_checks").collect()}
     # first valid file is the placeholder: no image, so no prediction
     assert spot["valid"]["true_label"] == "empty_class" and spot["valid"]["predicted_label"] is None
@@ -42,6 +46,8 @@ def test_training_job(spark, image_tree, tmp_path):
     means = {r["label"]: r["mean"] for r in spark.read.parquet(f"{out}/mean_images").collect()}
     assert set(means) == {"large_cell_x", "normal"} and len(means["normal"]) == 8 * 8 * 3
     assert all(0 <= x <= 255 for x in means["normal"])
+    uris = {r["label"]: r["uri"] for r in spark.read.parquet(f"{out}/mean_images").collect()}
+    assert decode_png(base64.b64decode(uris["normal"].split(",")[1])).reshape(-1).tolist() == means["normal"]
     xy = spark.read.parquet(f"{out}/latent_2d")
     assert xy.count() == 4 and xy.columns == ["path", "x", "y", "label"]
 

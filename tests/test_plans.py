@@ -26,8 +26,9 @@ def test_top_n_limits_before_the_shuffle(spark):
 def test_class_means_aggregate_partially(spark):
     df = spark.read.parquet(f"{SF_SMOKE}/embeddings.parquet")
     p = plan(vectors.class_means(df, "label", "embedding"))
-    assert "partial_aggregate_metrics" in p
-    assert p.index("partial_aggregate_metrics") > p.index("Exchange hashpartitioning(label")
+    # Sums of each task below the exchange, and no aggregate that falls back to sorting vectors.
+    assert p.index("MapInArrow merged") < p.index("Exchange hashpartitioning(label") < p.index("MapInArrow fn")
+    assert "Aggregate" not in p
 
 
 def test_report_counts_aggregate_partially(spark):

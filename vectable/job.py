@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 
 from vectable.operators import batching, labels, metrics, model, quality, vectors
 from vectable.operators.common import materialize
-from vectable.operators.images import image_vectors
+from vectable.functions.text import data_uri_encode
+from vectable.operators.images import encode_images, image_vectors
 from vectable.operators.reports import predictions_table
 from vectable.session import build_session
-from vectable.sources import files
+from vectable.sources import files, tree
 
 
 def run_training_job(
@@ -66,9 +67,9 @@ def run_training_job(
 
     counts = {r["split"]: r["n_rows"] for r in labels.split_counts(listing).collect()}
     loaded = {r["split"]: r["n_rows"] for r in labels.split_counts(vec).collect()}
-    labels.class_distribution(listing, "split", "label", F.col("is_image")).write.mode("overwrite").parquet(
-        f"{out}/class_distribution"
-    )
+    # Every class folder has a row, whether there are files in it or not.
+    folders = tree.class_folders(spark, base_dir)
+    tree.tree_distribution(folders, listing).write.mode("overwrite").parquet(f"{out}/class_distribution")
 
     def split_rows(split: str, cap: int | None):
         rows = vec.where(F.col("split") == split)
@@ -126,7 +127,8 @@ def run_training_job(
         # A4 on images: mean of the resized 0..255 pixels per class, truncated.
         named_images = files.labelled_images(spark, base_dir, ["train"])
         raw = image_vectors(named_images, size, standardize=False)
-        vectors.class_means_truncated(raw, "label", "vector").write.mode("overwrite").parquet(f"{out}/mean_images")
+        means = encode_images(vectors.class_means_truncated(raw, "label", "vector"), "mean", *size, 3)
+        means.withColumn("uri", data_uri_encode("content")).drop("content").write.mode("overwrite").parquet(f"{out}/mean_images")
         # W1 + K7 + K8: the first five training files per class, hidden-layer
         # features, projected to 2-D.
         few = batching.first_n_per_group(train, "label", ["path"], 5)

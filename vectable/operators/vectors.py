@@ -1,10 +1,10 @@
 """Vector operators: standardise (F13, F14), class mean vectors (A4), shape
 checks (F17), and the nearest-class-centroid classifier (K4, J5, K5).
 
-Class means use ``Summarizer.mean`` over ML vectors: a typed imperative
-aggregate with partial (map-side) aggregation, so a class holding a third of
+Class means are sums made inside Arrow batches, so a class holding a third of
 all rows is combined inside each map task before the shuffle, and the
-shuffled state is one d-vector per (task, class).
+shuffled state is one d-vector per (task, class), whatever the number of
+classes.
 
 Scoring compares every row with every class centroid, without a shuffle: the
 centroids are cut into blocks of at most ``block_bytes``, each block is one
@@ -20,12 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from vectable.functions import arrays as A
 from vectable.operators.common import computed_once, materialize
@@ -47,19 +45,94 @@ def check_uniform_dim(df: DataFrame, vec_col: str) -> int:
     return int(dims[0]["dim"])
 
 
+#: Bytes of sums that a task holds before it passes them on.
+SUM_BYTES = 64 << 20
+
+
+def _added(s: np.ndarray, e: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A running sum and its rounding errors (Neumaier) after one more term."""
+    t = s + y
+    return t, e + np.where(np.abs(s) >= np.abs(y), (s - t) + y, (y - t) + s)
+
+
+def class_sums(df: DataFrame, label_col: str, vec_col: str) -> DataFrame:
+    """A4, first half: ``label_col, sum, n_rows`` for each class of each task,
+    summed inside Arrow batches. Rounding errors between batches are carried
+    along (Neumaier), so a class's sum doesn't depend on how many batches it
+    comes in. Sums go on when they take ``SUM_BYTES``, so memory is bounded for
+    any number of classes."""
+    label = df.schema[label_col]
+    out = StructType([label, StructField("sum", ArrayType(DoubleType())), StructField("n_rows", LongType())])
+    types = [to_arrow_schema(out).field(i).type for i in range(3)]
+
+    def rows(held: dict) -> pa.RecordBatch:
+        sums = [s + e for s, e, _ in held.values()]
+        return pa.RecordBatch.from_arrays([pa.array(list(held), types[0]), pa.array(sums, types[1]), pa.array([n for _, _, n in held.values()], types[2])], [label_col, "sum", "n_rows"])
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            lists = batch.column(1)
+            for d in pc.unique(pc.list_value_length(lists)).to_pylist():
+                if not d:
+                    continue
+                x, at = vector_rows(lists, d)
+                if not len(at):
+                    continue
+                labels = batch.column(0).take(pa.array(at)).dictionary_encode(null_encoding="encode")
+                codes, names = labels.indices.to_numpy(zero_copy_only=False), labels.dictionary.to_pylist()
+                order = np.argsort(codes, kind="stable")
+                codes, x = codes[order], x[order]
+                start = np.flatnonzero(np.diff(codes, prepend=-1))
+                many = np.diff(np.append(start, len(codes)))
+                for c, y, n in zip(codes[start], np.add.reduceat(x, start, axis=0), many, strict=True):
+                    s, e, m = held.get(names[c], (np.zeros(d), np.zeros(d), 0))
+                    if len(s) != d:
+                        raise ValueError(f"vectors of unequal lengths: {len(s)} and {d}")
+                    held[names[c]] = (*_added(s, e, y), m + int(n))
+                if len(held) * d * 16 > SUM_BYTES:
+                    yield rows(held)
+                    held = {}
+        if held:
+            yield rows(held)
+
+    return df.select(label_col, vec_col).mapInArrow(fn, out)
+
+
 def class_means(df: DataFrame, label_col: str, vec_col: str, out_col: str = "mean") -> DataFrame:
     """A4: element-wise mean vector per class, as array<double>, plus the count
     of rows with a usable vector (rows without one, or with a NULL or
     non-finite element such as a standardised constant row, do not contribute;
-    vectors of unequal length raise, as stacking them would)."""
-    vec = array_to_vector(A.as_double_array(vec_col))
-    # The vector is often a computed column (a standardised embedding): keep
-    # the filter from being pushed below it, which would compute it twice.
-    rows = computed_once(df.select(label_col, vec_col))
-    return rows.where(~unusable(vec_col)).groupBy(label_col).agg(
-        vector_to_array(Summarizer.mean(vec)).alias(out_col),
-        F.count(F.lit(1)).alias("n_rows"),
-    )
+    vectors of unequal length raise, as stacking them would).
+
+    Vectors are summed where they are (``class_sums``): what is shuffled is a
+    row for each task and class, and a task then adds up one class after the
+    other, whatever the number of classes."""
+    parts = class_sums(df, label_col, vec_col)
+    out = StructType([df.schema[label_col], StructField(out_col, ArrayType(DoubleType())), StructField("n_rows", LongType())])
+    types = [to_arrow_schema(out).field(i).type for i in range(3)]
+
+    def mean(name, s: np.ndarray, e: np.ndarray, n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([name], types[0]), pa.array([(s + e) / n], types[1]), pa.array([n], types[2])], out.names)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # one class at a time: its rows follow each other
+        for batch in batches:
+            names, many = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for name, sums, n in zip(names, batch.column(1), many, strict=True):
+                y = sums.values.to_numpy()
+                if held is not None and held[0] == name:
+                    if len(y) != len(held[1]):
+                        raise ValueError(f"vectors of unequal lengths: {len(held[1])} and {len(y)}")
+                    held = (name, *_added(held[1], held[2], y), held[3] + n)
+                    continue
+                if held is not None:
+                    yield mean(*held)
+                held = (name, y, np.zeros(len(y)), n)
+        if held is not None:
+            yield mean(*held)
+
+    return parts.repartition(label_col).sortWithinPartitions(label_col).mapInArrow(merged, out)
 
 
 def class_means_truncated(df: DataFrame, label_col: str, vec_col: str, out_col: str = "mean") -> DataFrame:

@@ -356,3 +356,7 @@ def _plus_zero(sql: str) -> str:
 
 
 ORACLE = {name: _plus_zero(sql) for name, sql in ORACLE.items()}
+
+from vectable.plans.trees import ORACLE as _TREES  # noqa: E402
+
+ORACLE.update(_TREES)
