@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import write_png
 from vectable.functions.png import decode_png
 from vectable.job import run_training_job
+from vectable.operators import convnet
 
 
 def test_training_job(spark, image_tree, tmp_path):
@@ -84,3 +85,16 @@ def test_job_cli_error_code(tmp_path, capsys):
     rc = job.main(["--base", str(tmp_path / "missing"), "--out", str(tmp_path / "o"), "--master", "local[1]"])
     assert rc == 1
     assert "ERROR" in capsys.readouterr().err
+
+
+def test_job_with_the_convolutional_network(spark, image_tree, tmp_path):
+    base, _ = image_tree
+    out = str(tmp_path / "conv")
+    res = run_training_job(spark, base, out, size=(8, 8), network="conv", epochs=3, same_padding=True, batch_size=3, dashboard=True)
+    history = spark.read.parquet(f"{out}/history").orderBy("epoch").collect()
+    assert [r["epoch"] for r in history] == [1, 2, 3] and res["final_loss"] == history[-1]["loss"]
+    assert all(0 <= r["accuracy"] <= 1 and r["val_loss"] is None for r in history)  # no usable valid image
+    state = convnet.load_fit(spark, f"{out}/model")
+    assert state.network.classes == 4 and state.steps == 6
+    assert spark.read.parquet(f"{out}/confusion").agg(F.sum("n")).first()[0] == 3
+    assert spark.read.parquet(f"{out}/latent_2d").count() == 4

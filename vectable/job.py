@@ -7,7 +7,8 @@ none with the reason why as rejects (P7) -> encode labels (J1) -> counts of
 all files by split (A1) and of the decoded ones (A17), class distribution (A3)
 -> optional row caps in path order, applied before unusable files drop out
 (L1, L2; a cap on the test split is a preview, not the whole evaluation) ->
-fit (K1), history (K6) -> score the test split once (K2) -> decode names (J2)
+fit (K1; dense layers, or convolutions in mini-batches with accuracy and loss
+by epoch), history (K6) -> score the test split once (K2) -> decode names (J2)
 -> predictions CSV (S7), report, confusion matrix long and wide (A5-A13) ->
 spot checks of the first valid and test file (L3, R6, K3) -> model (S10),
 training batches (L7, L8); with ``dashboard``: mean image per class (A4) and
@@ -27,7 +28,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from vectable.operators import batching, labels, metrics, model, quality, vectors
+from vectable.operators import batching, convnet, labels, metrics, model, quality, vectors
 from vectable.operators.common import materialize
 from vectable.functions.text import data_uri_encode
 from vectable.operators.images import encode_images, image_vectors
@@ -48,7 +49,12 @@ def run_training_job(
     seed: int = 42,
     batch_size: int = 32,
     dashboard: bool = False,
+    network: str = "mlp",
+    epochs: int = 10,
+    same_padding: bool = False,
 ) -> dict:
+    if network not in ("mlp", "conv"):
+        raise ValueError(f"network is 'mlp' or 'conv', not {network!r}")
     out = out_dir.rstrip("/")
     listing = files.listing(spark, base_dir)
     dim = labels.check_dimension(labels.label_dictionary(listing.select("label")))
@@ -83,9 +89,22 @@ def run_training_job(
     train = split_rows("train", train_cap).where(F.col("label_index") >= 0)
     quality.require_rows(train, "train split")
     n_classes = dim.count()
-    m = model.fit_classifier(train, "vector", "label_index", n_classes, hidden=hidden, max_iter=max_iter, seed=seed)
-    model.save_model(m, f"{out}/model")
-    model.history_frame(spark, m).write.mode("overwrite").parquet(f"{out}/history")
+    if network == "conv":
+        net = convnet.Network(*size, 3, n_classes, hidden=hidden, same=same_padding)
+        state = convnet.fit(train, "path", "label_index", "vector", convnet.new_fit(net, seed), epochs, batch_size, seed, validation=split_rows("valid", None))
+        convnet.save_fit(spark, state, f"{out}/model")
+        convnet.history_frame(spark, state).write.mode("overwrite").parquet(f"{out}/history")
+        final_loss = state.history[-1][2]
+    else:
+        m = model.fit_classifier(train, "vector", "label_index", n_classes, hidden=hidden, max_iter=max_iter, seed=seed)
+        model.save_model(m, f"{out}/model")
+        history = model.training_history(m)
+        model.history_frame(spark, m).write.mode("overwrite").parquet(f"{out}/history")
+        final_loss = history[-1][1] if history else None
+
+    def predict(df):
+        return convnet.predict(state, df, "vector") if network == "conv" else model.predict(m, df, "vector")
+
     # Seeded shuffle of the training rows into batches.
     batches = batching.mini_batches(train.select("path", "label_index"), "path", seed=seed, batch_size=batch_size)
     batching.batch_summary(batches, "label_index").write.mode("overwrite").parquet(f"{out}/batches")
@@ -93,7 +112,7 @@ def run_training_job(
     test = split_rows("test", test_cap)
     quality.require_rows(test, "test split")
     # Scored once; every report below reads the keys and classes from this table.
-    scored = model.predict(m, test, "vector").select("path", "label_index", "prediction")
+    scored = predict(test).select("path", "label_index", "prediction")
     scored = materialize(scored, "scored")
     named = labels.decode_labels(scored, dim, {"label_index": "true_label", "prediction": "predicted_label"})
     files.write_csv(predictions_table(named, "path", "true_label", "predicted_label"), f"{out}/predictions")
@@ -105,7 +124,7 @@ def run_training_job(
     metrics.report_summary(report, scored, "label_index", "prediction", counts=pairs).write.mode("overwrite").parquet(f"{out}/summary")
     long = metrics.confusion_long(scored, "label_index", "prediction", classes, counts=pairs)
     long.write.mode("overwrite").parquet(f"{out}/confusion")
-    names = {r["label_index"]: r["label"] for r in dim.collect()}  # class-sized (bound checked)
+    names = {r["label_index"]: r["label"] for r in dim.collect()}  # class-sized: each class is a column
     metrics.confusion_wide(spark.read.parquet(f"{out}/confusion"), sorted(names), names).write.mode("overwrite").parquet(
         f"{out}/confusion_wide"
     )
@@ -119,7 +138,7 @@ def run_training_job(
     spot = firsts[0].unionByName(firsts[1])
     paths = [r["path"] for r in spot.collect()]  # two at most
     spot = spot.join(vec.where(F.col("path").isin(paths)).select("path", "vector"), "path", "left")
-    spot = model.predict(m, labels.encode_labels(spot, dim), "vector")
+    spot = predict(labels.encode_labels(spot, dim))
     spot = labels.decode_labels(spot, dim, {"label_index": "true_label", "prediction": "predicted_label"})
     spot.select("split", "path", "true_label", "predicted_label").write.mode("overwrite").parquet(f"{out}/spot_checks")
 
@@ -132,11 +151,11 @@ def run_training_job(
         # W1 + K7 + K8: the first five training files per class, hidden-layer
         # features, projected to 2-D.
         few = batching.first_n_per_group(train, "label", ["path"], 5)
-        feats = model.hidden_features(m, few.select("path", "label", "vector"), "vector")
+        few = few.select("path", "label", "vector")
+        feats = convnet.predict(state, few, "vector", hidden_col="hidden") if network == "conv" else model.hidden_features(m, few, "vector")
         model.project_2d(feats, "hidden", ["path"], "label").write.mode("overwrite").parquet(f"{out}/latent_2d")
 
     summary = {r["metric"]: r["f1"] for r in spark.read.parquet(f"{out}/summary").collect()}
-    history = model.training_history(m)
     return {
         "counts": counts,
         "loaded": loaded,
@@ -144,7 +163,7 @@ def run_training_job(
         "train_rows": train.count(),
         "test_rows": test.count(),
         "accuracy": summary.get("accuracy"),
-        "final_loss": history[-1][1] if history else None,
+        "final_loss": final_loss,
     }
 
 
@@ -156,6 +175,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--train-cap", type=int, default=None)
     ap.add_argument("--test-cap", type=int, default=None)
     ap.add_argument("--max-iter", type=int, default=100)
+    ap.add_argument("--network", choices=("mlp", "conv"), default="mlp", help="dense layers on all pixels, or convolutions trained in mini-batches")
+    ap.add_argument("--epochs", type=int, default=10, help="of the convolutional network")
+    ap.add_argument("--batch-size", type=int, default=32)
+    ap.add_argument("--same-padding", action="store_true", help="convolutions keep their size (small images)")
     ap.add_argument("--dashboard", action="store_true", help="also write mean images and the latent 2-D view")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -171,7 +194,11 @@ def main(argv: list[str] | None = None) -> int:
             args.train_cap,
             args.test_cap,
             max_iter=args.max_iter,
+            batch_size=args.batch_size,
             dashboard=args.dashboard,
+            network=args.network,
+            epochs=args.epochs,
+            same_padding=args.same_padding,
         )
         print(json.dumps(res))
         return 0
