@@ -1,0 +1,113 @@
+"""Hostile texts: no operator ends, stalls or loses what it should find."""
+
+from __future__ import annotations
+
+import time
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from vectable.llm import html_text, packing, secrets, toxicity
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return packing.Encoder(packing.default_tokenizer())
+
+
+def timed(limit, call, *args):
+    start = time.perf_counter()
+    out = call(*args)
+    assert time.perf_counter() - start < limit
+    return out
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        " " * 5000, "\n" * 5000, "a" + " " * 4096 + "b", "a" + " \n\t" * 3000 + "b", " " * 4095, " " * 4097 + "1", "x" + "　" * 6000 + "é", " " * 4500,
+        "a" + " " * 5000 + "\x1c" * 50 + " " * 5000 + "b", "\r\n" * 3000 + "c" + " " * 5000, " " * 5000 + "!" + " " * 5000, "word " * 10 + "\n" * 9000 + " word",
+    ],
+)
+def test_long_blanks_have_the_tokenizers_ids(encoder, text):
+    assert encoder(text).tolist() == [*encoder.exact.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_millions_of_blanks(encoder):
+    ids = timed(20, encoder, "a" + " " * 3_000_000 + "b")
+    assert ids.tolist() == [*encoder.exact.encode("a" + " " * 3_000_000 + "b", add_special_tokens=False).ids, 0]
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<table><tr><td colspan=" + "9" * 5000 + ">a</td><td>b</td></tr></table>", "a"),
+        ("&#" + "9" * 5000 + ";x", "�x"), ("&#" + "0" * 5000 + "65;x", "Ax"), ("<p title='&#" + "1" * 6000 + ";'>x", "x"),
+        ("seen <a " * 1 + "<a " * 80_000, "seen"), ("seen <b x='1' " + "y=" * 100_000, "seen"), ("<template><template></template>leak</template>shown", "shown"),
+        ("<details><summary>s</summary>inside <b>too</b></details>after", "s\nafter"), ("<details open><summary>s</summary>inside</details>", "s\ninside"), ("1 < 2 <", "1 < 2 <"),
+    ],
+)
+def test_pages(page, text):
+    got = timed(2, html_text.page_text, page)
+    assert got == text if "colspan" not in page else got.split() == ["a", "b"]
+
+
+def test_cells_over_several_rows_keep_their_columns():
+    page = "<table><tr><td rowspan=2>x</td><td>1</td><td>2</td></tr><tr><td>3</td><td>4</td></tr><tr><td>5</td><td rowspan=0>6</td></tr><tr><td>7</td><td>8</td></tr></table>"
+    lines = html_text.page_text(page).split("\n")
+    assert [line.index(c) for line, c in ((lines[0], "1"), (lines[1], "3"), (lines[2], "6"))] == [lines[0].index("1")] * 3
+    assert lines[1].index("4") == lines[0].index("2") == lines[3].index("8") and lines[3].index("7") == 0
+    # A section ends its cells; a wide and long table takes no more than its own size.
+    assert html_text.page_text("<table><tbody><tr><td rowspan=9>a</td></tr></tbody><tbody><tr><td>b</td></tr></tbody></table>").split("\n")[1] == "b"
+    timed(20, html_text.page_text, "<table><tr>" + "<td rowspan=65534>c" * 3000 + "<tr><td>d" * 20_000)
+
+
+@pytest.mark.parametrize(
+    "text", ["token" * 50_000, "eyJaaaaaaaa-" * 20_000, "eyJaaaaaaaa.bbbbbbbb-" * 12_000, "token " * 40_000, "token=" * 40_000, "token" + " " * 250_000, "auth-" * 50_000, "key_" * 60_000, "xoxb-" * 50_000, "-----BEGIN " * 20_000, "ghp_aaaa" * 30_000]
+)
+def test_scanner_takes_linear_time(text):
+    timed(2, secrets.Scanner(), text.encode())
+
+
+def test_scanner_finds_as_before():
+    scan = secrets.Scanner()
+
+    def found(text):
+        t, c = scan(text.encode())
+        return [(k, t[a:b]) for k, a, b in c]
+
+    web = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.abcdefgh-_ijkl"
+    assert found(f"x {web} y") == [("json_web_token", web)] == found(f"eyJaaaaaaaa {web}")
+    assert found(f"a-{web}") == [("run", f"a-{web}")]  # overlapping: the first one, to the last end
+    assert found("eyJaaaaaaaa-eyJbbbbbbbbb.cccccccc.dddddddd") == [("json_web_token", "eyJaaaaaaaa-eyJbbbbbbbbb.cccccccc.dddddddd")]
+    assert found('my_api_key_2 = "abcdefgh12"') == [("assigned", "abcdefgh12")]
+    assert found("token_name token: abcdefgh1, password => 'hunter2abc9'") == [("assigned", "abcdefgh1"), ("assigned", "hunter2abc9")]
+    assert found("secrettoken=abcdefgh1") == [("assigned", "abcdefgh1")]
+    assert found("url=http://x?token=abcdefgh1") == [("assigned", "abcdefgh1")]
+
+
+def test_one_long_labelled_text_does_not_turn_the_classifier_off(spark):
+    rows = [(i, ("you stupid vile idiot " if i % 2 else "a calm and kind remark ") * 5 + f"w{i}", "en") for i in range(200)]
+    rows += [(1000 + i, "you stupid vile idiot " * 600_000, "en") for i in range(2)]  # 13 MB each
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2 if i < 1000 else 1) for i, _, _ in rows] + [(3, 0), (5, None)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model["tables"] is not None and model["passed_over"] == 2
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs.where("doc_id < 1000"), model, keep=["doc_id"]).collect()}
+    assert np.mean([got[i] > 0.5 for i in range(1, 200, 2)]) > 0.9 and np.mean([got[i] < 0.5 for i in range(0, 200, 2)]) > 0.9
+    again = toxicity.fit(docs.repartition(5), labels.repartition(3))
+    some = [t.encode() for _, t, _ in rows[:40]]
+    assert (toxicity.scores(some, again["tables"]) == toxicity.scores(some, model["tables"])).all()
+
+
+def test_the_pipeline_runs_over_all_of_it(spark, tmp_path):
+    texts = [" " * 1_000_000, "\n" * 200_000 + "end", "token" * 20_000, "eyJaaaaaaaa-" * 8_000, "<a " * 50_000, "you stupid vile idiot " * 700_000, None, ""]
+    docs = [(i, f"plain words number {i} " + " ".join(f"w{i}x{k}" for k in range(40)), "en", f"s{i % 3}", 100) for i in range(60)]
+    docs += [(100 + i, t, "en", "s1", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(60)] + [(105, 0, 1)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    kept = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
+    assert len(kept) > 20 and out.where("length > 2048").count() == 0

@@ -5,18 +5,20 @@ that markup leaves out are implied (a paragraph ends where a block starts, an
 item at the next item, a cell at the next cell, a row, a section; rows and
 cells outside a table open one), comments and declarations are dropped, and
 the content of raw-text elements is no markup. Elements that are not shown
-(``head``, ``script``, ``template``, a ``hidden`` attribute, ``display:none``)
-are left out; ``visibility`` is inherited, so a visible child of a hidden
+(``head``, ``script``, ``template``, a ``hidden`` attribute, ``display:none``
+in its style, what a closed ``details`` holds beside its summary) are left out; ``visibility`` is inherited, so a visible child of a hidden
 element is shown. Formulae and the text drawn in figures (``math``, ``svg``) are
 text. The renderer then lays the tree out as
 text: white space collapses except in ``pre``, blocks stand on lines of their
 own with an empty line where they have margins, list items are marked and
-indented, and the cells of a table are padded to columns.
+indented, and the cells of a table are padded to columns, cells over several rows or columns keeping their places
+(in the first ``COLUMNS`` columns). Style sheets are not read.
 
 Cases: a null or empty page gives an empty text; text without markup is itself,
 with white space collapsed; unclosed and stray tags are closed or ignored;
 markup may nest to any depth, but is indented as if at most ``DEPTH`` deep; a
-quote is one only where an attribute's value starts; repeated rows and null ids give a row each.
+quote is one only where an attribute's value starts; a tag that nothing ends is
+dropped with what follows; numbers in references and spans may have any length; repeated rows and null ids give a row each.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEPTH = 120
+#: Columns of a table that spans are followed in, and rows that a cell may span (as browsers have it).
+COLUMNS, ROWS = 100, 65534
 TOKEN = re.compile(
     r"""<!--(?:>|->|.*?(?:--!?>|\Z))|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>(?>[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)*+)>|<[!?/][^>]*+>?|(?P<text>[^<]++|<)""",
     re.S,
@@ -75,18 +79,47 @@ class Node:
         self.tag, self.attrs, self.kids = tag, attrs or {}, []
 
 
+def _unescaped(text: str) -> str:
+    """Character references replaced; a number of any length is no error."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = re.sub(r"&#[0-9]{8,}+", "&#1114112", re.sub(r"&#0++(?=[0-9])", "&#", text))
+    return html.unescape(text)
+
+
+def _span(text: str, most: int) -> int:
+    """The number of rows or columns a cell takes: ``most`` at most, 1 where none is given."""
+    digits = re.match(r"\s*\+?0*+([0-9]{0,6}+)", text)[1]
+    return min(int(digits), most) if digits else 0 if re.match(r"\s*\+?0", text) else 1
+
+
 def _attributes(text: str) -> dict:
     out: dict[str, str] = {}
     for k, v in ATTR.findall(text):
-        out.setdefault(k.lower(), html.unescape(v[1:-1] if len(v) > 1 and v[0] in "\"'" and v[-1] == v[0] else v))
+        out.setdefault(k.lower(), _unescaped(v[1:-1] if len(v) > 1 and v[0] in "\"'" and v[-1] == v[0] else v))
     return out
 
 
+TEMPLATE = re.compile(r"<(/?)template(?=[\s/>])[^>]*>?", re.I)
+
+
+def _template_end(page: str, at: int) -> re.Match | None:
+    """The tag that ends a template, past those inside it."""
+    depth = 1
+    for m in TEMPLATE.finditer(page, at):
+        depth += -1 if m[1] else 1
+        if not depth:
+            return m
+    return None
+
+
 def build(page: str) -> Node:
     """The tree of a page."""
     root = Node("#root")
     stack = [root]
     places: dict[str, list[int]] = defaultdict(list)  # of each tag's open elements in the stack
+    closed: list[Node] = []
     at = 0
 
     def push(node: Node) -> None:
@@ -108,7 +141,9 @@ def build(page: str) -> Node:
     while m := TOKEN.match(page, at):
         at = m.end()
         if (text := m["text"]) is not None:
-            stack[-1].kids.append(html.unescape(text) if "&" in text else text)
+            if text == "<" and page[at : at + 1].isascii() and page[at : at + 1].isalpha():
+                break  # a tag that nothing ends: the end of the page, as browsers have it
+            stack[-1].kids.append(_unescaped(text))
             continue
         if m["tag"] is None:
             continue
@@ -143,13 +178,17 @@ def build(page: str) -> Node:
         if tag in VOID:
             stack[-1].kids.append(node)
         elif tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            end = _template_end(page, at) if tag == "template" else re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             stop = end.start() if end else len(page)
-            node.kids.append(html.unescape(page[at:stop]) if tag in ("title", "textarea") else page[at:stop])
+            node.kids.append(_unescaped(page[at:stop]) if tag in ("title", "textarea") else page[at:stop])
             stack[-1].kids.append(node)
             at = end.end() if end else len(page)
         else:
             push(node)
+            if tag == "details" and "open" not in node.attrs:
+                closed.append(node)
+    for node in closed:  # only its summary is shown
+        node.kids = [k for k in node.kids if isinstance(k, Node) and k.tag == "summary"][:1]
     return root
 
 
@@ -291,6 +330,7 @@ def table(node: Node, out: Lines, shown: bool, drawn: bool) -> Generator:
     rows: list[list[list[str]]] = []
 
     def walk(n: Node, shown: bool) -> Generator:
+        at, held = 0, {}  # the row, and the one that the cells above end before, by column
         for k in n.kids:
             if isinstance(k, str):
                 if k.strip() and shown and drawn:
@@ -307,10 +347,15 @@ def table(node: Node, out: Lines, shown: bool, drawn: bool) -> Generator:
                         continue
                     if not isinstance(c, str) and hidden(c):
                         continue
+                    while held.get(len(row), 0) > at:  # cells of rows above reach down to here
+                        row.append([""])
+                    first = len(row)
                     row.append((yield _inside(c, seen, drawn)))
-                    if not isinstance(c, str):
-                        span = c.attrs.get("colspan", "1")
-                        row += [[""]] * (min(int(span), 100) - 1 if span.isascii() and span.isdigit() else 0)
+                    if not isinstance(c, str) and first < COLUMNS:
+                        row += [[""]] * (min(_span(c.attrs.get("colspan", "1"), COLUMNS), COLUMNS - first) - 1)
+                        rows_down = _span(c.attrs.get("rowspan", "1"), ROWS) or ROWS  # 0: to the section's end
+                        held.update(dict.fromkeys(range(first, len(row)), at + rows_down))
+                at += 1
                 if row and (seen or row != [[""]] * len(row)):
                     rows.append(row)
             elif k.tag not in ("col", "colgroup"):

@@ -30,6 +30,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -42,10 +43,14 @@ from pyspark.sql import functions as F
 
 from vectable.llm.blocks import stored
 
-CAPACITY, SHARD, NODES, LEAVES = 2048, 6144, 12000, 12
+CAPACITY, SHARD, NODES, LEAVES, BLANKS = 2048, 6144, 12000, 12, 4096
 #: Fixed value: the pre-tokenizing pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: What the pattern's ``\\s`` stands for (Unicode's white space).
+BLANK = "\\t\\n\\v\\f\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+LONG_BLANK = re.compile(rf"(?<![{BLANK}])[{BLANK}]{{{BLANKS},}}+")
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -73,10 +78,17 @@ class Encoder:
 
     def __call__(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
-            ids = self.exact.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.fast.encode_ordinary(text)
-        return np.array([*ids, 0], dtype="<u4")
+            return np.array([*self._exactly(text), 0], dtype="<u4")
+        parts, at = [], 0
+        for m in LONG_BLANK.finditer(text):
+            stop = m.end() if m.end() == len(text) else m.end() - 1
+            parts += [self.fast.encode_ordinary(text[at : m.start()]), self._exactly(text[m.start() : stop])]
+            at = stop
+        parts += [self.fast.encode_ordinary(text[at:]), [0]]
+        return np.concatenate([np.array(x, dtype="<u4") for x in parts])
+
+    def _exactly(self, text: str) -> list[int]:
+        return self.exact.encode(text, add_special_tokens=False).ids
 
 
 def cuts(n: int, capacity: int) -> list[tuple[int, int]]:

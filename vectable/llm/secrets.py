@@ -43,14 +43,15 @@ FORMATS = {
     "slack_token": r"\bxox[abprs]-[A-Za-z0-9-]{10,}",
     "google_api_key": r"\bAIza[0-9A-Za-z_-]{35}\b",
     "stripe_key": r"\b[sr]k_(?:live|test)_[0-9A-Za-z]{16,}\b",
-    "json_web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "json_web_token": r"\beyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
     "private_key": r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----",
 }
 NAMES = r"(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd|passphrase|auth|credential)"
 #: A key block reaches to its end line whatever lies between; without one, over the lines that look like a key's.
 KEY_END = r"-----END [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
 KEY_LINES = r"(?:(?:\\[rn]|[\s\"'+#*>|])*+(?:[A-Z][A-Za-z-]{2,30}: [^\n\\]*+|[A-Za-z0-9+/=]{16,}+))*+"
-ASSIGNED = rf"(?i:{NAMES}[\w-]*+)[\"']?\s*+(?:=|:|=>)\s*+[\"']?(?P<value>[^\s\"'<>,;]{{8,}}+)"
+#: What follows a name, to the end of the value.
+ASSIGNED = r"[\"']?\s*+(?:=|:|=>)\s*+[\"']?(?P<value>[^\s\"'<>,;]{8,}+)"
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 #: Words that speak for or against a secret beside them, and in paths.
 FOR = ("token", "secret", "password", "passwd", "pwd", "key", "auth", "credential", "bearer", "login")
@@ -73,7 +74,9 @@ class Scanner:
     """Finds candidates; what a text cannot have is not searched for."""
 
     def __init__(self):
-        self.formats = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMATS.items()))
+        self.formats = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMATS.items() if k != "json_web_token"))
+        self.web_token, self.web_start, self.web_part = re.compile(FORMATS["json_web_token"]), re.compile(r"\beyJ"), re.compile(r"[A-Za-z0-9_-]*+")
+        self.name, self.name_rest = re.compile(rf"(?i:{NAMES})"), re.compile(r"[\w-]*+")
         self.assigned, self.run = re.compile(ASSIGNED), re.compile(RUN)
         self.key_end, self.key_lines = re.compile(KEY_END), re.compile(KEY_LINES)
 
@@ -90,6 +93,27 @@ class Scanner:
             ends[start] = stops[k] if k < len(stops) and stops[k] <= later else self.key_lines.match(text, end).end()
         return [(start, rank, ends.get(start, end) if kind == "private_key" else end, kind) for start, rank, end, kind in found]
 
+    def web_tokens(self, text: str) -> Iterator[re.Match]:
+        """Tokens of three parts; where one begins and fails, no other one begins in its first part."""
+        past = 0
+        for m in self.web_start.finditer(text):
+            if m.start() >= past:
+                found = self.web_token.match(text, m.start())
+                past = (found or self.web_part.match(text, m.start())).end()
+                if found:
+                    yield found
+
+    def assignments(self, text: str) -> Iterator[re.Match]:
+        """Values assigned to telling names; of several in one identifier the first decides."""
+        past = 0
+        for m in self.name.finditer(text):
+            if m.start() >= past:
+                past = self.name_rest.match(text, m.end()).end()
+                found = self.assigned.match(text, past)
+                if found:
+                    past = found.end()
+                    yield found
+
     def __call__(self, raw: bytes) -> tuple[str, list[tuple[str, int, int]]]:
         """The text (decoded if it has candidates) and (kind, start, end) of each
         candidate in code points, left to right; overlapping ones are the first of
@@ -102,8 +126,9 @@ class Scanner:
         text, found = raw.decode(), []
         if marked:
             found += self.keys(text, [(m.start(), 0, m.end(), m.lastgroup) for m in self.formats.finditer(text)])
+            found += [(m.start(), 0, m.end(), "json_web_token") for m in self.web_tokens(text)]
         if named:
-            found += [(m.start("value"), 1, m.end("value"), "assigned") for m in self.assigned.finditer(text)]
+            found += [(m.start("value"), 1, m.end("value"), "assigned") for m in self.assignments(text)]
         if long:
             found += [(m.start(), 2, m.end(), "run") for m in self.run.finditer(text)]
         out, last = [], 0
