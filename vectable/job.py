@@ -52,6 +52,7 @@ def run_training_job(
     network: str = "mlp",
     epochs: int = 10,
     same_padding: bool = False,
+    resampling: str = "cubic",
 ) -> dict:
     if network not in ("mlp", "conv"):
         raise ValueError(f"network is 'mlp' or 'conv', not {network!r}")
@@ -64,7 +65,7 @@ def run_training_job(
     # and keep the result as a table, which also cuts the lineage that the
     # iterative fit would otherwise replay. A file without a vector is a reject.
     imgs = files.labelled_images(spark, base_dir, only_image_names=False)
-    decoded = labels.encode_labels(image_vectors(imgs, size, keep_undecodable=True), dim)
+    decoded = labels.encode_labels(image_vectors(imgs, size, keep_undecodable=True, resampling=resampling), dim)
     decoded.write.mode("overwrite").partitionBy("split").parquet(f"{out}/vectors")
     decoded = spark.read.schema(decoded.schema).parquet(f"{out}/vectors")
     why = F.when(F.col("height") <= 0, F.lit("undecodable image")).otherwise(F.lit("constant image"))
@@ -145,7 +146,7 @@ def run_training_job(
     if dashboard:
         # A4 on images: mean of the resized 0..255 pixels per class, truncated.
         named_images = files.labelled_images(spark, base_dir, ["train"])
-        raw = image_vectors(named_images, size, standardize=False)
+        raw = image_vectors(named_images, size, standardize=False, resampling=resampling)
         means = encode_images(vectors.class_means_truncated(raw, "label", "vector"), "mean", *size, 3)
         means.withColumn("uri", data_uri_encode("content")).drop("content").write.mode("overwrite").parquet(f"{out}/mean_images")
         # W1 + K7 + K8: the first five training files per class, hidden-layer
@@ -179,6 +180,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--epochs", type=int, default=10, help="of the convolutional network")
     ap.add_argument("--batch-size", type=int, default=32)
     ap.add_argument("--same-padding", action="store_true", help="convolutions keep their size (small images)")
+    ap.add_argument("--resampling", choices=("cubic", "triangle", "bilinear"), default="cubic")
     ap.add_argument("--dashboard", action="store_true", help="also write mean images and the latent 2-D view")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -199,6 +201,7 @@ def main(argv: list[str] | None = None) -> int:
             network=args.network,
             epochs=args.epochs,
             same_padding=args.same_padding,
+            resampling=args.resampling,
         )
         print(json.dumps(res))
         return 0

@@ -585,5 +585,6 @@ def history_last(spark, sf):
 
 # Rows-only queries (model, files, sinks, streams) register themselves here.
 from vectable.plans import jobs as _jobs  # noqa: E402,F401
+from vectable.plans import more as _more  # noqa: E402,F401
 from vectable.plans import training as _training  # noqa: E402,F401
 from vectable.plans import trees as _trees  # noqa: E402,F401

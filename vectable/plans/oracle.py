@@ -357,8 +357,10 @@ def _plus_zero(sql: str) -> str:
 
 ORACLE = {name: _plus_zero(sql) for name, sql in ORACLE.items()}
 
+from vectable.plans.more import ORACLE as _MORE  # noqa: E402
 from vectable.plans.training import ORACLE as _TRAINING  # noqa: E402
 from vectable.plans.trees import ORACLE as _TREES  # noqa: E402
 
+ORACLE.update(_MORE)
 ORACLE.update(_TREES)
 ORACLE.update(_TRAINING)
