@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vectable.operators import images, labels, quality, ranges, reports
+from vectable.operators import centroid_tree, images, labels, quality, ranges, reports, vectors
 from vectable.operators.common import materialize
 from vectable.plans import mapping as M
 from vectable.plans.catalog import _embeddings, _r, query
@@ -16,6 +16,7 @@ from vectable.sources.tables import table
 
 SIZES = {"triangle": 3, "cubic": 13}
 RANGE_ROWS, PAGE, PAGE_ROWS = 100, 7, 10
+TREE_CLASSES = 211
 
 
 @query("image_resample")
@@ -78,6 +79,18 @@ def decode_unknown_index(spark, sf):
     return known.groupBy("label").agg(F.count_if(F.col("decoded") == F.col("label")).alias("n_same"), F.lit(raised).alias("unknown_raises"))
 
 
+@query("nearest_centroid_tree")
+def nearest_centroid_tree(spark, sf):
+    """K4, J5 for many classes: the nearest of ``TREE_CLASSES`` class means by
+    the tree, which the driver never holds; no row meets more than all of them
+    and the pivots."""
+    e = _embeddings(spark, sf)
+    means = vectors.class_means(e.select((F.col("vec_id") % TREE_CLASSES).alias("label"), "embedding"), "label", "embedding")
+    tree_ = centroid_tree.build_tree(means)
+    out = centroid_tree.nearest_in_tree(e.select("vec_id", "embedding"), tree_, "embedding")
+    return out.select("vec_id", "prediction", _r("distance").alias("distance"), (F.col("n_compared") <= tree_.n + len(tree_.pivots)).alias("within"))
+
+
 # ------------------------------------------------------------------------ SQL
 
 
@@ -99,6 +112,12 @@ ORACLE = {
 WITH u AS (SELECT vec_id, unnest(range(64)) AS p, unnest(embedding)::DOUBLE AS x FROM embeddings),
   px AS (SELECT vec_id, p // 8 AS r, p % 8 AS c, greatest(0, least(255, floor((x + 4.0) * 20.0))) AS v FROM u),{",".join(w for _, w in _PARTS)}
 {" UNION ALL ".join(s for s, _ in _PARTS)}""",
+    "nearest_centroid_tree": f"""
+WITH u AS (SELECT vec_id, vec_id % {TREE_CLASSES} AS cls, unnest(range(len(embedding))) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+  c AS (SELECT cls, i, avg(x) AS m FROM u GROUP BY cls, i),
+  m AS (SELECT cls, list(m ORDER BY i) AS m FROM c GROUP BY cls),
+  d AS (SELECT e.vec_id, m.cls, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(e.v, m.m)]) AS dist FROM (SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings) e, m)
+SELECT vec_id, arg_min(cls, dist) AS prediction, round(min(dist), 6) + 0.0 AS distance, true AS within FROM d GROUP BY vec_id""",
     "dense_numbering": "SELECT md5(text) AS text_md5, row_number() OVER (ORDER BY text) - 1 AS text_index FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL)",
     "page_by_number": f"SELECT doc_id, lang, source, n_chars FROM documents ORDER BY n_chars NULLS FIRST, doc_id LIMIT {PAGE_ROWS} OFFSET {PAGE * PAGE_ROWS}",
     "single_files": "SELECT source || '=' || sum(strlen(text) + 1)::BIGINT AS content, 'struct<content:binary,path:string>' AS columns FROM documents GROUP BY source",
