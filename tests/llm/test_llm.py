@@ -278,6 +278,37 @@ def test_mix_edges(spark):
     assert [x["copies"] for x in mixing.mix_sources(spark.createDataFrame(rows, DOC), [1.0]).collect()] == [0, 0, 0]
 
 
+def test_mix_null_and_repeated_ids_are_documents(spark, monkeypatch):
+    """A third of all ids null, some repeated, and many wholly equal rows."""
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    texts = corpus(n=400)
+    ids = [None if i % 3 == 0 else i // 4 for i in range(len(texts))]
+    rows = [(ids[i], t, "en", f"s{i % 4}", i % 2) for i, t in enumerate(texts)] + [(None, "five words in this row", "en", "s1", 0)] * 40
+    docs = spark.createDataFrame(rows, DOC)
+    got = mixing.mix_sources(docs, [3.0, 1.0, 2.0]).collect()
+    again = mixing.mix_sources(docs.repartition(7), [3.0, 1.0, 2.0]).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    assert Counter((x["doc_id"], x["source"], x["size"]) for x in got) == Counter((r[0], r[3], len(words(r[1]))) for r in rows)
+    sizes, taken = Counter(), Counter()
+    for r in rows:
+        sizes[r[3]] += len(words(r[1]))
+    for x in got:
+        taken[x["source"]] += x["size"] * x["copies"]
+    longest = max(len(words(t)) for t in texts)
+    for s, t in brute_targets(sizes).items():
+        assert abs(taken[s] - t) <= longest / 2
+    assert len({x["copies"] for x in got if x["doc_id"] is None and x["source"] == "s2"}) > 1  # no one unit
+    # The pipeline's form: the same multiset, with all columns.
+    whole = Counter(tuple(r) for r in mixing.take_copies(docs, [3.0, 1.0, 2.0]).collect())
+    want = Counter()
+    for x in got:
+        want[x["doc_id"], x["source"], x["size"]] += x["copies"]
+    have = Counter()
+    for r, c in whole.items():
+        have[r[0], r[3], len(words(r[1]))] += c
+    assert +want == have and set(whole) <= set(rows)
+
+
 # --- 4 and 7 -----------------------------------------------------------------
 
 

@@ -20,19 +20,22 @@ functions; draws are hashes of the ids and ``seed``, so reruns agree.
 
 Cases: null text has size 0, as has an empty one, and such a document gets the
 whole copies of its source alone; a null source is a source of its own, after
-all others; null ids and repeated rows are documents like any other (a group
-of identical rows is dealt by a row number of the written table); an empty
-table gives no rows; a source without words has target 0 and takes nothing.
+all others; rows of null or repeated ids are documents like any other. Rows are
+known by their id and a hash of all their columns; rows that are equal in every
+column are counted before anything is shuffled, enter the tree by their number
+(0 to their count) and are interchangeable in the result. An empty table gives
+no rows; a source without words has target 0 and takes nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from vectable.llm.blocks import stored
 
-FAN = 96
+FAN, CHUNK = 96, 10_000
 WORD = r"[^\\x20\\x09-\\x0D]+"
 
 
@@ -40,11 +43,31 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.expr(f"regexp_count(`{text}`, '{WORD}')"), F.lit(0)).cast("long")
 
 
-def source_targets(sizes: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0) -> DataFrame:
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns (but maps, which have none), nulls told apart."""
+    cols = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
+    return F.xxhash64(*cols, F.concat(*[c.isNull().cast("string") for c in cols]))
+
+
+def share(total: Column, n: Column, i: Column) -> Column:
+    """Copies of row ``i`` of ``n`` equal rows that are taken ``total`` times."""
+    return (F.floor(total / n) + (i < total % n).cast("long")).cast("int")
+
+
+def numbered(units: DataFrame, n: str = "n", out: str = "i") -> DataFrame:
+    """A row for each number under ``n``, ``CHUNK`` at a time, so that a row of
+    a very large ``n`` is many tasks' work."""
+    starts = units.withColumn("__start", F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(CHUNK).cast("long"))))
+    if (units.agg(F.max(n)).first()[0] or 0) > CHUNK:
+        starts = starts.repartition(*units.columns, "__start")
+    return starts.withColumn(out, F.explode(F.sequence("__start", F.least(F.col("__start") + CHUNK, F.col(n)) - 1))).drop("__start")
+
+
+def source_targets(sizes: DataFrame, weights: list[float], share_of: float = 1.5, most: float = 2.0) -> DataFrame:
     """``source, source_size, target`` (words) for rows ``(source, size)``.
 
     Sources in code-point order, null last, get ``weights`` in turn and share
-    ``share`` times all words by weight; a target stops at ``most`` times its
+    ``share_of`` times all words by weight; a target stops at ``most`` times its
     source's size, and what is above goes to the others by weight until none
     is above. With sources in order of ``most * size / weight`` those that stop
     are the first ones: the first that does not, and all after it, get
@@ -58,17 +81,17 @@ def source_targets(sizes: DataFrame, weights: list[float], share: float = 1.5, m
     every = Window.partitionBy()
     by_cap = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
     before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    w = w.withColumn("rest", F.sum("source_size").over(every) * F.lit(float(share)) - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
+    w = w.withColumn("rest", F.sum("source_size").over(every) * F.lit(float(share_of)) - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
     w = w.withColumn("left", F.sum("weight").over(by_cap.rowsBetween(0, Window.unboundedFollowing)))
     w = w.withColumn("level", F.when(F.col("rest") * F.col("weight") / F.col("left") <= F.col("cap"), F.col("rest") / F.col("left")))
     level = F.first("level", ignorenulls=True).over(by_cap.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     return w.select("source", "source_size", "n", F.least("cap", F.coalesce(F.col("weight") * level, "cap")).alias("target"))
 
 
-def _fold(items: Column, draw: str) -> Column:
+def _fold(items: Column, draw: str, key_type: str) -> Column:
     """Pivot a group, an array of structs ``(size, key, p)``: a struct of the
     open item and the array of those decided (``p`` 0 or 1)."""
-    empty = F.expr("CAST(array() AS array<struct<size: bigint, key: bigint, p: double>>)")
+    empty = F.expr(f"CAST(array() AS array<struct<size: bigint, key: {key_type}, p: double>>)")
 
     def item(size: Column, key: Column, p: Column) -> Column:
         return F.struct(size.alias("size"), key.alias("key"), p.alias("p"))
@@ -99,7 +122,7 @@ def _fold(items: Column, draw: str) -> Column:
 def pivotal_rounding(open_: DataFrame, seed: str = "mix") -> DataFrame:
     """``grp, key, copy`` (0 or 1) for written rows ``(grp, key, size, p)`` with
     0 < p < 1 and size > 0: the reduction tree."""
-    parts, level = [], 0
+    parts, level, key_type = [], 0, open_.schema["key"].dataType.simpleString()
     while True:
         counts = stored(open_.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "groups")
         largest = counts.agg(F.max("n")).first()[0] or 0
@@ -107,7 +130,7 @@ def pivotal_rounding(open_: DataFrame, seed: str = "mix") -> DataFrame:
             break
         dealt = open_.join(counts, "grp").withColumn("part", F.pmod(F.xxhash64("key", F.lit(f"{seed}{level}")), F.ceil(F.col("n") / F.lit(FAN))))
         groups = dealt.groupBy("grp", "part").agg(F.sort_array(F.collect_list(F.struct("size", "key", "p")), asc=False).alias("items"))
-        folded = stored(groups.select("grp", _fold(F.col("items"), f"{seed}{level}").alias("f")), "folded")
+        folded = stored(groups.select("grp", _fold(F.col("items"), f"{seed}{level}", key_type).alias("f")), "folded")
         parts.append(folded.select("grp", F.explode("f.done").alias("d")).select("grp", "d.key", F.col("d.p").cast("int").alias("copy")))
         left = folded.select("grp", "f.open.key", "f.open.size", "f.open.p")
         # An exchange may make both sides whole: such a document is decided too.
@@ -120,24 +143,42 @@ def pivotal_rounding(open_: DataFrame, seed: str = "mix") -> DataFrame:
     return out
 
 
-def mix_sources(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: ``id_col, source, size, source_size, target,
-    copies``; ``copies`` is how often the mix takes it (0 up to ``most``)."""
-    sizes = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size")), "sizes")
+def mix_units(docs: DataFrame, weights: list[float], share_of: float = 1.5, most: float = 2.0, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One written row for each set of equal rows: ``id, content`` (``row_hash``),
+    ``source, size, n`` (rows), ``source_size, target`` and ``total``, how often
+    the mix takes any of them."""
+    columns = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"), row_hash(docs).alias("content"))
+    units = stored(columns.groupBy("id", "content", "source", "size").agg(F.count(F.lit(1)).alias("n")), "units")
     grp = F.xxhash64(F.col("source").isNull(), "source")
-    targets = stored(source_targets(sizes, weights, share, most).withColumn("grp", grp), "targets")
-    units = sizes.groupBy("id", "source").agg(F.sum("size").alias("unit")).withColumn("grp", grp).drop("source").join(targets, "grp")
+    targets = stored(source_targets(units.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share_of, most).drop("n").withColumn("grp", grp), "targets")
     want = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    planned = units.withColumn("whole", F.floor(want)).withColumn("p", want - F.floor(want))
-    planned = stored(planned.select("grp", F.col("id").alias("key"), "unit", "source_size", "target", "whole", "p"), "planned")
-    extra = pivotal_rounding(planned.where("p > 0 and p < 1 and unit > 0").select("grp", "key", F.col("unit").alias("size"), "p"), seed)
-    extra = extra.toDF("extra_grp", "extra_key", "copy")
-
-    def on(a: DataFrame, b: DataFrame, prefix: str = "") -> list[Column]:
-        return [a["grp"] == b[f"{prefix}grp"], a["key"].eqNullSafe(b[f"{prefix}key"])]
-
-    copies = (F.col("whole") + F.coalesce("copy", F.lit(0))).cast("int").alias("copies")
-    decided = stored(planned.join(extra, on(planned, extra, "extra_"), "left").select(planned["grp"], planned["key"], "source_size", "target", copies), "decided")
-    rows = sizes.select("source", "size", F.col("id").alias("key"), grp.alias("grp"))
-    out = rows.join(decided, on(rows, decided))
-    return out.select(rows["key"].alias(id_col), "source", "size", "source_size", "target", "copies")
+    planned = units.withColumn("grp", grp).join(targets.drop("source"), "grp").withColumn("whole", F.floor(want)).withColumn("p", want - F.floor(want))
+    planned = stored(planned, "planned")
+    loose = planned.where("p > 0 and p < 1 and size > 0").select("grp", "id", "content", "size", "p", "n")
+    items = numbered(loose).select("grp", F.struct("id", "content", "i").alias("key"), "size", "p")
+    extra = pivotal_rounding(items, seed).groupBy(F.col("grp").alias("extra_grp"), F.col("key.id").alias("extra_id"), F.col("key.content").alias("extra_content")).agg(F.sum("copy").alias("extra"))
+    on = [F.col("grp") == F.col("extra_grp"), F.col("id").eqNullSafe(F.col("extra_id")), F.col("content") == F.col("extra_content")]
+    total = (F.col("n") * F.col("whole") + F.coalesce("extra", F.lit(0))).alias("total")
+    return stored(planned.join(extra, on, "left").select("id", "content", "source", "size", "n", "source_size", "target", total), "mixed")
+
+
+def mix_sources(docs: DataFrame, weights: list[float], share_of: float = 1.5, most: float = 2.0, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per document: ``id_col, source, size, source_size, target,
+    copies``; ``copies`` is how often the mix takes it (0 up to ``most``)."""
+    units = mix_units(docs, weights, share_of, most, seed, id_col, text_col, source_col)
+    copies = share(F.col("total"), F.col("n"), F.col("i")).alias("copies")
+    return numbered(units).select(F.col("id").alias(id_col), "source", "size", "source_size", "target", copies)
+
+
+def take_copies(docs: DataFrame, weights: list[float], share_of: float = 1.5, most: float = 2.0, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, with their own
+    columns. A merge join at every size: texts are dealt by id, and the plan
+    stays the same as the input grows; equal rows lie together after it, and
+    are numbered there."""
+    units = mix_units(docs, weights, share_of, most, seed, id_col, text_col, source_col).where("total > 0")
+    taken = units.select(F.col("id").alias("__id"), F.col("content").alias("__content"), F.col("n").alias("__n"), F.col("total").alias("__total")).hint("merge")
+    rows = docs.withColumn("__row", row_hash(docs))
+    both = rows.join(taken, [rows[id_col].eqNullSafe(F.col("__id")), rows["__row"] == F.col("__content")])
+    place = F.row_number().over(Window.partitionBy("__id", "__content").orderBy("__n")) - 1
+    both = both.withColumn("__copies", share(F.col("__total"), F.col("__n"), place)).where("__copies > 0")
+    return both.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
