@@ -43,12 +43,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice."""
-    taken = mixing.mix_sources(docs, SOURCE_WEIGHTS).where("copies > 0")
-    taken = stored(taken.select(F.col("doc_id").alias("id_of_mix"), F.col("source").alias("source_of_mix"), F.col("copies").alias("copies_of_mix")).distinct(), "taken")
-    # A merge join at every size: the texts are dealt by id, and the plan stays the same as the input grows.
-    taken = taken.hint("merge")
-    on = [docs["doc_id"].eqNullSafe(taken["id_of_mix"]), docs["source"].eqNullSafe(taken["source_of_mix"])]
-    return docs.join(taken, on).withColumn("copies_of_mix", F.explode(F.sequence(F.lit(1), "copies_of_mix"))).select(*docs.columns)
+    return mixing.take_copies(docs, SOURCE_WEIGHTS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
