@@ -90,7 +90,7 @@ def test_job_cli_error_code(tmp_path, capsys):
 def test_job_with_the_convolutional_network(spark, image_tree, tmp_path):
     base, _ = image_tree
     out = str(tmp_path / "conv")
-    res = run_training_job(spark, base, out, size=(8, 8), network="conv", epochs=3, same_padding=True, batch_size=3, dashboard=True)
+    res = run_training_job(spark, base, out, size=(8, 8), network="conv", latent="neighbours", epochs=3, same_padding=True, batch_size=3, dashboard=True)
     history = spark.read.parquet(f"{out}/history").orderBy("epoch").collect()
     assert [r["epoch"] for r in history] == [1, 2, 3] and res["final_loss"] == history[-1]["loss"]
     assert all(0 <= r["accuracy"] <= 1 and r["val_loss"] is None for r in history)  # no usable valid image

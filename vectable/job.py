@@ -28,7 +28,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from vectable.operators import batching, convnet, labels, metrics, model, quality, vectors
+from vectable.operators import batching, convnet, labels, metrics, model, neighbour_map, quality, vectors
 from vectable.operators.common import materialize
 from vectable.functions.text import data_uri_encode
 from vectable.operators.images import encode_images, image_vectors
@@ -50,12 +50,15 @@ def run_training_job(
     batch_size: int = 32,
     dashboard: bool = False,
     network: str = "mlp",
+    latent: str = "pca",
     epochs: int = 10,
     same_padding: bool = False,
     resampling: str = "cubic",
 ) -> dict:
     if network not in ("mlp", "conv"):
         raise ValueError(f"network is 'mlp' or 'conv', not {network!r}")
+    if latent not in ("pca", "neighbours"):
+        raise ValueError(f"latent is 'pca' or 'neighbours', not {latent!r}")
     out = out_dir.rstrip("/")
     listing = files.listing(spark, base_dir)
     dim = labels.check_dimension(labels.label_dictionary(listing.select("label")))
@@ -154,7 +157,8 @@ def run_training_job(
         few = batching.first_n_per_group(train, "label", ["path"], 5)
         few = few.select("path", "label", "vector")
         feats = convnet.predict(state, few, "vector", hidden_col="hidden") if network == "conv" else model.hidden_features(m, few, "vector")
-        model.project_2d(feats, "hidden", ["path"], "label").write.mode("overwrite").parquet(f"{out}/latent_2d")
+        flat = neighbour_map.neighbour_map if latent == "neighbours" else model.project_2d
+        flat(feats, "hidden", ["path"], "label").write.mode("overwrite").parquet(f"{out}/latent_2d")
 
     summary = {r["metric"]: r["f1"] for r in spark.read.parquet(f"{out}/summary").collect()}
     return {
@@ -181,6 +185,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--batch-size", type=int, default=32)
     ap.add_argument("--same-padding", action="store_true", help="convolutions keep their size (small images)")
     ap.add_argument("--resampling", choices=("cubic", "triangle", "bilinear"), default="cubic")
+    ap.add_argument("--latent", choices=("pca", "neighbours"), default="pca", help="axes of the latent 2-D view: principal components, or a map that keeps neighbours together")
     ap.add_argument("--dashboard", action="store_true", help="also write mean images and the latent 2-D view")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -199,6 +204,7 @@ def main(argv: list[str] | None = None) -> int:
             batch_size=args.batch_size,
             dashboard=args.dashboard,
             network=args.network,
+            latent=args.latent,
             epochs=args.epochs,
             same_padding=args.same_padding,
             resampling=args.resampling,

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vectable.operators import centroid_tree, images, labels, quality, ranges, reports, vectors
+from vectable.operators import centroid_tree, images, labels, neighbour_map, quality, ranges, reports, vectors
 from vectable.operators.common import materialize
 from vectable.plans import mapping as M
 from vectable.plans.catalog import _embeddings, _r, query
@@ -91,6 +91,24 @@ def nearest_centroid_tree(spark, sf):
     return out.select("vec_id", "prediction", _r("distance").alias("distance"), (F.col("n_compared") <= tree_.n + len(tree_.pivots)).alias("within"))
 
 
+@query("latent_neighbours")
+def latent_neighbours(spark, sf):
+    """K8: the 2-D map that keeps neighbours together, of all vectors: a point
+    for every row, and neighbours nearer to each other than on the principal
+    components that it starts from. Edges have the true distances."""
+    e = _embeddings(spark, sf)
+    graph = neighbour_map.neighbour_graph(e, "embedding", ["vec_id", "label"])
+    xy = neighbour_map.layout(graph)
+    better = neighbour_map.closeness(graph, xy) < neighbour_map.closeness(graph, neighbour_map.start(graph, 42))
+    pts = graph.points.select("n", F.col("c0").alias("vec_id"), F.col("c1").alias("label"), "v")
+    there = pts.select(F.col("n").alias("to"), F.col("v").alias("w"))
+    edges = graph.edges.select("n", F.inline("near").alias("d", "to")).join(pts, "n").join(there, "to")
+    gap = F.aggregate(F.zip_with("v", "w", lambda a, b: F.pow(a.cast("double") - b, 2)), F.lit(0.0), lambda s, x: s + x)
+    near = edges.groupBy("n").agg(F.count_distinct("to").alias("n_near"), F.count_if((F.col("n") != F.col("to")) & (F.abs(gap - F.col("d")) < 1e-9)).alias("n_true"))
+    has = F.col("x").isNotNull() & F.col("y").isNotNull()
+    return pts.join(xy, "n").join(near, "n").select("vec_id", "label", has.alias("has_point"), "n_near", "n_true", F.lit(better).alias("better_than_start"))
+
+
 # ------------------------------------------------------------------------ SQL
 
 
@@ -108,6 +126,8 @@ FROM px JOIN w{n} a ON a.j = px.r JOIN w{n} b ON b.j = px.c GROUP BY vec_id, a.i
 _PARTS = [_filtered(kind, n) for kind, n in SIZES.items()]
 
 ORACLE = {
+    "latent_neighbours": """
+SELECT vec_id, label, true AS has_point, least(15, (SELECT count(*) FROM embeddings) - 1)::BIGINT AS n_near, least(15, (SELECT count(*) FROM embeddings) - 1)::BIGINT AS n_true, true AS better_than_start FROM embeddings""",
     "image_resample": f"""
 WITH u AS (SELECT vec_id, unnest(range(64)) AS p, unnest(embedding)::DOUBLE AS x FROM embeddings),
   px AS (SELECT vec_id, p // 8 AS r, p % 8 AS c, greatest(0, least(255, floor((x + 4.0) * 20.0))) AS v FROM u),{",".join(w for _, w in _PARTS)}
