@@ -122,11 +122,12 @@ def brute_jaccard(texts):
     return sets, roots(pairs, range(len(sets)))
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
+@pytest.mark.parametrize("rounds", [0, 3, None])
 def test_jaccard_join(spark, monkeypatch, rounds):
-    # With no pairs allowed the rounds of centres run until they are spent.
-    monkeypatch.setattr(jaccard_join, "PAIRS_A_POSTING", 16 if rounds == 0 else 0)
-    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
+    # With no pairs allowed the rounds of centres run until they are spent; None: as in production.
+    if rounds is not None:
+        monkeypatch.setattr(jaccard_join, "PAIRS_A_POSTING", 16 if rounds == 0 else 0)
+        monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
     texts = corpus()
     docs = frame(spark, texts).withColumn("n", F.lit("clash")).withColumn("rep", F.lit(1)).withColumn("shared", F.lit(2))
     got = {x["doc_id"]: x for x in jaccard_join.jaccard_join(docs).collect()}
@@ -137,6 +138,29 @@ def test_jaccard_join(spark, monkeypatch, rounds):
         assert got[i]["class_id"] == (first.setdefault(frozenset(s), i) if s else i)
 
 
+def test_group_of_many_components_in_one_round(spark):
+    # All share five words; families of near copies, and loose documents that link with nothing.
+    r = random.Random(5)
+    common, texts = "the words that all share", []
+    for f in range(40):
+        body = [f"f{f}w{i}" for i in range(30)]
+        texts += [" ".join([common, *body[:k]]) for k in (30, 29, 27, 24)]
+    texts += [" ".join([common, *(f"u{r.random()}" for _ in range(12))]) for _ in range(60)]
+    texts += [common + " x"] * 9
+    sets, comp = brute_jaccard(texts)
+    got = {x["doc_id"]: x["component_id"] for x in jaccard_join.jaccard_join(frame(spark, texts)).collect()}
+    assert got == dict(enumerate(comp[i] for i in range(len(texts))))
+
+
+def test_sets_are_fetched_for_pairs_that_pass_the_suffix_filter_only(spark):
+    row = "rep long, n long, shared array<long>, bins array<int>"
+    reps = spark.createDataFrame([(1, 4, [1, 2, 3, 4], [4, 0]), (2, 4, [1, 2, 3, 4], [4, 0]), (3, 4, [1, 2, 3, 4], [0, 4]), (4, 4, [1, 2, 8, 9], [4, 0])], row)
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4)], "a long, b long")
+    got = {(r["a"], r["b"]): r["linked"] for r in jaccard_join._verified(pairs, reps, 75).collect()}
+    # 3 has the same set but no bin in common: the filter leaves it out before sets are looked at.
+    assert got == {(1, 2): True, (1, 3): False, (1, 4): False}
+
+
 def test_jaccard_join_edges(spark):
     assert jaccard_join.jaccard_join(empty(spark)).count() == 0
     rows = [(1, "a b c d e f", "en", "s", 1), (1, "a b c d e f", "en", "s", 1), (None, "a b c d e f", "en", "s", 1), (2, "a b c d e f", "en", "s", 1)]
@@ -370,6 +394,16 @@ def test_nearest(spark):
     assert [r["rank"] for r in few] == [1, 2]
 
 
+def test_nearest_in_blocks_of_queries_and_repeated_ids(spark, monkeypatch):
+    df, x = vectors(spark)
+    whole = sorted(tuple(r) for r in ann_search.nearest(df, "vec_id % 20 = 0").collect())
+    monkeypatch.setattr(ann_search, "QUERY_ROWS", 3)
+    monkeypatch.setattr(ann_search, "SPLIT", 16)
+    assert sorted(tuple(r) for r in ann_search.nearest(df.union(df.where("vec_id < 40")), "vec_id % 20 = 0").collect()) == whole
+    doubles = df.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    assert sorted(tuple(r) for r in ann_search.nearest(doubles, "vec_id % 20 = 0").collect()) == whole
+
+
 # --- 5 -----------------------------------------------------------------------
 
 
@@ -444,6 +478,36 @@ def test_toxicity(spark):
     assert x[x["toxic"] == 1]["predicted"].mean() > 0.9 and x[x["toxic"] == 0]["predicted"].mean() < 0.02
 
 
+def test_thresholds_from_both_labels():
+    r = np.random.default_rng(3)
+
+    def cost(s, y, t):
+        return toxicity.CLEAN_COST * ((s >= t) & (y == 0)).sum() + ((s < t) & (y == 1)).sum()
+
+    for _ in range(30):
+        y = (r.random(150) < 0.4).astype(float)
+        s = np.clip(0.3 + 0.45 * y + r.normal(0, 0.2, 150), 0, 1)
+        t = toxicity.calibrated(s, y, 0.7)
+        every = [c for c in [0.6, 0.9, *np.nextafter(s, 2)] if 0.6 <= c <= 0.9 and (c == 0.6 or (s[y == 1] >= c).mean() >= toxicity.RECALL - 1e-12)]
+        assert t in every and cost(s, y, t) == min(cost(s, y, c) for c in every)
+    y = np.array([0.0] * 50 + [1.0] * 50)
+    s = np.where(y == 1, 0.8, 0.2)
+    s[0] = 0.95  # a clean text with a wrong label moves nothing
+    assert toxicity.calibrated(s, y, 0.7) == 0.6
+    s[1:4] = 0.7  # clean texts at 0.7 raise it just above them
+    assert toxicity.calibrated(s, y, 0.7) == np.nextafter(0.7, 2)
+    assert toxicity.calibrated(s[:55], y[:55], 0.7) == 0.7
+
+
+def test_labels_that_disagree_give_the_same_model(spark):
+    texts = [f"{'vile scum' if i % 2 else 'kind people'} number {i % 7} of the town" for i in range(120)]
+    docs = frame(spark, texts)
+    marks = [(i, i % 2) for i in range(120)] + [(i, 0) for i in range(1, 9, 2)]
+    made = [toxicity.fit(docs, spark.createDataFrame(m, "doc_id long, toxic int").repartition(k)) for m, k in ((marks, 2), (marks[::-1], 5))]
+    a, b = (m["tables"] for m in made)
+    assert all(np.array_equal(a[k], b[k]) for k in ("known", "embedding", "offsets", "out", "bias")) and made[0]["by_lang"] == made[1]["by_lang"]
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(1, None, None, "s", 0, 9), (2, "", "en", "s", 0, 9), (2, "", "en", "s", 0, 9)], DOC + ", score int")
     labels = spark.createDataFrame([(1, 0, None)], "doc_id long, quality int, toxic int")

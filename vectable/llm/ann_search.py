@@ -17,9 +17,12 @@ distance have the largest products.
 
 The number of slots grows with the logarithm of the rows (``BUCKET_ROWS`` a
 bucket), as far as the sample's queries reach the target with ``PROBES``
-buckets a table on average; no query is cut off there. Buckets go to shards by hash, one of over ``SPLIT`` rows in several
-parts, and a query visits the shards of its buckets; a shard's answer to it is
-its ``k`` best. Equal vectors are one row of the index with their ``k`` least
+buckets a table on average; no query is cut off there. Buckets go to shards by
+hash, one of over ``SPLIT`` rows in several parts, and a query visits the shards
+of its buckets; a shard's answer to it is its ``k`` best. A shard that more than
+``QUERY_ROWS`` queries visit is searched in as many blocks of queries, each with
+the shard's rows, so that a task holds a block and a shard, and one that no
+query visits is not read. Vectors travel in the type of their column. Equal vectors are one row of the index with their ``k`` least
 ids: others of them can't be among the ``k`` nearest, ties going to smaller ids.
 
 Cases: vectors that are null, empty, zero or hold null or non-finite
@@ -36,13 +39,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from vectable.llm.blocks import stored
 from vectable.llm.vectors import dimension, matrix, usable
 
 TABLES, BUCKET_ROWS, SAMPLE, SPLIT, SHARD_ROWS, SHARDS, PROBES, TARGET = 2, 64, 48, 2048, 8192, 32, 96, 0.97
+#: Queries that a block of a shard answers, by a hash of their ids.
+QUERY_ROWS = 4096
 
 
 class Hash:
@@ -105,14 +111,20 @@ def _top(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return ids[at], scores[at]
 
 
+def _numbers(vectors: DataFrame, vec_col: str) -> Column:
+    """Single precision as it is (exact in double precision), all else as doubles."""
+    single = isinstance(vectors.schema[vec_col].dataType.elementType, FloatType)
+    return F.col(vec_col) if single else F.transform(vec_col, lambda v: v.cast("double"))
+
+
 def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20, target: float = TARGET) -> DataFrame:
     """``query_id, rank, <id_col>, score``: the ``k`` rows of the largest inner
     product found for each row where ``queries`` (SQL) holds, itself left out."""
     spark = vectors.sparkSession
-    rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.transform(vec_col, lambda v: v.cast("double")).alias("v"), F.coalesce(F.expr(queries), F.lit(False)).alias("asks"))
+    rows = vectors.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), _numbers(vectors, vec_col).alias("v"), F.coalesce(F.expr(queries), F.lit(False)).alias("asks"))
     rows = rows.where(usable("v")).groupBy("id").agg(F.min(F.struct("v", "asks")).alias("r")).select("id", "r.v", "r.asks")
     dim = dimension(rows, "v")
-    held = stored(rows.withColumn("sq", F.aggregate("v", F.lit(0.0), lambda t, v: t + v * v)).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64("v", F.lit(1))), "vectors")
+    held = stored(rows.withColumn("sq", F.aggregate("v", F.lit(0.0), lambda t, v: t + v.cast("double") * v.cast("double"))).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64("v", F.lit(1))), "vectors")
     n, biggest = held.agg(F.count(F.lit(1)), F.max("sq")).first()
     schema = f"query_id long, rank int, `{id_col}` long, score double"
     if not n:
@@ -184,10 +196,14 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vec_col: s
     parts = stored(counts.select("key", F.ceil(F.col("n") / F.lit(SPLIT)).cast("int").alias("parts")), "bucket_parts")
     shard = F.pmod(F.xxhash64("key", "part"), F.lit(shards)).cast("int")
     in_shard = placed.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).select(shard.alias("shard"), "key", "id")
-    local = stored(in_shard.groupBy("shard", "id").agg(F.collect_list("key").alias("keys")), "sharded").join(index.select("id", "v", "ids"), "id")
     asked = asking.mapInPandas(to_probes, "key long, query long").join(parts, "key").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     asked = stored(asked.select(shard.alias("shard"), "key", "query").groupBy("shard", "query").agg(F.collect_set("key").alias("keys")), "probes")
-    asked = asked.join(asking.select(F.col("id").alias("query"), "v"), "query")
+    # Blocks of queries: a row for each shard that is visited, and its rows once a block.
+    blocks = stored(asked.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_ROWS)).cast("int").alias("blocks")), "query_blocks")
+    asked = asked.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("query", F.lit("block")), F.col("blocks")).cast("int"))
+    asked = asked.select("shard", "block", "query", "keys").join(asking.select(F.col("id").alias("query"), "v"), "query")
+    local = stored(in_shard.groupBy("shard", "id").agg(F.collect_list("key").alias("keys")), "sharded").join(blocks, "shard")
+    local = local.join(index.select("id", "v", "ids"), "id").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -202,13 +218,11 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vec_col: s
         for query, own_keys, v in zip(right["query"], right["keys"], matrix(right["v"], dim), strict=True):
             own_keys = np.asarray(own_keys)
             a, b = np.searchsorted(keys, own_keys, "left"), np.searchsorted(keys, own_keys, "right")
-            mark = np.zeros(len(rows) + 1, np.int64)
-            np.add.at(mark, a, 1)
-            np.add.at(mark, b, -1)
-            at = np.unique(rows[np.cumsum(mark)[:-1] > 0])
-            if not len(at):
+            met = [rows[i:j] for i, j in zip(a, b, strict=True) if j > i]
+            if not met:
                 continue
-            s = x[at] @ v
+            at = np.unique(np.concatenate(met))
+            s = np.einsum("ij,j->i", x[at], v)  # a row's sum does not depend on the rows beside it
             if many[at].max() > 1:
                 s = np.repeat(s, many[at])
                 ids = np.concatenate([flat[start[i] : start[i + 1]] for i in at])
@@ -219,7 +233,7 @@ def nearest(vectors: DataFrame, queries: str, id_col: str = "vec_id", vec_col: s
             out.append(pd.DataFrame({"query": query, "id": ids, "score": s}))
         return pd.concat(out) if out else pd.DataFrame(columns=["query", "id", "score"])
 
-    found = local.groupBy("shard").cogroup(asked.groupBy("shard")).applyInPandas(search, "query long, id long, score double")
+    found = local.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(search, "query long, id long, score double")
     # Tables are merged: a row that several of them found counts once.
     merged = found.groupBy("query", "id").agg(F.max("score").alias("score"))
     ranked = merged.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)

@@ -16,10 +16,12 @@ meet the prefix of every set it links with:
    joined once, at their rarest shingle.
 4. All pairs of a large group are never formed. A round verifies each member
    against ``CENTRES`` of its group and merges what links; a pair inside one
-   component needs no check. When what is left between components is linear
-   in the postings, it is verified as pairs. No pair is left out.
+   component needs no check. After ``ROUNDS`` rounds, or one that leaves at
+   most ``PAIRS_A_POSTING`` pairs a posting, what is left between components
+   is verified as pairs. No pair is left out. With one round, the pairs of a
+   group of ``c`` components are bounded by those between its components.
 
-Shingle frequencies are kept by 56 to 78 bits of the hash; a collision there
+Shingle frequencies are kept by 54 to 78 bits of the hash; a collision there
 only changes the order, the same way for all sets, so no link is lost.
 
 Cases: a null, empty or blank text has the empty set, links with nothing and
@@ -155,12 +157,16 @@ def _pairs(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): the suffix filter, then the exact overlap."""
-    side = {s: reps.select(F.col("rep").alias(s), F.col("n").alias(f"{s}_n"), F.col("shared").alias(f"{s}_s"), F.col("bins").alias(f"{s}_b")) for s in "ab"}
-    x = pairs.join(side["a"], "a").join(side["b"], "b")
+    """(a, b, linked): the suffix filter on the bins alone, then the exact
+    overlap of the pairs that pass it; only these fetch their sets."""
+    size = {s: reps.select(F.col("rep").alias(s), F.col("n").alias(f"{s}_n"), F.col("bins").alias(f"{s}_b")) for s in "ab"}
     most = F.aggregate(F.zip_with("a_b", "b_b", lambda p, q: F.least(p, q)), F.lit(0).cast("long"), lambda t, p: t + p)
+    x = pairs.join(size["a"], "a").join(size["b"], "b").select("a", "b", F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b"), most.alias("most"))
+    x = B.stored(x.withColumn("passes", _enough("n_a", "n_b", F.col("most"), percent)).drop("most"), "filtered")
+    held = {s: reps.select(F.col("rep").alias(s), F.col("shared").alias(f"{s}_s")) for s in "ab"}
     exact = F.size(F.array_intersect("a_s", "b_s")).cast("long")
-    return x.select("a", "b", F.when(_enough("a_n", "b_n", most, percent), _enough("a_n", "b_n", exact, percent)).otherwise(False).alias("linked"))
+    passed = x.where("passes").join(held["a"], "a").join(held["b"], "b").select("a", "b", _enough("n_a", "n_b", exact, percent).alias("linked"))
+    return passed.unionByName(x.where(~F.col("passes")).select("a", "b", F.lit(False).alias("linked")))
 
 
 def linked_classes(sets: DataFrame, percent: int = 75) -> tuple[DataFrame, DataFrame]:
