@@ -152,12 +152,12 @@ def test_group_of_many_components_in_one_round(spark):
     assert got == dict(enumerate(comp[i] for i in range(len(texts))))
 
 
-def test_sets_are_fetched_for_pairs_that_pass_the_suffix_filter_only(spark):
+def test_suffix_filter_decides_before_the_exact_overlap(spark):
     row = "rep long, n long, shared array<long>, bins array<int>"
     reps = spark.createDataFrame([(1, 4, [1, 2, 3, 4], [4, 0]), (2, 4, [1, 2, 3, 4], [4, 0]), (3, 4, [1, 2, 3, 4], [0, 4]), (4, 4, [1, 2, 8, 9], [4, 0])], row)
     pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4)], "a long, b long")
     got = {(r["a"], r["b"]): r["linked"] for r in jaccard_join._verified(pairs, reps, 75).collect()}
-    # 3 has the same set but no bin in common: the filter leaves it out before sets are looked at.
+    # 3 has the same set but no bin in common: the filter decides before sets are looked at.
     assert got == {(1, 2): True, (1, 3): False, (1, 4): False}
 
 
