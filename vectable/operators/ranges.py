@@ -8,6 +8,10 @@ addition, and a page reads the one or two folders that hold it.
 Ranges hold about ``RANGE_ROWS`` rows each. The whole row breaks ties between
 equal keys, so a key that a third of all rows share is dealt over many ranges;
 only rows that are equal in every column stay together.
+
+Spark finds the bounds of the ranges from a sample of keys on the driver, so
+ranges smaller than ``RANGE_ROWS`` are made only as long as they are ``RANGES``
+at most and their keys take ``SAMPLE_BYTES``; a larger table gets wider ranges.
 """
 
 from __future__ import annotations
@@ -20,11 +24,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from vectable.session import scratch_path
 
 RANGE_ROWS = 500_000
+#: Most ranges of under RANGE_ROWS rows, most bytes of keys that Spark samples for them, and keys it takes for each.
+RANGES, SAMPLE_BYTES, SAMPLED = 256, 64 << 20, 300
 RANGE, PLACE = "__range", "__place"
 
 
@@ -57,11 +63,23 @@ class Ranked:
         return self.slice(number * page_size, page_size)
 
 
+def range_count(rows: int, key_bytes: int, range_rows: int | None = None) -> int:
+    """Ranges of about ``range_rows`` rows for a table whose keys take
+    ``key_bytes``; of smaller ones than ``RANGE_ROWS`` as many as the driver
+    can sample."""
+    sampled = SAMPLED * max(1, -(-key_bytes // max(1, rows)))
+    few = max(1, min(RANGES, SAMPLE_BYTES // sampled))
+    return max(1, -(-rows // RANGE_ROWS), min(-(-rows // (range_rows or RANGE_ROWS)), few))
+
+
 def ranked(df: DataFrame, order: Sequence[str], range_rows: int | None = None) -> Ranked:
     """``df`` in the order of some columns (nulls first), ready for numbers and
     pages. The frame is computed once for its count and once for the table."""
-    spark, n = df.sparkSession, df.count()
-    ranges = max(1, -(-n // (range_rows or RANGE_ROWS)))
+    spark = df.sparkSession
+    wide = [c for c in order if isinstance(df.schema[c].dataType, StringType | BinaryType)]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in wide), F.lit(8 * len(order)))
+    n, key_bytes = df.agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    ranges = range_count(n, key_bytes or 0, range_rows)
     rest = [c for c in df.columns if c not in order]
     keys = [*order, F.xxhash64(*rest)] if rest else [*order]
     schema = StructType([*df.schema.fields, StructField(RANGE, IntegerType()), StructField(PLACE, LongType())])
