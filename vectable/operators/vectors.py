@@ -8,9 +8,9 @@ classes.
 
 Scoring compares every row with every class centroid, without a shuffle: the
 centroids are cut into blocks of at most ``block_bytes``, each block is one
-broadcast variable and one narrow step over the rows that keeps the running
-minimum. All steps run in the same task, whatever the number of blocks, so
-the answers do not depend on it.
+broadcast variable, and one narrow step over the rows goes from block to block
+and keeps the running minimum. A task has one Python worker, whatever the
+number of blocks, and the answers do not depend on it.
 """
 
 from __future__ import annotations
@@ -165,8 +165,8 @@ def _standardized(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _score_arrow(df: DataFrame, vec_col: str, cents: DataFrame, d: int, block_bytes: int, standardize: bool, all_distances: bool) -> DataFrame:
-    """``__cls`` and ``__dist``, without the vector: per block of centroids one
-    Arrow step. A batch's distances to a block are one matrix product."""
+    """``__cls`` and ``__dist``, without the vector: one Arrow step that meets the
+    blocks of centroids in turn. A batch's distances to a block are one matrix product."""
     spark = df.sparkSession
     per_block = max(1, block_bytes // (d * 8 + 16))
     blocks: list[tuple[list, list]] = []
@@ -175,40 +175,41 @@ def _score_arrow(df: DataFrame, vec_col: str, cents: DataFrame, d: int, block_by
             blocks.append(([], []))
         blocks[-1][0].append(r["label"])
         blocks[-1][1].append(r["c"])
-    vec_field = df.schema[vec_col]
+    shared = [spark.sparkContext.broadcast((names, np.array(rows, dtype=np.float64).reshape(-1, d))) for names, rows in blocks]
     kinds = [cents.schema["label"].dataType, DoubleType()]
     state = [StructField(n, ArrayType(k) if all_distances else k) for n, k in zip(("__cls", "__dist"), kinds, strict=True)]
     kept = [f for f in df.schema.fields if f.name != vec_col]
     arrow = to_arrow_schema(StructType(state))
-    out = df
-    for i, (names, rows) in enumerate(blocks):
-        bc = spark.sparkContext.broadcast((names, np.array(rows, dtype=np.float64).reshape(-1, d)))
-        heads = [*kept] if i == len(blocks) - 1 else [*kept, vec_field]
-
-        def fn(batches: Iterator[pa.RecordBatch], bc=bc, first=i == 0, heads=heads) -> Iterator[pa.RecordBatch]:
-            names, m = bc.value
-            own = (m * m).sum(axis=1)
-            for batch in batches:
-                x, at = vector_rows(batch.column(vec_col), d)
-                if standardize:
-                    x, at = _standardized(x, at)
-                dist = np.maximum((x * x).sum(axis=1)[:, None] + own[None, :] - 2.0 * (x @ m.T), 0.0)
-                none = [None] * batch.num_rows
-                cls, least = ([*none], [*none]) if first else (batch.column("__cls").to_pylist(), batch.column("__dist").to_pylist())
+
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, at = vector_rows(batch.column(vec_col), d)
+            if standardize:
+                x, at = _standardized(x, at)
+            size = (x * x).sum(axis=1)[:, None]
+            cls, least = [None] * batch.num_rows, [None] * batch.num_rows
+            for i, block in enumerate(shared):
+                names, m = block.value
+                dist = np.maximum(size + (m * m).sum(axis=1)[None, :] - 2.0 * (x @ m.T), 0.0)
                 if all_distances:
                     cls = [(c or []) + names for c in cls]
                     for j, r in enumerate(at):
                         least[r] = (least[r] or []) + dist[j].tolist()
-                else:
-                    k = dist.argmin(axis=1)  # the first of equal distances: the smaller class
-                    for j, r in enumerate(at):
-                        if least[r] is None or dist[j, k[j]] < least[r]:
-                            cls[r], least[r] = names[k[j]], float(dist[j, k[j]])
-                cols = [*(batch.column(f.name) for f in heads), pa.array(cls, arrow[0].type), pa.array(least, arrow[1].type)]
-                yield pa.RecordBatch.from_arrays(cols, names=[*(f.name for f in heads), "__cls", "__dist"])
-
-        out = out.mapInArrow(fn, StructType([*heads, *state]))
-    return out
+                    continue
+                k = dist.argmin(axis=1)  # the first of equal distances: the smaller class
+                low = dist[np.arange(len(at)), k]
+                if not i:
+                    best, name = low, [names[c] for c in k]
+                    continue
+                for j in np.flatnonzero(low < best):
+                    best[j], name[j] = low[j], names[k[j]]
+            if not all_distances:
+                for j, r in enumerate(at):
+                    cls[r], least[r] = name[j], float(best[j])
+            cols = [*(batch.column(f.name) for f in kept), pa.array(cls, arrow[0].type), pa.array(least, arrow[1].type)]
+            yield pa.RecordBatch.from_arrays(cols, names=[*(f.name for f in kept), "__cls", "__dist"])
+
+    return df.mapInArrow(fn, StructType([*kept, *state]))
 
 
 def _score_jvm(df: DataFrame, vec_col: str, cents: DataFrame, d: int, block_bytes: int, standardize: bool, all_distances: bool) -> DataFrame:
