@@ -58,7 +58,9 @@ SLOTS = 1 << 20
 SHARD, SHARD_BYTES, TEXT_BYTES = 4096, 24_000_000, 1_000_000
 #: Steps over all, documents of a step, rate, training documents that hold a learned row; least and most passes over the documents, and most rounds.
 STEPS, BATCH, RATE, SEEN_IN = 1000, 16, 0.02, 3
-PASSES, ROUNDS = (4, 40), 4
+PASSES, ROUNDS = (2, 40), 4
+#: Labelled ids that are sent to the documents; with more of them both sides are shuffled.
+IDS_SENT = 3_000_000
 #: How often a pass meets a document of the rarer label at most, and the share of label 1 in all gradients.
 OFTEN, TOXIC_SHARE = 4, 0.7
 #: Words of a text that are in memory at a time, and parts of one that scores and averaged parameters are told in.
@@ -323,12 +325,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn: str = "true", id_col: str = "
     """A model from all labelled documents where ``learn`` (SQL on the joined row)
     holds; a hash of the id deals them (ids are otherwise not used)."""
     wanted = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col), F.col(label_col).alias("y")).where(learn).groupBy(id_col).agg(F.max("y").cast("int").alias("y"))
-    many = max(1, -(-wanted.count() // SHARD))
+    ids = wanted.count()
+    many = max(1, -(-ids // SHARD))
     order = F.xxhash64(id_col, F.lit("toxicity"))
     size = F.octet_length(text_col)
     shard = F.when(size > TEXT_BYTES, F.xxhash64(id_col, text_col)).otherwise(F.pmod(order, F.lit(many)))
     held = F.pmod(F.xxhash64(id_col, F.lit("calibrate")), F.lit(5)) == 4
-    rows = docs.join(wanted, id_col).where(F.col(text_col).isNotNull())
+    rows = docs.join(F.broadcast(wanted) if ids <= IDS_SENT else wanted, id_col).where(F.col(text_col).isNotNull())
     rows = rows.select(shard.alias("shard"), order.alias("o"), F.col(text_col).cast("binary").alias("text"), F.col(lang_col).alias("lang"), "y", size.alias("bytes"), held.alias("held"))
     # Written in the order of shards: a round reads one after the other.
     table = stored(rows.repartition(many, "shard").sortWithinPartitions("shard", "o", "text", "y"), "labelled")
