@@ -768,3 +768,22 @@ def test_pipeline_of_odd_documents(spark, tmp_path):
     for docs in (spark.createDataFrame(rows, DOC + ""), empty(spark)):
         docs.withColumn("score", F.lit(1)).withColumn("n", F.lit(2)).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
         corpus_pipeline.run(spark, str(tmp_path)).collect()
+
+
+def test_shingling_a_block_takes_little_memory():
+    """pipeline: a block of texts is hashed in parts, and they change no set."""
+    import tracemalloc
+
+    from vectable.llm import blocks, jaccard_join
+
+    r = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in r.integers(0, 5000, 400)).encode() for _ in range(blocks.BLOCK_BYTES // 2200)]
+    alone = [jaccard_join.shingle_sets([t])[0] for t in texts[::50]]
+    tracemalloc.start()
+    try:
+        found = jaccard_join.shingle_sets(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 12 * blocks.BLOCK_BYTES
+    assert all(np.array_equal(a, b) for a, b in zip(found[::50], alone, strict=True))

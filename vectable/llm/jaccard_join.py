@@ -41,6 +41,8 @@ from vectable.llm import blocks as B
 from vectable.llm.components import components
 from vectable.llm.words import hash_words, in_chunks, mix
 
+#: Bytes of texts whose words are hashed at a time; arrays take some forty times that.
+CHUNK = 1 << 18
 #: Bins of the suffix filter: shared shingles of a set counted by hash range.
 BINS = 16
 #: Pairs that may be formed for each posting before another round of centres, and the most such rounds.
@@ -53,7 +55,7 @@ WIDTH = 6
 def shingle_sets(texts: list[bytes], words: int = 5) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     out = []
-    for i, j in in_chunks(texts):
+    for i, j in in_chunks(texts, CHUNK):
         h, bound = hash_words(texts[i:j])
         k = max(0, len(h) - words + 1)
         s = np.zeros(k, np.uint64)
