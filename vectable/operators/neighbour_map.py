@@ -58,6 +58,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LEAF, SAMPLE, SAMPLE_BYTES = 512, 4096, 16 << 20
 BLOCK, STEPS, PUSHERS, PUSHES = 2048, 25, 1024, 8
 LISTS, SALTS = 512, 32
+#: Rows that a task sorts and numbers: vectors are wide, and trees many.
+SORTED = 1 << 14
 #: Steps are at most this long, the start's first axis is this wide (standard
 #: deviation), and both ends of an edge are pulled by this share.
 LONGEST, START, PULL = 4.0, 10.0, 0.5
@@ -183,11 +185,13 @@ def neighbour_graph(df: DataFrame, vec_col: str, keep: Sequence[str], k: int = 1
 
         return frame.mapInArrow(fn, schema)
 
-    order = ranked(placed(good, [0]), ["code", "place", *carried])
-    points = materialize(order.numbered("n").select("n", *carried, "v"), "map-points")
+    order = ranked(placed(good, [0]), ["code", "place", *carried], SORTED)
+    # In as many files as there are cores: few bytes, but much is worked out from them.
+    numbered = order.numbered("n").select("n", *carried, "v").repartition(spark.sparkContext.defaultParallelism, "n")
+    points = materialize(numbered, "map-points")
     first = points.select("n", "v", F.lit(0).alias("tree"), F.floor(F.col("n") / LEAF).alias("leaf"))
     if trees > 1 and order.n > LEAF:
-        others = ranked(placed(points.select("n", "v"), list(range(1, trees))), ["tree", "code", "place", "n"]).numbered("at")
+        others = ranked(placed(points.select("n", "v"), list(range(1, trees))), ["tree", "code", "place", "n"], SORTED).numbered("at")
         # All trees have as many rows, so a number within the tree is a remainder.
         leaf = F.floor((F.col("at") - (F.col("tree") - 1) * F.lit(order.n)) / LEAF)
         first = first.unionByName(others.select("n", "v", "tree", leaf.alias("leaf")))
