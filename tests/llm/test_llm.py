@@ -683,6 +683,33 @@ def test_best_fit_packing(spark):
     assert packing.best_fit_packing(empty(spark)).count() == 0
 
 
+def test_the_exact_tokenizer_is_loaded_when_a_text_needs_it():
+    encode = packing.Encoder(packing.default_tokenizer())
+    encode("plain words, and  blanks")
+    assert "exact" not in vars(encode)
+    encode("a<|endoftext|>")
+    assert "exact" in vars(encode)
+
+
+def test_large_batches_are_sent_back_in_slices(spark, monkeypatch):
+    """What a task makes of a batch of texts at a time is not as large as the batch."""
+    docs = spark.range(1500).select(F.col("id").alias("doc_id"), F.concat("id", F.lit(" word" * 1600)).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    ran = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, fn, schema, was=type(docs).mapInArrow: ran.append((self, fn)) or was(self, fn, schema))
+    secrets.redact(docs, lambda features: 1.0)
+    toxicity.toxicity(docs, {"tables": None, "threshold": 0.7, "by_lang": {}})
+    packing.pieces(docs)
+    assert len(ran) == 3
+    for rows, fn in ran:
+        (batch,) = rows.toArrow().combine_chunks().to_batches()
+        assert batch.nbytes > 5 * blocks.SLICE_BYTES
+        out = list(fn(iter([batch, batch.slice(0, 0)])))
+        assert len(out) > 5 and max(x.nbytes for x in out) < 2 * blocks.SLICE_BYTES
+        assert sum(x.num_rows for x in out) >= batch.num_rows
+    whole = secrets.redact(docs, lambda features: 1.0).select("doc_id", "text")
+    assert whole.exceptAll(docs.select("doc_id", "text")).count() == 0 and whole.count() == 1500
+
+
 def test_bin_completion_is_optimal_on_small_cases():
     r = random.Random(8)
     for _ in range(60):

@@ -26,6 +26,8 @@ from vectable.session import scratch_path
 #: Bytes of text in a block, and distinct keys that a bucket should hold.
 BLOCK_BYTES = 2 << 20
 BUCKET_KEYS = 1 << 19
+#: Bytes of a batch that a task works on, and sends back, at a time.
+SLICE_BYTES = 2 << 20
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -47,6 +49,18 @@ def dropped(*tables: DataFrame) -> None:
         p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of texts in slices of about ``SLICE_BYTES`` (a row at least), in
+    order: a batch has thousands of rows, and what is made of all of them and
+    sent back at once stays in the memory of the worker and of the executor.
+    Buffers that no batch needs any more are given back at the end."""
+    for batch in batches:
+        step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+    pa.default_memory_pool().release_unused()
+
+
 def pack(docs: DataFrame, id_col: str, text_col: str, kind: str = "0") -> DataFrame:
     """Blocks ``(block, kind, ids, sizes, data)`` of all documents, written once.
 

@@ -34,6 +34,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectable.llm.blocks import stored
+from vectable.llm.blocks import slices, stored
 
 CAPACITY, SHARD, NODES, LEAVES, BLANKS = 2048, 6144, 12000, 12, 4096
 #: Fixed value: the pre-tokenizing pattern of byte-level BPE.
@@ -63,9 +64,8 @@ class Encoder:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.exact = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [x["content"] for x in spec.get("added_tokens", [])]
@@ -76,6 +76,13 @@ class Encoder:
         ranks = {bytes(byte[c] for c in word): i for word, i in spec["model"]["vocab"].items() if word not in self.special}
         self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def exact(self):
+        """The file's own library, loaded for the first text that needs it: most tasks have none."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __call__(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
             return np.array([*self._exactly(text), 0], dtype="<u4")
@@ -102,7 +109,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(tokenizer or default_tokenizer())
-        for batch in batches:
+        for batch in slices(batches):
             ids: list[tuple] = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 t = encode(text.as_py())

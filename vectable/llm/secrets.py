@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectable.llm.blocks import stored
+from vectable.llm.blocks import slices, stored
 
 SAMPLE = 2000
 #: Public formats of credentials.
@@ -252,7 +252,7 @@ def _found(docs: DataFrame, keep: list[str], text_col: str, path_col: str, make,
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = make()
-        for batch in batches:
+        for batch in slices(batches):
             at, out = [], []
             for i, (text, path) in enumerate(zip(batch.column(0), batch.column(1).to_pylist(), strict=True)):
                 found = call(text.as_py(), path)

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectable.llm.blocks import stored
+from vectable.llm.blocks import slices, stored
 from vectable.llm.words import hash_words, in_chunks
 
 #: Width of an embedding, filters of each span, spans in words, and the prefixes (bytes) that a word is embedded by beside itself.
@@ -257,9 +257,11 @@ def averaged(rows: DataFrame, tables: dict, often: tuple[int, int], weight: tupl
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = shared.value
         for texts, y in shards(batches):
-            net, known = Convolution.of(start), [places(t, start["known"]) for t in texts]
+            net = Convolution.of(start)
+            for i, t in enumerate(texts):  # in their place: a shard is held once
+                texts[i] = places(t, start["known"])
             at = np.repeat(np.arange(len(y)), np.where(y == 1, often[1], often[0]))
-            net.train([known[i] for i in at], y[at], np.where(y == 1, weight[1], weight[0])[at], passes, all_passes, [7, passes[0], len(y), sum(map(len, texts))])
+            net.train([texts[i] for i in at], y[at], np.where(y == 1, weight[1], weight[0])[at], passes, all_passes, [7, passes[0], len(y), sum(map(len, texts))])
             flat = np.concatenate([p.ravel() for p in net.dense()])
             flat = np.pad(flat, (0, -len(flat) % WIDTH)).reshape(-1, WIDTH)
             moved = np.flatnonzero((net.embedding != start["embedding"]).any(axis=1))
@@ -363,7 +365,7 @@ def _scored(rows: DataFrame, backs: list[str], text_col: str, tables: dict | Non
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = shared.value if shared else None
-        for batch in batches:
+        for batch in slices(batches):
             texts = [x or b"" for x in batch.column(where).cast(pa.binary()).to_pylist()]
             s = scores(texts, tables) if tables else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in backs), pa.array(s, pa.float64())], names=[*backs, "score"])
