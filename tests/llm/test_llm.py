@@ -814,3 +814,58 @@ def test_shingling_a_block_takes_little_memory():
         tracemalloc.stop()
     assert peak < 12 * blocks.BLOCK_BYTES
     assert all(np.array_equal(a, b) for a, b in zip(found[::50], alone, strict=True))
+
+
+def test_stages_send_texts_in_small_batches(spark):
+    """pipeline: what an executor and a worker hold of a task's texts is a few MB,
+    and a smaller setting of the caller's stays."""
+    import pyarrow as pa
+
+    from vectable import session
+
+    docs = spark.range(0, 8000, 1, 1).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 600) AS text", "'en' AS lang", "'s' AS source", "0L AS n_chars")
+
+    def told(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"])
+
+    keys = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    try:
+        for name, stage in corpus_pipeline.STAGES[2:]:
+            for key in keys:
+                spark.conf.unset(key)
+            stage(spark, docs.limit(50), SF)
+            sizes = [r["size"] for r in docs.mapInArrow(told, "size long").collect()]
+            assert sum(sizes) > 4 * session.BATCH_BYTES and max(sizes) < 1.1 * session.BATCH_BYTES, name
+            assert int(spark.conf.get(keys[1])) == session.READ_ROWS
+        spark.conf.set(keys[0], "1k")
+        spark.conf.set(keys[1], "7")
+        session.small_batches(spark)
+        assert [spark.conf.get(k) for k in keys] == ["1024", "7"]
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+
+
+def test_a_worker_gives_back_what_it_freed():
+    """pipeline: a task's worker is used again by later stages; it keeps no more than is live."""
+    import ctypes
+
+    if not hasattr(ctypes.CDLL(None), "malloc_trim"):
+        pytest.skip("no such C library")
+
+    def mb():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nAnonymous:\s+(\d+)", f.read()).group(1)) / 1024
+
+    last = []
+
+    def fn(batches):
+        held = [b"x" * 60_000 for _ in range(3000)]
+        last.append(b"x" * 60_000)  # above all others: without it the C library would give them back
+        for b in batches:
+            yield len(held) + b
+
+    before = mb()
+    assert list(blocks.tidy(fn)([1, 2])) == [3001, 3002]
+    assert mb() - before < 60

@@ -11,6 +11,7 @@ A key that occurs everywhere is one entry a block, so no bucket is hot.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -52,13 +53,29 @@ def dropped(*tables: DataFrame) -> None:
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of texts in slices of about ``SLICE_BYTES`` (a row at least), in
     order: a batch has thousands of rows, and what is made of all of them and
-    sent back at once stays in the memory of the worker and of the executor.
-    Buffers that no batch needs any more are given back at the end."""
+    sent back at once stays in the memory of the worker and of the executor."""
     for batch in batches:
         step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+def give_back() -> None:
+    """What this process has freed goes back to the system. A worker is used
+    again by all later stages, and would hold as much as the largest of them took."""
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # where the C library has it
+        trim(0)
+
+
+def tidy(fn: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``fn`` over the batches of a task, whose worker gives back what it freed at the end."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from fn(batches)
+        give_back()
+
+    return run
 
 
 def pack(docs: DataFrame, id_col: str, text_col: str, kind: str = "0") -> DataFrame:
@@ -96,7 +113,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, kind: str = "0") -> DataFr
             yield block(k, at, part)
             at += 1
 
-    return stored(rows.mapInArrow(fn, "block long, kind int, ids array<long>, sizes array<long>, data binary"), "blocks")
+    return stored(rows.mapInArrow(tidy(fn), "block long, kind int, ids array<long>, sizes array<long>, data binary"), "blocks")
 
 
 def texts_of(sizes: np.ndarray, data: bytes) -> list[bytes]:
@@ -156,6 +173,7 @@ def totals(sent: DataFrame, reply: Callable[[pd.DataFrame, np.ndarray, np.ndarra
     ``inverse`` says which of them each key of each row is, row after row."""
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         keys = np.concatenate([keys_from_bytes(x, width) for x in pdf["keys"]])
         counts = np.concatenate([expand(x, np.uint32).reshape(counters, -1) for x in pdf["counts"]], axis=1)
         uniq, inverse = np.unique(keys, return_inverse=True)

@@ -111,10 +111,11 @@ def document_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 out.append((block, bucket, B.squeeze(some), B.squeeze(own[some])))
         return pd.DataFrame(out, columns=["block", "bucket", "place", "df"])
 
-    sent = packed.select("block", "sizes", "data").mapInPandas(send, B.SENT)
+    sent = packed.select("block", "sizes", "data").mapInPandas(B.tidy(send), B.SENT)
     back = B.totals(sent, reply, 1, WIDTH, "block long, bucket int, place binary, df binary")
 
     def sets(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        B.give_back()
         rows = []
         for _, block in left.iterrows():
             own = shingle_sets(B.texts_of(block["sizes"], block["data"]), words)

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectable.llm.blocks import slices, stored
+from vectable.llm.blocks import give_back, slices, stored, tidy
 
 CAPACITY, SHARD, NODES, LEAVES, BLANKS = 2048, 6144, 12000, 12, 4096
 #: Fixed value: the pre-tokenizing pattern of byte-level BPE.
@@ -119,7 +119,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
-    return rows.mapInArrow(fn, "id long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidy(fn), "id long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("id", id_col)
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -240,6 +240,7 @@ def pack(rows: DataFrame, order_by: list[str], capacity: int = CAPACITY, shard:
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64(*order_by, F.monotonically_increasing_id()), F.lit(shards)))
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         pdf = pdf.sort_values(["length", *order_by], kind="stable").reset_index(drop=True)
         length = pdf["length"].to_numpy()
         whole = np.flatnonzero(length >= capacity)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectable.llm.blocks import slices, stored
+from vectable.llm.blocks import slices, stored, tidy
 
 SAMPLE = 2000
 #: Public formats of credentials.
@@ -264,7 +264,7 @@ def _found(docs: DataFrame, keep: list[str], text_col: str, path_col: str, make,
 
     arrow = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}
     kinds = [arrow[x.split()[1]] for x in schema.split(", ")]
-    out = rows.mapInArrow(fn, f"{heads}, {schema}" if heads else schema)
+    out = rows.mapInArrow(tidy(fn), f"{heads}, {schema}" if heads else schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], *names)
 
 

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectable.llm.blocks import slices, stored
+from vectable.llm.blocks import slices, stored, tidy
 from vectable.llm.words import hash_words, in_chunks
 
 #: Width of an embedding, filters of each span, spans in words, and the prefixes (bytes) that a word is embedded by beside itself.
@@ -242,7 +242,7 @@ def seen(rows: DataFrame) -> np.ndarray:
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], ["slot", "n"])
 
-    counted = rows.select("text").mapInArrow(fn, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    counted = rows.select("text").mapInArrow(tidy(fn), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     return np.sort(counted.where(F.col("n") >= SEEN_IN).select("slot").toArrow().column(0).to_numpy())  # SLOTS at most
 
 
@@ -269,7 +269,7 @@ def averaged(rows: DataFrame, tables: dict, often: tuple[int, int], weight: tupl
             q = np.rint(np.concatenate([flat, net.embedding[moved]]).astype(np.float64) * WHOLE).astype(np.int64) * len(y)
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), len(y))), *(pa.array(np.ascontiguousarray(c)) for c in q.T)], ["part", "w", *names])
 
-    made = rows.select("shard", "text", "y").mapInArrow(fn, "part int, w long, " + ", ".join(f"{c} long" for c in names))
+    made = rows.select("shard", "text", "y").mapInArrow(tidy(fn), "part int, w long, " + ", ".join(f"{c} long" for c in names))
     got = made.groupBy("part").agg(*((F.sum(c).cast("double") / F.sum("w") / WHOLE).cast("float").alias(c) for c in names)).toArrow()
     shared.destroy()
     net = Convolution.of(tables)
@@ -371,7 +371,7 @@ def _scored(rows: DataFrame, backs: list[str], text_col: str, tables: dict | Non
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in backs), pa.array(s, pa.float64())], names=[*backs, "score"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.mapInArrow(fn, ", ".join(f"{c} {kinds[c]}" for c in backs) + ", score double")
+    return rows.mapInArrow(tidy(fn), ", ".join(f"{c} {kinds[c]}" for c in backs) + ", score double")
 
 
 def toxicity(docs: DataFrame, model: dict, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None) -> DataFrame:
